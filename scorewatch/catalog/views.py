@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.decisions import decide
 from ..functions.text import canonical_json, input_hash
+from ..session import materialise
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -68,8 +69,12 @@ EVENT_SPLIT = "2024-01-16"
 
 
 def app_sides(spark: SparkSession, sf: str, lines: bool = True, customer: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Applications before, and from, a fixed day."""
-    apps = applications(spark, sf, lines, customer)
+    """Applications before, and from, a fixed day.
+
+    Edges, frequencies and ranks read the sides several times, so the joins are
+    done once and their result is written to the shared folder.
+    """
+    apps = materialise(applications(spark, sf, lines, customer), "applications")
     day = F.to_date(F.lit(DRIFT_SPLIT))
     return apps.where(F.col("event_time") < day), apps.where(F.col("event_time") >= day)
 

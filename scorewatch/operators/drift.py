@@ -59,7 +59,7 @@ def frequency_table(
     cells = [
         F.struct(
             F.lit(name).alias("feature"),
-            right_closed_bucket(F.col(name).cast("double"), edges[name], out_of_range).alias("bucket"),
+            right_closed_bucket(name, edges[name], out_of_range).alias("bucket"),
             nothing.alias("category"),
         )
         for name in features.numeric
@@ -84,43 +84,41 @@ def _gain(current: Column, reference: Column) -> Column:
 def psi_from_frequencies(reference: DataFrame, current: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """PSI per (by, feature) from two frequency tables; 0 where a side has no usable rows.
 
-    A bucket absent on one side counts as ``PSI_FLOOR``. Reference buckets that a
-    group lacks are not spelled out per group: their sum is a constant per
-    feature, from which the buckets present are taken back.
+    A bucket absent on one side counts as ``PSI_FLOOR``. Two rewritings keep the
+    current side to one join and one aggregate:
+
+    * reference buckets a group lacks are not spelled out per group: their sum is
+      a constant per feature, from which the buckets present are taken back;
+    * with ``c = n / N``, ``(c - r) ln(c / r)`` is split so that the group's total
+      ``N`` stays outside the sums and need not be known beforehand.
     """
     by = list(by)
     usable = F.col("bucket") >= 1
-    ref = reference.where(usable)
-    ref_total = ref.groupBy("feature").agg(F.sum("n").alias("ref_n"))
-    ref_share = ref.join(ref_total, "feature").select(
-        "feature", "bucket", F.coalesce("category", F.lit("")).alias("category"), (F.col("n") / F.col("ref_n")).alias("r")
-    )
+    category = F.coalesce("category", F.lit("")).alias("category")
     floor = F.lit(fixed.PSI_FLOOR)
+    ref = reference.where(usable).select("feature", "bucket", category, "n")
+    ref_total = ref.groupBy("feature").agg(F.sum("n").alias("ref_n"))
+    ref_share = ref.join(ref_total, "feature").select("feature", "bucket", "category", (F.col("n") / F.col("ref_n")).alias("r"))
     absent = ref_share.groupBy("feature").agg(F.sum(_gain(floor, F.col("r"))).alias("all_absent"))
 
-    totals = current.groupBy(*by, "feature").agg(F.sum(F.when(usable, F.col("n")).otherwise(0)).alias("cur_n"))
-    shares = (
-        current.where(usable)
-        .join(totals, [*by, "feature"])
-        .withColumn("category", F.coalesce("category", F.lit("")))
-        .join(ref_share, ["feature", "bucket", "category"], "left")
+    counted = current.select(*by, "feature", "bucket", category, F.when(usable, F.col("n")).alias("n"))
+    known = F.col("r").isNotNull() & F.col("n").isNotNull()
+    r = F.coalesce("r", floor)
+    shift = F.ln(F.col("n") / r)
+    sums = counted.join(ref_share, ["feature", "bucket", "category"], "left").groupBy(*by, "feature").agg(
+        F.sum("n").alias("total"),
+        F.sum(F.col("n") * shift).alias("n_shift"),
+        F.sum(F.when(F.col("n").isNotNull(), r)).alias("r_sum"),
+        F.sum(r * shift).alias("r_shift"),
+        F.sum(F.when(known, _gain(floor, F.col("r"))).otherwise(0.0)).alias("taken_back"),
     )
-    c = F.col("n") / F.col("cur_n")
-    present = _gain(c, F.coalesce("r", floor)) - F.when(F.col("r").isNotNull(), _gain(floor, F.col("r"))).otherwise(0.0)
-    sums = shares.groupBy(*by, "feature").agg(F.sum(present).alias("present"))
-    return (
-        totals.join(sums, [*by, "feature"], "left")
-        .join(absent, "feature", "left")
-        .select(
-            *by,
-            "feature",
-            # A side without rows compares as no drift.
-            F.when(
-                F.col("present").isNotNull() & F.col("all_absent").isNotNull(), F.col("present") + F.col("all_absent")
-            )
-            .otherwise(0.0)
-            .alias("psi"),
-        )
+    total = F.col("total")
+    present = F.col("n_shift") / total - F.ln(total) - F.col("r_shift") + F.ln(total) * F.col("r_sum")
+    return sums.join(absent, "feature", "left").select(
+        *by,
+        "feature",
+        # Null where a side has no usable rows, which compares as no drift.
+        F.coalesce(present - F.col("taken_back") + F.col("all_absent"), F.lit(0.0)).alias("psi"),
     )
 
 

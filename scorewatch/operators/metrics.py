@@ -158,9 +158,9 @@ def compare_scores(df: DataFrame, clean: str, noisy: str, label: str) -> DataFra
     )
 
 
-def histogram_cells(value: Column, bounds: Sequence[float]) -> Column:
-    """Index of the first bound not below ``value``; ``len(bounds)`` beyond the last."""
-    return count_below(value, bounds)
+def histogram_cells(column: str, bounds: Sequence[float]) -> Column:
+    """Index of the first bound not below the column; ``len(bounds)`` beyond the last."""
+    return count_below(column, bounds)
 
 
 def cumulative_histogram(
@@ -174,7 +174,7 @@ def cumulative_histogram(
     by = list(by)
     cells = (
         df.where(F.col(value).isNotNull())
-        .groupBy(*by, histogram_cells(F.col(value), bounds).alias("cell"))
+        .groupBy(*by, histogram_cells(value, bounds).alias("cell"))
         .agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("s"))
     )
     return unfold_histogram(cells, bounds, by)
@@ -202,7 +202,7 @@ def histogram_quantiles(
     by = list(by)
     cells = (
         df.where(F.col(value).isNotNull())
-        .groupBy(*by, histogram_cells(F.col(value), bounds).alias("cell"))
+        .groupBy(*by, histogram_cells(value, bounds).alias("cell"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
     return quantiles_from_cells(cells, bounds, probabilities, by)

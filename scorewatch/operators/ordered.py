@@ -66,29 +66,25 @@ def sketch_columns(df: DataFrame, columns: Sequence[str], rows_per_cell: int | N
         return {}
     per_cell = rows_per_cell or ROWS_PER_CELL
     slim = df.select(*[_clean(c).alias(f"v{i}") for i, c in enumerate(columns)])
-    # Task sketches are merged in a few groups first, so no single task merges all of them.
-    partial = slim.groupBy((F.spark_partition_id() % MERGE_GROUPS).alias("g")).agg(
-        *[F.kll_sketch_agg_double(f"v{i}", SKETCH_SIZE).alias(f"k{i}") for i in range(len(columns))],
-        *[F.count(f"v{i}").alias(f"n{i}") for i in range(len(columns))],
-        *[F.min(f"v{i}").alias(f"lo{i}") for i in range(len(columns))],
-        *[F.max(f"v{i}").alias(f"hi{i}") for i in range(len(columns))],
-    )
-    merged = partial.agg(
-        *[F.kll_merge_agg_double(f"k{i}").alias(f"k{i}") for i in range(len(columns))],
-        *[F.sum(f"n{i}").alias(f"n{i}") for i in range(len(columns))],
-        *[F.min(f"lo{i}").alias(f"lo{i}") for i in range(len(columns))],
-        *[F.max(f"hi{i}").alias(f"hi{i}") for i in range(len(columns))],
-    )
-    row = merged.first()
-    rows = {c: row[f"n{i}"] or 0 for i, c in enumerate(columns)}
-    parts = {c: min(MAX_CELLS, math.ceil(rows[c] / per_cell)) for c in columns}
-    held = {c: bytes(row[f"k{i}"]) for i, c in enumerate(columns) if parts[c] > 1}
-    cuts = _cut_points(df.sparkSession, held, parts) if held else {}
+    measures = (("n", F.count), ("lo", F.min), ("hi", F.max))
+    row = slim.agg(*[f(f"v{i}").alias(f"{p}{i}") for p, f in measures for i in range(len(columns))]).collect()[0]
+    parts = {c: min(MAX_CELLS, math.ceil(row[f"n{i}"] / per_cell)) for i, c in enumerate(columns)}
+    large = {c: f"v{i}" for i, c in enumerate(columns) if parts[c] > 1 and row[f"lo{i}"] < row[f"hi{i}"]}
+    cuts = _cut_points(df.sparkSession, _sketches(slim, large), parts) if large else {}
     return {
-        c: ColumnSketch(rows[c], row[f"lo{i}"], row[f"hi{i}"], cuts.get(c, ())) for i, c in enumerate(columns)
+        c: ColumnSketch(row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"], cuts.get(c, ())) for i, c in enumerate(columns)
     }
 
 
+def _sketches(slim: DataFrame, columns: dict[str, str]) -> dict[str, bytes]:
+    """One KLL sketch per column; task sketches are merged in a few groups first, never all in one task."""
+    partial = slim.groupBy((F.spark_partition_id() % MERGE_GROUPS).alias("g")).agg(
+        *[F.kll_sketch_agg_double(v, SKETCH_SIZE).alias(v) for v in columns.values()]
+    )
+    row = partial.agg(*[F.kll_merge_agg_double(v).alias(v) for v in columns.values()]).collect()[0]
+    return {c: bytes(row[v]) for c, v in columns.items()}
+
+
 def with_cell(df: DataFrame, column: str, cuts: Sequence[float], out: str = "cell") -> DataFrame:
     """Add the number of the cell that holds ``column``; never decreasing in the column.
 
@@ -333,9 +329,56 @@ def quantile_edges(
     columns = list(columns)
     if not columns:
         return {}
-    sketches = sketch_columns(df, columns, rows_per_cell)
-    distinct = distinct_up_to(df, columns, bins, sketches)
-    wide = [c for c in columns if distinct[c] > 1]
-    grid = {c: [float(p) for p in np.linspace(0.0, 1.0, distinct[c] + 1)] for c in wide}
-    values = exact_quantiles(df, grid, {c: sketches[c] for c in wide}, rows_per_cell) if wide else {}
-    return {c: sorted(set(values[c])) if c in values else [] for c in columns}
+    per_cell = rows_per_cell or ROWS_PER_CELL
+    sketches = sketch_columns(df, columns, per_cell)
+    edges: dict[str, list[float]] = {c: [] for c in columns}
+    small = [c for c in columns if 0 < sketches[c].rows <= per_cell]
+    large = [c for c in columns if sketches[c].rows > per_cell]
+    if small:
+        edges.update(_edges_of_small(df, small, bins))
+    if large:
+        distinct = distinct_up_to(df, large, bins, sketches)
+        grid = {c: _grid(distinct[c]) for c in large if distinct[c] > 1}
+        values = exact_quantiles(df, grid, {c: sketches[c] for c in grid}, per_cell) if grid else {}
+        edges.update({c: sorted(set(v)) for c, v in values.items()})
+    return edges
+
+
+def _grid(steps: int) -> list[float]:
+    return [float(p) for p in np.linspace(0.0, 1.0, steps + 1)]
+
+
+def _edges_of_small(df: DataFrame, columns: Sequence[str], bins: int) -> dict[str, list[float]]:
+    """Edges of columns with at most a cell of rows: distinct count and order statistics in one job."""
+    pairs = [F.struct(F.lit(i).alias("col"), _clean(c).alias("value")) for i, c in enumerate(columns)]
+    counts = df.select(F.inline(F.array(*pairs))).where(F.col("value").isNotNull()).groupBy("col", "value").count()
+    whole, ordered = Window.partitionBy("col"), Window.partitionBy("col").orderBy("value")
+    ranked = counts.select(
+        "col", "value", "count",
+        F.sum("count").over(ordered).alias("upto"),
+        F.sum("count").over(whole).alias("rows"),
+        F.count(F.lit(1)).over(whole).alias("distinct"),
+    )
+    # A generous choice of rows around each wanted rank; the exact ranks are read off below.
+    steps = F.least(F.lit(bins), F.col("distinct"))
+    first, last = F.col("upto") - F.col("count"), F.col("upto") - 1
+    near = F.exists(
+        F.sequence(F.lit(0), steps.cast("int")),
+        lambda i: ((F.col("rows") - 1) * i / steps + 1 >= first) & ((F.col("rows") - 1) * i / steps - 1 <= last),
+    )
+    held: dict[str, list] = {c: [] for c in columns}
+    for row in ranked.where(near).collect():
+        held[columns[row["col"]]].append(row)
+    out = {}
+    for c, rows in held.items():
+        steps_c = min(bins, rows[0]["distinct"])
+        if steps_c < 2:
+            out[c] = []
+            continue
+
+        def at(rank: int, rows=rows) -> float:
+            return next(r["value"] for r in rows if r["upto"] - r["count"] <= rank < r["upto"])
+
+        places = [(rows[0]["rows"] - 1) * p for p in _grid(steps_c)]
+        out[c] = sorted({interpolate(at(math.floor(h)), at(math.ceil(h)), h - math.floor(h)) for h in places})
+    return out

@@ -90,15 +90,15 @@ def request_rate(df: DataFrame, timestamp: str, size: str, seconds: int, slide:
     )
 
 
-def latency_cells(df: DataFrame, timestamp: str, value: Column, size: str, bounds: Sequence[float]) -> DataFrame:
+def latency_cells(df: DataFrame, timestamp: str, value: str, size: str, bounds: Sequence[float]) -> DataFrame:
     """Rows per window and histogram cell; batch or stream."""
     window = F.window(F.col(timestamp).cast("timestamp"), size).alias("w")
-    cells = df.where(value.isNotNull()).groupBy(window, metrics.histogram_cells(value, bounds).alias("cell")).agg(F.count(F.lit(1)).alias("n"))
+    cells = df.where(F.col(value).isNotNull()).groupBy(window, metrics.histogram_cells(value, bounds).alias("cell")).agg(F.count(F.lit(1)).alias("n"))
     return cells.select(F.col("w.start").alias("window_start"), "cell", "n")
 
 
 def latency_quantiles(
-    df: DataFrame, timestamp: str, value: Column, size: str,
+    df: DataFrame, timestamp: str, value: str, size: str,
     bounds: Sequence[float] = fixed.LATENCY_BOUNDS, probabilities: Sequence[float] = (0.5, 0.95),
 ) -> DataFrame:
     """Histogram quantiles per window."""
