@@ -1 +1,187 @@
+"""Prediction logs, hashes, counters, money."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F, types as T
+
+from ..functions import fixed
+from ..functions.decisions import request_outcome, status_code
+from ..functions.text import canonical_json, input_hash
+from ..operators import log_analytics
+from ..sources.fingerprint import row_hashes
+from ..sources.logs import parse_log_lines
+from ..session import materialise
+from . import views
+from .registry import query, r6, rounded
+from .views import LOG_CTE
+
+PROPS = T.StructType([T.StructField("k", T.LongType())])
+K_SQL = "CAST(regexp_extract(props, '-?[0-9]+') AS BIGINT)"
+
+
+@query(
+    "log_scan",
+    """SELECT event_id AS request_id, round(value / (value + 50.0::DOUBLE), 6) AS prediction, 'v1' AS model_version
+FROM events WHERE event_type <> 'error'""",
+)
+def log_scan(spark, sf):
+    """Log lines as JSON text, those of errors cut short; only whole records come back."""
+    line = F.to_json(F.struct(
+        F.lit("v1").alias("model_version"),
+        F.round(F.col("value") / (F.col("value") + 50.0), 6).alias("prediction"),
+        F.col("event_id").cast("string").alias("request_id"),
+    ))
+    cut = F.substring(line, 1, 20)
+    lines = views.events(spark, sf).select(F.when(F.col("event_type") == "error", cut).otherwise(line).alias("value"))
+    return parse_log_lines(lines).select(F.col("request_id").cast("bigint").alias("request_id"), "prediction", "model_version")
+
+
+@query("props_json_scan", f"SELECT event_id, {K_SQL} AS k FROM events")
+def props_json_scan(spark, sf):
+    return views.events(spark, sf).select(
+        "event_id", F.from_json("props", PROPS, {"mode": "FAILFAST"})["k"].alias("k")
+    )
+
+
+@query(
+    "prediction_log",
+    f"""WITH {LOG_CTE} SELECT CAST(client_id AS VARCHAR) AS client_id, decision, 2 AS features_count, input_hash,
+round(latency_ms, 2) AS latency_ms, model_version, round(prediction, 6) AS prediction, CAST(request_id AS VARCHAR) AS request_id,
+strftime("timestamp", '%Y-%m-%dT%H:%M:%S.%fZ') AS "timestamp" FROM log""",
+)
+def prediction_log(spark, sf):
+    log = views.prediction_log(spark, sf)
+    return log_analytics.log_entries(
+        log, "request_id", "timestamp", F.col("input_hash"), "prediction", "decision", "latency_ms", "client_id", 2
+    )
+
+
+@query(
+    "input_hash",
+    f"""SELECT event_id, sha256('{{"event_type": "' || event_type || '", "k": ' || CAST({K_SQL} AS VARCHAR) || ', "user_id": ' || CAST(user_id AS VARCHAR) || '}}') AS input_hash FROM events""",
+)
+def input_hash_query(spark, sf):
+    k = F.from_json("props", PROPS)["k"]
+    text = canonical_json(
+        {"user_id": F.col("user_id"), "event_type": F.col("event_type"), "k": k}, {"event_type": True}
+    )
+    return views.events(spark, sf).select("event_id", input_hash(text).alias("input_hash"))
+
+
+@query("content_hash", "SELECT doc_id, sha256(text) AS data_hash FROM documents")
+def content_hash(spark, sf):
+    return row_hashes(views.table(spark, sf, "documents"), "doc_id", "text")
+
+
+@query(
+    "log_analytics",
+    f"""WITH {LOG_CTE} SELECT count(*) AS total_requests, count(DISTINCT input_hash) AS unique_inputs, 'v1' AS model_versions,
+round(avg(prediction), 6) AS prediction_mean, round(stddev_samp(prediction), 6) AS prediction_std,
+round(min(prediction), 6) AS prediction_min, round(max(prediction), 6) AS prediction_max,
+round(quantile_cont(prediction, 0.5), 6) AS prediction_p50, round(quantile_cont(prediction, 0.95), 6) AS prediction_p95,
+round(quantile_cont(prediction, 0.99), 6) AS prediction_p99, round(avg(latency_ms), 6) AS latency_mean_ms,
+round(quantile_cont(latency_ms, 0.5), 6) AS latency_p50_ms, round(quantile_cont(latency_ms, 0.95), 6) AS latency_p95_ms,
+round(quantile_cont(latency_ms, 0.99), 6) AS latency_p99_ms FROM log""",
+)
+def log_analytics_query(spark, sf):
+    return rounded(log_analytics.analyse_log(views.prediction_log(spark, sf)))
+
+
+@query("decision_distribution", f"WITH {LOG_CTE} SELECT decision, count(*) AS requests FROM log GROUP BY decision")
+def decision_distribution(spark, sf):
+    return log_analytics.decision_distribution(views.prediction_log(spark, sf))
+
+
+BUSINESS = """
+s AS (SELECT count(*) AS n, count(*) FILTER (WHERE decision = 'approve') AS ca, count(*) FILTER (WHERE decision = 'review') AS cr,
+             count(*) FILTER (WHERE decision = 'reject') AS cj,
+             sum(prediction) FILTER (WHERE decision = 'approve') * 1000 / count(*) AS la,
+             avg(prediction) FILTER (WHERE decision = 'review') * 0.5 * 1000 * count(*) FILTER (WHERE decision = 'review') / count(*) AS lr,
+             avg(prediction) AS m, stddev_samp(prediction) AS sd, min(prediction) AS lo, max(prediction) AS hi,
+             quantile_cont(prediction, 0.25) AS p25, quantile_cont(prediction, 0.5) AS p50,
+             quantile_cont(prediction, 0.75) AS p75, quantile_cont(prediction, 0.95) AS p95 FROM log),
+t AS (SELECT *, ca * 50.0::DOUBLE * 1.15::DOUBLE AS ra, cr * 50.0::DOUBLE * 0.8::DOUBLE AS rr FROM s)
+"""
+
+
+@query(
+    "business_metrics",
+    f"""WITH {LOG_CTE}, {BUSINESS}
+SELECT n AS total_requests, round(ca / CAST(n AS DOUBLE), 4) AS approval_rate, round(cr / CAST(n AS DOUBLE), 4) AS review_rate,
+round(cj / CAST(n AS DOUBLE), 4) AS rejection_rate, ca AS approval_count, cr AS review_count, cj AS rejection_count,
+round(m, 4) AS prediction_mean, round(sd, 4) AS prediction_std, round(lo, 4) AS prediction_min, round(hi, 4) AS prediction_max,
+round(p25, 4) AS prediction_p25, round(p50, 4) AS prediction_p50, round(p75, 4) AS prediction_p75, round(p95, 4) AS prediction_p95,
+round((la + lr) / n, 2) AS expected_loss_per_request_as_reported_usd, round(la + lr, 2) AS expected_loss_per_request_usd,
+round(la, 2) AS approval_expected_loss_usd, round(lr, 2) AS review_expected_loss_usd, round(ra, 2) AS approval_revenue_usd,
+round(rr, 2) AS review_revenue_usd, round(ra + rr - la - lr, 2) AS net_profit_usd, round((ra + rr - la - lr) / n, 2) AS net_profit_per_request_usd,
+1000.0::DOUBLE AS loss_per_default_usd, 50.0::DOUBLE AS processing_cost_usd, 0.5::DOUBLE AS review_screening_success_rate, 0.15::DOUBLE AS interest_rate FROM t""",
+)
+def business_metrics(spark, sf):
+    return log_analytics.business_metrics(views.prediction_log(spark, sf))
+
+
+def request_flag_columns():
+    """Stage flags of the event table, standing in for what a server would meet."""
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    return {
+        "malformed": F.col("event_type") == "error",
+        "rate_limited": F.col("value") > 300.0,
+        "validation_error": k > 95,
+        "feature_mismatch": F.col("value") < 0.5,
+        "timeout": F.col("value") > 200.0,
+    }
+
+
+OUTCOME_CTE = f"""
+req AS (SELECT *, {K_SQL} AS k,
+  CASE WHEN event_type = 'error' THEN 'malformed' WHEN value > 300 THEN 'rate_limited' WHEN {K_SQL} > 95 THEN 'validation_error'
+       WHEN value < 0.5 THEN 'feature_mismatch' WHEN value > 200 THEN 'timeout' ELSE 'success' END AS outcome,
+  CASE WHEN event_type = 'error' THEN 422 WHEN value > 300 THEN 429 WHEN {K_SQL} > 95 THEN 400
+       WHEN value < 0.5 THEN 503 WHEN value > 200 THEN 504 ELSE 200 END AS status,
+  CASE WHEN value / (value + 50.0::DOUBLE) < 0.3 THEN 'approve' WHEN value / (value + 50.0::DOUBLE) <= 0.7 THEN 'review' ELSE 'reject' END AS tier
+  FROM events)
+"""
+
+
+def requests(spark, sf):
+    flags = request_flag_columns()
+    log = views.events(spark, sf)
+    return log.withColumn("outcome", request_outcome(flags)).withColumn("status", status_code(flags))
+
+
+@query("request_outcome", f"WITH {OUTCOME_CTE} SELECT event_id, outcome, status FROM req")
+def request_outcome_query(spark, sf):
+    return requests(spark, sf).select("event_id", "outcome", "status")
+
+
+@query(
+    "outcome_counters",
+    f"""WITH {OUTCOME_CTE}
+SELECT 'outcome' AS counter, outcome AS label, count(*) AS n FROM req GROUP BY outcome
+UNION ALL SELECT 'status', CAST(status AS VARCHAR), count(*) FROM req GROUP BY status
+UNION ALL SELECT 'decision', tier, count(*) FROM req WHERE outcome = 'success' GROUP BY tier""",
+)
+def outcome_counters(spark, sf):
+    from ..functions.decisions import decide
+
+    score = F.col("value") / (F.col("value") + 50.0)
+    rows = requests(spark, sf).withColumn("decision", F.when(F.col("outcome") == "success", decide(score)))
+    return log_analytics.outcome_counters(rows, ["outcome", "status", "decision"])
+
+
+@query(
+    "load_summary",
+    f"""WITH {OUTCOME_CTE} SELECT event_type, count(*) AS requests, count(*) FILTER (WHERE status = 200) AS success,
+count(*) FILTER (WHERE outcome <> 'success') AS errors, round(avg(value), 6) AS avg_latency_ms FROM req GROUP BY event_type""",
+)
+def load_summary(spark, sf):
+    rows = requests(spark, sf).withColumn("error", F.when(F.col("outcome") != "success", F.col("outcome")))
+    return rounded(log_analytics.load_summary(rows, "status", "error", "value", ["event_type"]))
+
+
+@query(
+    "replay_detection",
+    f"WITH {LOG_CTE} SELECT input_hash, count(*) AS requests FROM log GROUP BY input_hash HAVING count(*) > 1",
+)
+def replay_detection(spark, sf):
+    return log_analytics.replayed_inputs(views.prediction_log(spark, sf))

@@ -179,6 +179,11 @@ def parse_rows(lines: DataFrame, contract: Contract, keep: Sequence[str] = (), l
     return lines.select(*keep, *wanted)
 
 
+def valid_rows(lines: DataFrame, contract: Contract, keep: Sequence[str] = (), line: str = "value") -> DataFrame:
+    """Typed rows of the lines that break no rule."""
+    return parse_rows(lines.where(F.size(token_violations(contract, line)) == 0), contract, keep, line)
+
+
 def load_validated(lines: DataFrame, contract: Contract, row_id: str, line: str = "value") -> DataFrame:
     """Typed rows, or ``ContractError`` naming the first violation."""
     bad = first_violation(contract_violations(lines, contract, row_id, line)).collect()
