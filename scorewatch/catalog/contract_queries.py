@@ -153,6 +153,5 @@ def request_validation(spark, sf):
     """Requests as JSON: absent quantities leave a key out, some requests carry one too many."""
     note = F.when((F.col("status") == "P") & (F.col("segment") == "BUILDING"), "x")
     payload = F.to_json(F.struct("priority", "status", "qty", F.floor("total").alias("total"), note.alias("note")))
-    return views.applications(spark, sf).select(
-        "app_id", F.inline(contracts.request_violations(payload, REQUEST, REQUEST_RANGES))
-    )
+    requests = views.applications(spark, sf).select("app_id", payload.alias("payload"))
+    return contracts.validate_requests(requests, "app_id", "payload", REQUEST, REQUEST_RANGES)

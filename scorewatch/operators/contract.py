@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import fixed
-from ..functions.text import is_blank, is_integer, tokens
+from ..functions.text import is_integer, tokens
 
 RULES = ("empty_row", "column_count", "integer", "membership")
 
@@ -132,14 +132,21 @@ def field_checks(contract: Contract, value_of) -> list[Column]:
     return checks
 
 
+TOKENS = "__tokens"
+
+
+def with_tokens(lines: DataFrame, line: str = "value") -> DataFrame:
+    """Split each row once; everything after works on the ``__tokens`` array."""
+    return lines.withColumn(TOKENS, tokens(F.col(line)))
+
+
 def token_violations(contract: Contract, line: str = "value") -> Column:
-    """All violations of one text row, in field order, as an array."""
-    row = F.col(line)
-    parts = tokens(row)
+    """All violations of one split row, in field order, as an array."""
+    parts = F.col(TOKENS)
     count = F.size(parts)
     checks = field_checks(contract, lambda i, _: F.get(parts, i))
     return (
-        F.when(F.coalesce(is_blank(row), F.lit(True)), F.array(_entry(-1, "", "empty_row", row)))
+        F.when(F.coalesce(count, F.lit(0)) < 1, F.array(_entry(-1, "", "empty_row", F.col(line))))
         .when(count != contract.width, F.array(_entry(-1, "", "column_count", count.cast("string"))))
         .otherwise(F.filter(F.array(*checks) if checks else F.array().cast(VIOLATION), lambda v: v.isNotNull()))
     )
@@ -147,7 +154,7 @@ def token_violations(contract: Contract, line: str = "value") -> Column:
 
 def contract_violations(lines: DataFrame, contract: Contract, row_id: str, line: str = "value") -> DataFrame:
     """Every violation: (row_id, ordinal, field, rule, value). One scan, no shuffle."""
-    return lines.select(F.col(row_id).alias("row_id"), F.inline(token_violations(contract, line)))
+    return with_tokens(lines, line).select(F.col(row_id).alias("row_id"), F.inline(token_violations(contract, line)))
 
 
 def row_count_violation(lines: DataFrame, contract: Contract) -> DataFrame:
@@ -163,25 +170,29 @@ def first_violation(violations: DataFrame) -> DataFrame:
     return violations.orderBy("row_id", "ordinal").limit(1)
 
 
-def parse_rows(lines: DataFrame, contract: Contract, keep: Sequence[str] = (), line: str = "value") -> DataFrame:
-    """Typed columns in contract order; values that break a rule become null."""
-    parts = tokens(F.col(line))
-    wanted = []
+def _typed(contract: Contract) -> list[Column]:
+    columns = []
     for i, spec in enumerate(contract.fields):
-        value = F.get(parts, i)
+        value = F.get(F.col(TOKENS), i)
         if spec.kind == "integer":
             value = F.when(is_integer(value), value.try_cast("bigint"))
         elif spec.kind in ("categorical", "target"):
             value = F.when(value.isin(list(spec.allowed)), value)
             if spec.kind == "target":
                 value = value.try_cast("int")
-        wanted.append(value.alias(spec.name))
-    return lines.select(*keep, *wanted)
+        columns.append(value.alias(spec.name))
+    return columns
+
+
+def parse_rows(lines: DataFrame, contract: Contract, keep: Sequence[str] = (), line: str = "value") -> DataFrame:
+    """Typed columns in contract order; values that break a rule become null."""
+    return with_tokens(lines, line).select(*keep, *_typed(contract))
 
 
 def valid_rows(lines: DataFrame, contract: Contract, keep: Sequence[str] = (), line: str = "value") -> DataFrame:
     """Typed rows of the lines that break no rule."""
-    return parse_rows(lines.where(F.size(token_violations(contract, line)) == 0), contract, keep, line)
+    fine = F.size(token_violations(contract, line)) == 0
+    return with_tokens(lines, line).where(fine).select(*keep, *_typed(contract))
 
 
 def load_validated(lines: DataFrame, contract: Contract, row_id: str, line: str = "value") -> DataFrame:
@@ -222,10 +233,15 @@ def target_series(rows: DataFrame, contract: Contract) -> Column:
 # ---- scoring requests --------------------------------------------------------
 
 
+def payload_fields(payload: Column) -> Column:
+    """Keys and values of a JSON request as a map; null when it is no object."""
+    return F.from_json(payload, "map<string,string>")
+
+
 def request_violations(
-    payload: Column, contract: Contract, ranges: dict[str, tuple[int, int]] | None = None
+    fields: str, contract: Contract, ranges: dict[str, tuple[int, int]] | None = None
 ) -> Column:
-    """All violations of one JSON request as an array.
+    """All violations of one request, given the name of its ``payload_fields`` column, as an array.
 
     Rules in order: not an object, keys beyond the contract, missing keys,
     numbers that are no integers, integers out of range, values outside the
@@ -233,16 +249,16 @@ def request_violations(
     """
     ranges = ranges or {}
     wanted = contract.features
-    keys = F.json_object_keys(payload)
+    given = F.col(fields)
     extras = F.transform(
-        F.array_sort(F.array_except(keys, F.array(*[F.lit(n) for n in wanted]))),
+        F.array_sort(F.array_except(F.map_keys(given), F.array(*[F.lit(n) for n in wanted]))),
         lambda k: F.struct(F.lit(-1).alias("ordinal"), k.alias("field"), F.lit("extra").alias("rule"), F.lit(None).cast("string").alias("value")),
     )
     checks = []
     by_name = {f.name: (i, f) for i, f in enumerate(contract.fields)}
     for name in wanted:
         i, spec = by_name[name]
-        value = F.get_json_object(payload, f"$.{name}")
+        value = F.try_element_at(given, F.lit(name))
         check = F.when(value.isNull(), _entry(i, name, "missing", value))
         if spec.kind == "integer":
             check = check.when(~is_integer(value), _entry(i, name, "integer", value))
@@ -253,7 +269,15 @@ def request_violations(
             check = check.when(~value.isin(list(spec.allowed)), _entry(i, name, "membership", value))
         checks.append(check.otherwise(_none()))
     found = F.concat(extras, F.filter(F.array(*checks), lambda v: v.isNotNull()))
-    return F.when(keys.isNull(), F.array(_entry(-1, "", "not_an_object", F.lit(None).cast("string")))).otherwise(found)
+    return F.when(given.isNull(), F.array(_entry(-1, "", "not_an_object", F.lit(None).cast("string")))).otherwise(found)
+
+
+def validate_requests(
+    df: DataFrame, request_id: str, payload: str, contract: Contract, ranges: dict[str, tuple[int, int]] | None = None
+) -> DataFrame:
+    """Every violation of every request: (request_id, ordinal, field, rule, value)."""
+    parsed = df.select(request_id, payload_fields(F.col(payload)).alias("__fields"))
+    return parsed.select(request_id, F.inline(request_violations("__fields", contract, ranges)))
 
 
 MALFORMED_RULES = ("not_an_object", "extra", "missing", "range", "integer")
