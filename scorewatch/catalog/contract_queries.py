@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.decisions import binarise, unbinarise
 from ..functions.fixed import LINE_BREAK, WHITESPACE
-from ..functions.text import is_blank, tokens
+from ..functions.text import is_blank, token_count, tokens
 from ..operators import contract as contracts
 from ..operators.contract import Contract, Field
 from ..operators.features import value_counts
@@ -77,7 +77,7 @@ def token_scan(spark, sf):
     docs = views.table(spark, sf, "documents")
     rows = token_lines(docs, "text", [F.col("doc_id")])
     return rows.select(
-        "doc_id", "line_no", is_blank(F.col("value")).alias("blank"), F.size(tokens(F.col("value"))).cast("bigint").alias("n_tokens")
+        "doc_id", "line_no", is_blank(F.col("value")).alias("blank"), token_count(F.col("value")).cast("bigint").alias("n_tokens")
     )
 
 

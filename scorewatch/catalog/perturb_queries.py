@@ -94,7 +94,12 @@ def shift_contract_tokens(spark, sf):
     return lines.select("app_id", perturb.shift_contract_tokens(F.col("value"), APPLICATION).alias("value"))
 
 
-@query("shift_tokens")
+@query(
+    "shift_tokens",
+    f"""WITH {APP_CTES}, {LINES_CTE}, tok AS (SELECT app_id, regexp_split_to_array(value, ' +') AS t, len(regexp_split_to_array(value, ' +')) AS n FROM lines)
+SELECT app_id, array_to_string(list_append(list_transform(t[:n - 1], lambda x: CASE WHEN regexp_full_match(x, '[0-9]+')
+       THEN CAST(CAST(x AS BIGINT) + 2 AS VARCHAR) ELSE x END), t[n]), ' ') AS value FROM tok""",
+)
 def shift_tokens(spark, sf):
     """Every numeric token of the rows but the last moves by 2."""
     lines = views.app_lines(spark, sf)

@@ -151,14 +151,26 @@ def stream_counters(spark, sf):
     return jobs.drain(spark, counted, "complete", "counters")
 
 
-@query("rate_limit")
+# One step per request: accepted times of the last day are carried along.
+RATE_SQL = """
+WITH RECURSIVE e AS (SELECT event_id, user_id, epoch_us(ts) AS us, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
+r AS (SELECT event_id, user_id, us, rn, true AS accepted, [us] AS held FROM e WHERE rn = 1
+  UNION ALL
+  SELECT event_id, user_id, us, rn, len(f) < 3, CASE WHEN len(f) < 3 THEN list_append(f, us) ELSE f END FROM (
+    SELECT e.event_id, e.user_id, e.us, e.rn, list_filter(r.held, lambda x: x > e.us - 86400000000) AS f
+    FROM r JOIN e ON e.user_id = r.user_id AND e.rn = r.rn + 1))
+SELECT event_id, user_id, accepted FROM r
+"""
+
+
+@query("rate_limit", RATE_SQL)
 def rate_limit(spark, sf):
     """At most three requests a day and client, decided one after the other."""
     events = views.events(spark, sf).select("event_id", "user_id", "ts")
     return batch_rate_limit(events, "user_id", "ts", "event_id", 86400, 3).select("event_id", "user_id", "accepted")
 
 
-@query("stream_rate_limit")
+@query("stream_rate_limit", RATE_SQL)
 def stream_rate_limit_query(spark, sf):
     """The same decisions from a stream with state per client."""
     source = _events(spark, sf)

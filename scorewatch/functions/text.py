@@ -8,22 +8,27 @@ from pyspark.sql import Column, functions as F
 
 from .fixed import INTEGER_PATTERN, LINE_BREAK, WHITESPACE
 
+NOT_WHITESPACE = "[^" + WHITESPACE[1:]
+
+
+def is_blank(text: Column) -> Column:
+    """Nothing but separators."""
+    return ~text.rlike(NOT_WHITESPACE)
+
 
 def strip(text: Column) -> Column:
     """Remove separators at both ends."""
-    return F.regexp_replace(text, f"^{WHITESPACE}+|{WHITESPACE}+$", "")
+    return F.regexp_extract(text, f"(?s)({NOT_WHITESPACE}(?:.*{NOT_WHITESPACE})?)", 1)
 
 
-def is_blank(text: Column) -> Column:
-    return strip(text) == ""
+def tokens(text: Column) -> Column:
+    """Array of the tokens between runs of separators, found in one pass; empty for blank text."""
+    return F.regexp_extract_all(text, F.lit(f"{NOT_WHITESPACE}+"), F.lit(0))
 
 
-def tokens(text: Column) -> Column:
-    """Array of the tokens between runs of separators; empty for blank text."""
-    stripped = strip(text)
-    return F.when(stripped == "", F.array().cast("array<string>")).otherwise(
-        F.split(stripped, f"{WHITESPACE}+")
-    )
+def token_count(text: Column) -> Column:
+    """``size(tokens(text))`` without building the tokens."""
+    return F.regexp_count(text, F.lit(f"{NOT_WHITESPACE}+"))
 
 
 def lines(text: Column) -> Column:

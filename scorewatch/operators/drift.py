@@ -199,16 +199,17 @@ def ks_statistic(
     Rows collapse to one per value, each cell reports its extreme differences,
     and a cell's offset is the difference at its start.
     """
-    sides = []
-    for df, (r, c) in ((reference, (1, 0)), (current, (0, 1))):
-        cells = [F.struct(F.lit(x).alias("feature"), F.col(x).try_cast("double").alias("value")) for x in columns]
-        sides.append(
-            df.select(F.inline(F.array(*cells))).where(F.col("value").isNotNull() & ~F.isnan("value"))
-            .groupBy("feature", "value")
-            .agg(F.count(F.lit(1)).alias("n"))
-            .select("feature", "value", (F.col("n") * r).alias("r"), (F.col("n") * c).alias("c"))
-        )
-    counts = sides[0].unionByName(sides[1]).groupBy("feature", "value").agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
+    cells = [F.struct(F.lit(x).alias("feature"), F.col(x).try_cast("double").alias("value")) for x in columns]
+
+    def side(df: DataFrame, r: int, c: int) -> DataFrame:
+        return df.select(F.inline(F.array(*cells)), F.lit(r).alias("r"), F.lit(c).alias("c"))
+
+    counts = (
+        side(reference, 1, 0).unionByName(side(current, 0, 1))
+        .where(F.col("value").isNotNull() & ~F.isnan("value"))
+        .groupBy("feature", "value")
+        .agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
+    )
     if cuts is None:
         sketched = sketch_columns(
             reference.select(*columns).unionByName(current.select(*columns)), list(columns)

@@ -72,17 +72,23 @@ def fit_scales(df: DataFrame, columns: Sequence[str]) -> dict[str, Scale]:
     }
 
 
+def category_counts(df: DataFrame, columns: Sequence[str]) -> dict[str, dict[str, int]]:
+    """Rows per value of each categorical column on the driver; too many values are an error, not a cut."""
+    counts = value_counts(df, columns).where(F.col("value").isNotNull())
+    # One row more than allowed settles that a column is no category.
+    head = counts.limit(MAX_CATEGORIES * len(columns) + 1).collect()
+    found: dict[str, dict[str, int]] = {c: {} for c in columns}
+    for row in head:
+        found[row["feature"]][row["value"]] = row["n"]
+    for column, values in found.items():
+        if len(values) > MAX_CATEGORIES:
+            raise ValueError(f"{column} has more than {MAX_CATEGORIES} values, which is no categorical feature")
+    return found
+
+
 def categories(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    """Sorted values of each categorical column; too many is an error, not a cut."""
-    found: dict[str, list[str]] = {c: [] for c in columns}
-    seen = value_counts(df, columns).where(F.col("value").isNotNull()).select("feature", "value")
-    sizes = {r["feature"]: r["count"] for r in seen.groupBy("feature").count().collect()}
-    for column, size in sizes.items():
-        if size > MAX_CATEGORIES:
-            raise ValueError(f"{column} has {size} values, which is no categorical feature")
-    for row in seen.collect():
-        found[row["feature"]].append(row["value"])
-    return {c: sorted(v) for c, v in found.items()}
+    """Sorted values of each categorical column."""
+    return {c: sorted(v) for c, v in category_counts(df, columns).items()}
 
 
 def one_hot_columns(column: str, values: Sequence[str]) -> list[Column]:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import fixed
 from ..functions.buckets import calibration_bucket, count_below
 from ..functions.decisions import approved
-from .ordered import balanced_cells, cells_before, running_in_cell
+from .ordered import cells_before, running_in_cell, sketch_columns, with_cell
 
 
 def roc_auc(
@@ -34,8 +34,10 @@ def roc_auc(
     counts = known.groupBy(*by, score).agg(
         F.sum(F.col(label).cast("bigint")).alias("pos"), F.sum(1 - F.col(label).cast("bigint")).alias("neg")
     )
-    # Cells are balanced by rows of the input; the collapsed table can only be smaller.
-    celled = balanced_cells(counts, score, cuts)
+    # Measured on the plain rows, which takes no shuffle; the collapsed table can only be smaller.
+    if cuts is None:
+        cuts = sketch_columns(df, [score])[score].cuts
+    celled = with_cell(counts, score, cuts)
     below = F.coalesce(F.sum("neg").over(running_in_cell(by, [score], False)), F.lit(0))
     parts = celled.select(*by, "cell", "pos", "neg", (F.col("pos") * (below + F.col("neg") / 2.0)).alias("area"))
     cells = parts.groupBy(*by, "cell").agg(*[F.sum(c).alias(c) for c in ("pos", "neg", "area")])

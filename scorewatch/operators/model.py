@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.storagelevel import StorageLevel
 
 from ..functions import fixed
-from .features import Scale, categories, fit_scales, impute, medians, modes, one_hot_columns
+from .features import Scale, category_counts, fit_scales, impute, medians, one_hot_columns
 
 BASE_SCORE = "prob_base"
 SCORE = "prob_bad"
@@ -51,26 +51,25 @@ class Encoding:
 
 def fit_encoding(df: DataFrame, categorical: Sequence[str], numeric: Sequence[str]) -> Encoding:
     """Most frequent category, sorted categories, median, then mean and population deviation."""
-    fills: dict[str, object] = {}
-    if categorical:
-        fills.update({r["feature"]: r["fill"] for r in modes(df, categorical).collect()})
+    counts = category_counts(df, categorical) if categorical else {}
+    # Most frequent value, the smallest on a tie; filling it in adds no new category.
+    fills: dict[str, object] = {c: min(v, key=lambda x: (-v[x], x)) if v else None for c, v in counts.items()}
     if numeric:
         fills.update(medians(df, numeric))
-    done = impute(df, fills)
     return Encoding(
         tuple(categorical), tuple(numeric), fills,
-        categories(done, categorical) if categorical else {},
-        fit_scales(done, numeric) if numeric else {},
+        {c: sorted(v) for c, v in counts.items()},
+        fit_scales(impute(df, {c: fills[c] for c in numeric}), numeric) if numeric else {},
     )
 
 
 def class_weights(df: DataFrame, label: str) -> dict[int, float]:
     """``rows / (2 x rows of the class)``."""
-    counts = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
-    if set(counts) != {0, 1}:
-        raise ValueError(f"training needs both classes, found {sorted(counts)}")
-    total = sum(counts.values())
-    return {k: total / (2.0 * v) for k, v in counts.items()}
+    positive, negative = df.agg(F.count_if(F.col(label) == 1), F.count_if(F.col(label) == 0)).first()
+    if not positive or not negative:
+        raise ValueError(f"training needs both classes, found {positive} positive and {negative} negative rows")
+    total = positive + negative
+    return {1: total / (2.0 * positive), 0: total / (2.0 * negative)}
 
 
 def _newton_sums(width: int, beta: np.ndarray):
