@@ -49,4 +49,7 @@ def read_scores(spark: SparkSession, path: str) -> DataFrame:
     if first and first[0]["value"].strip().startswith("["):
         whole = spark.read.text(path, wholetext=True)
         return whole.select(F.explode(F.from_json("value", "array<double>", {"mode": "FAILFAST"})).alias("score"))
-    return lines.select(strip(F.col("value")).cast("double").alias("score"))
+    text = strip(F.col("value"))
+    number = text.try_cast("double")
+    broken = F.raise_error(F.concat(F.lit("no number: "), text)).cast("double")
+    return lines.select(F.when(number.isNotNull(), number).otherwise(broken).alias("score"))
