@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import fixed
 from ..functions.buckets import right_closed_bucket
-from .ordered import cells_before, quantile_edges, running_in_cell, sketch_columns, with_cell
+from ..session import local_table
+from .ordered import quantile_edges, running_in_cell, sketch_columns, with_cell
 
 MISSING, OUTSIDE = -1, 0
 
@@ -196,48 +197,80 @@ def ks_statistic(
 ) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov statistic per column; 0 when a side is empty.
 
-    Rows collapse to one per value, each cell reports its extreme differences,
-    and a cell's offset is the difference at its start.
+    The rows of both sides are counted per value cell, which shuffles only
+    counts. The differences of the distributions at the cells' ends are then
+    known, and inside a cell the difference cannot stray further than the cell's
+    own rows allow. Only cells that could beat the best end are read value by
+    value; for clearly different samples those are few.
     """
-    cells = [F.struct(F.lit(x).alias("feature"), F.col(x).try_cast("double").alias("value")) for x in columns]
-
-    def side(df: DataFrame, r: int, c: int) -> DataFrame:
-        return df.select(F.inline(F.array(*cells)), F.lit(r).alias("r"), F.lit(c).alias("c"))
-
-    counts = (
-        side(reference, 1, 0).unionByName(side(current, 0, 1))
-        .where(F.col("value").isNotNull() & ~F.isnan("value"))
-        .groupBy("feature", "value")
-        .agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
-    )
+    columns = list(columns)
+    schema = "feature string, cell int, start double, nr double, nc double"
+    both = _both_sides(reference, current, columns)
     if cuts is None:
-        sketched = sketch_columns(
-            reference.select(*columns).unionByName(current.select(*columns)), list(columns)
-        )
+        sketched = sketch_columns(both, columns)
         cuts = {x: sketched[x].cuts for x in columns}
-    celled = None
-    # Features that need no cells share one plan; the others are cut on their own points.
-    plain = [x for x in columns if not cuts.get(x)]
-    for group in ([plain] if plain else []) + [[x] for x in columns if cuts.get(x)]:
-        part = with_cell(counts.where(F.col("feature").isin(group)), "value", cuts.get(group[0], ()))
-        celled = part if celled is None else celled.unionByName(part)
-
-    sizes = counts.groupBy("feature").agg(
-        F.sum("r").cast("double").alias("nr"), F.sum("c").cast("double").alias("nc")
+    rows = _in_cells(both, columns, cuts)
+    ends, open_cells = _bound_cells(rows, columns)
+    spark = reference.sparkSession
+    known = local_table(spark, list(ends.items()), "feature string, ks double")
+    if not open_cells:
+        return known
+    # At most MAX_CELLS rows per feature.
+    cells = F.broadcast(local_table(spark, open_cells, schema))
+    counts = (
+        rows.join(cells.select("feature", "cell"), ["feature", "cell"], "left_semi")
+        .groupBy("feature", "cell", "value")
+        .agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
+        .join(cells, ["feature", "cell"])
     )
-    sized = celled.join(sizes, "feature")
     run = running_in_cell(["feature"], ["value"], True)
-    gap = F.sum("r").over(run) / F.col("nr") - F.sum("c").over(run) / F.col("nc")
-    both = (F.col("nr") > 0) & (F.col("nc") > 0)
-    inner = sized.withColumn("gap", F.when(both, gap).otherwise(0.0))
-    cells = inner.groupBy("feature", "cell").agg(
-        F.max("gap").alias("top"),
-        F.min("gap").alias("bottom"),
-        F.sum(F.when(both, F.col("r") / F.col("nr") - F.col("c") / F.col("nc")).otherwise(0.0)).alias("step"),
-    )
-    start = F.coalesce(F.sum("step").over(cells_before(["feature"])), F.lit(0.0))
-    ends = cells.withColumn("ks", F.greatest(F.abs(start + F.col("top")), F.abs(start + F.col("bottom"))))
-    return ends.groupBy("feature").agg(F.max("ks").alias("ks"))
+    gap = F.col("start") + F.sum("r").over(run) / F.col("nr") - F.sum("c").over(run) / F.col("nc")
+    inside = counts.select("feature", F.abs(gap).alias("gap")).groupBy("feature").agg(F.max("gap").alias("inside"))
+    return known.join(inside, "feature", "left").select("feature", F.greatest("ks", "inside").alias("ks"))
+
+
+def _both_sides(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Numbers of both sides, marked by counts ``r`` and ``c``; text that is no number is missing."""
+    def side(df: DataFrame, r: int, c: int) -> DataFrame:
+        values = [F.col(x).try_cast("double") for x in columns]
+        return df.select(
+            *[F.when(~F.isnan(v), v).alias(x) for x, v in zip(columns, values)], F.lit(r).alias("r"), F.lit(c).alias("c")
+        )
+
+    return side(reference, 1, 0).unionByName(side(current, 0, 1))
+
+
+def _in_cells(both: DataFrame, columns: Sequence[str], cuts: dict[str, Sequence[float]]) -> DataFrame:
+    """Long rows (feature, cell, value, r, c)."""
+    for i, x in enumerate(columns):
+        both = with_cell(both, x, cuts.get(x, ()), out=f"cell{i}")
+    cells = [
+        F.struct(F.lit(x).alias("feature"), F.col(f"cell{i}").alias("cell"), F.col(x).alias("value"))
+        for i, x in enumerate(columns)
+    ]
+    return both.select(F.inline(F.array(*cells)), "r", "c").where(F.col("value").isNotNull())
+
+
+def _bound_cells(rows: DataFrame, columns: Sequence[str]) -> tuple[dict[str, float], list[tuple]]:
+    """Largest difference at the cells' ends, and the cells whose inside may exceed it."""
+    sizes: dict[str, list] = {x: [] for x in columns}
+    for row in rows.groupBy("feature", "cell").agg(F.sum("r").alias("r"), F.sum("c").alias("c")).collect():
+        sizes[row["feature"]].append((row["cell"], row["r"], row["c"]))
+    ends, open_cells = {}, []
+    for x in columns:
+        nr, nc = (float(sum(cell[i] for cell in sizes[x])) for i in (1, 2))
+        ends[x] = 0.0
+        if not nr or not nc:
+            continue
+        bounded, seen_r, seen_c = [], 0, 0
+        for cell, r, c in sorted(sizes[x]):
+            start = seen_r / nr - seen_c / nc
+            reach = max(abs(start + r / nr), abs(start - c / nc))
+            seen_r, seen_c = seen_r + r, seen_c + c
+            ends[x] = max(ends[x], abs(seen_r / nr - seen_c / nc))
+            bounded.append((reach, (x, cell, start, nr, nc)))
+        open_cells += [entry for reach, entry in bounded if reach > ends[x]]
+    return ends, open_cells
 
 
 def drift_report(

@@ -30,18 +30,19 @@ def get_spark(app: str = "scorewatch", master: str | None = None, **conf: str) -
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see: ``spark.checkpoint.dir``.
+    """The folder all executors see: ``spark.checkpoint.dir``, or the context's checkpoint folder.
 
-    Where that setting is absent and the session runs in local mode (tests) a
-    temporary folder is chosen and remembered in the session; a cluster
-    without the setting is an error.
+    Where neither is set and the session runs in local mode (tests) a temporary
+    folder is chosen and remembered in the session; a cluster without the
+    setting is an error.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or spark.conf.get("scorewatch.shared.dir", None)
+        or spark.sparkContext.getCheckpointDir()
+    )
     if base:
         return base.rstrip("/")
-    base = spark.conf.get("scorewatch.shared.dir", None)
-    if base:
-        return base
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     base = tempfile.mkdtemp(prefix="scorewatch-")
@@ -49,9 +50,20 @@ def shared_dir(spark: SparkSession) -> str:
     return base
 
 
+def scratch_dir(spark: SparkSession) -> str:
+    """This application's own part of the shared folder."""
+    return f"{shared_dir(spark)}/scorewatch-{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new, unused path in the scratch folder."""
+    return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application has written to its scratch folder; earlier results read from it are gone."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df, label: str = "stage"):
@@ -63,3 +75,17 @@ def materialise(df, label: str = "stage"):
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def local_table(spark: SparkSession, rows: list[tuple], schema: str):
+    """A small driver-side table as a constant relation, which needs no job of its own."""
+    def literal(value) -> str:
+        if value is None:
+            return "NULL"
+        if isinstance(value, str):
+            return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        return f"{value!r}D" if isinstance(value, float) else repr(value)
+
+    names = ", ".join(f"`{part.split()[0]}`" for part in schema.split(","))
+    values = ", ".join("(" + ", ".join(map(literal, row)) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({names})")

@@ -9,7 +9,7 @@ function over sorted times.
 from __future__ import annotations
 
 from collections import deque
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -19,16 +19,27 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from ..functions import fixed
 
 
-def admit(times: Iterable[int], accepted: deque, window: int, limit: int) -> list[bool]:
-    """Decide sorted times one by one; ``accepted`` is carried over and updated."""
-    verdicts = []
-    for now in times:
+def admit(times: np.ndarray, accepted: deque, window: int, limit: int) -> np.ndarray:
+    """Decide sorted times one by one; ``accepted`` is carried over and updated.
+
+    While the record is full everything up to the moment its oldest entry
+    expires is rejected at once, so the work goes with the accepted requests,
+    however many are turned away.
+    """
+    verdicts = np.zeros(len(times), dtype=bool)
+    i = 0
+    while i < len(times):
+        now = int(times[i])
         while accepted and accepted[0] <= now - window:
             accepted.popleft()
-        free = len(accepted) < limit
-        if free:
+        if len(accepted) < limit:
             accepted.append(now)
-        verdicts.append(free)
+            verdicts[i] = True
+            i += 1
+        elif not accepted:
+            break
+        else:
+            i += int(np.searchsorted(times[i:], accepted[0] + window, side="left"))
     return verdicts
 
 
@@ -80,7 +91,7 @@ def rate_limit(
                     continue
                 if (clients[a], run_ids[a]) != current:
                     current, accepted = (clients[a], run_ids[a]), deque()
-                verdicts[a:b] = admit(times[a:b].tolist(), accepted, window, limit)
+                verdicts[a:b] = admit(times[a:b], accepted, window, limit)
             yield pdf.drop(columns=["__run", "__us"]).assign(accepted=verdicts)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) + ", accepted boolean"
@@ -114,7 +125,7 @@ def stream_rate_limit(
             return
         accepted = deque(state.get[0] if state.exists else ())
         pdf = pd.concat(list(batches)).sort_values(["us", "key"])
-        pdf["accepted"] = admit(pdf["us"].tolist(), accepted, window, limit)
+        pdf["accepted"] = admit(pdf["us"].to_numpy(), accepted, window, limit)
         state.update((list(accepted),))
         if accepted:
             clear_at = (accepted[-1] + window) // 1000 + 1
