@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions import fixed
 from ..functions.buckets import right_closed_bucket
 from ..session import local_table
-from .ordered import quantile_edges, running_in_cell, sketch_columns, with_cell
+from .ordered import quantile_edges, running_in_cell, side_by_side, sketch_columns, with_cell
 
 MISSING, OUTSIDE = -1, 0
 
@@ -306,12 +306,11 @@ def headline(report: DataFrame, prediction_psi: DataFrame | None = None, thresho
     base = report.agg(
         F.coalesce(F.max("psi"), F.lit(0.0)).alias("max_feature_psi"),
         F.coalesce(F.bool_or("alert"), F.lit(False)).alias("alert"),
-        F.lit(1).alias("k"),
     )
     if prediction_psi is None:
         joined = base.withColumn("prediction_psi", F.lit(None).cast("double"))
     else:
-        joined = base.join(prediction_psi.select(F.col("psi").alias("prediction_psi"), F.lit(1).alias("k")), "k", "left")
+        joined = side_by_side(base, prediction_psi.select(F.col("psi").alias("prediction_psi")))
     value = F.coalesce("prediction_psi", "max_feature_psi")
     return joined.select(
         "alert",

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import fixed
 from ..functions.text import utc_stamp
-from .ordered import exact_quantiles
+from .ordered import exact_quantiles, side_by_side
 
 
 def log_entries(
@@ -61,15 +61,14 @@ def analyse_log(logs: DataFrame) -> DataFrame:
         F.max("prediction").alias("prediction_max"),
         F.avg("latency_ms").alias("latency_mean_ms"),
         F.array_join(F.array_sort(F.collect_set("model_version")), ",").alias("model_versions"),
-        F.lit(1).alias("k"),
     )
-    inputs = logs.select("input_hash").distinct().agg(F.count("input_hash").alias("unique_inputs"), F.lit(1).alias("k"))
+    inputs = logs.select("input_hash").distinct().agg(F.count("input_hash").alias("unique_inputs"))
     names = {"prediction": "prediction_p{:02d}", "latency_ms": "latency_p{:02d}_ms"}
     literals = [
         F.lit(value).cast("double").alias(names[c].format(round(p * 100)))
         for c, ps in points.items() for p, value in zip(ps, quantiles[c])
     ]
-    return base.join(inputs, "k").drop("k").select("*", *literals)
+    return side_by_side(base, inputs).select("*", *literals)
 
 
 def outcome_counters(requests: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import fixed
 from ..functions.buckets import calibration_bucket, count_below
 from ..functions.decisions import approved
-from .ordered import cells_before, running_in_cell, sketch_columns, with_cell
+from .ordered import cells_before, running_in_cell, side_by_side, sketch_columns, with_cell
 
 
 def roc_auc(
@@ -62,7 +62,7 @@ def evaluate_scores(
         F.lit(float(threshold)).alias("decision_threshold"),
     )
     if not by:
-        return auc.withColumn("k", F.lit(1)).join(rates.withColumn("k", F.lit(1)), "k").drop("k")
+        return side_by_side(auc, rates)
     return rates.join(auc, by)
 
 
@@ -120,7 +120,7 @@ def calibration_report(
         F.avg(F.pow(F.col(after) - F.col(label), 2)).alias("brier_score_after"),
     )
     gap = calibration_gap(df, after, label).withColumnRenamed("calibration_gap", "calibration_gap_after")
-    return sizes.withColumn("k", F.lit(1)).join(gap.withColumn("k", F.lit(1)), "k").drop("k")
+    return side_by_side(sizes, gap)
 
 
 def classification_metrics(df: DataFrame, scores: Sequence[str], label: str, by: Sequence[str] = ()) -> DataFrame:

@@ -123,6 +123,14 @@ def cells_before(by: Sequence[str]):
     return Window.partitionBy(*by).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
 
 
+def side_by_side(*rows: DataFrame) -> DataFrame:
+    """One row from several one-row tables with different columns; no join."""
+    stacked = rows[0]
+    for other in rows[1:]:
+        stacked = stacked.unionByName(other, allowMissingColumns=True)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
+
+
 # ---- exact order statistics --------------------------------------------------
 
 

@@ -9,7 +9,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import fixed
-from .ordered import balanced_cells, cells_before, sketch_columns, with_cell
+from .ordered import balanced_cells, cells_before, side_by_side, sketch_columns, with_cell
 
 TRAIN, CALIBRATION, TEST = "train", "calibration", "test"
 
@@ -218,10 +218,14 @@ def late_rows(df: DataFrame, time_column: str, order_key: str, cuts: Sequence[fl
     inside = F.max("day").over(
         Window.partitionBy("cell").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
     )
-    # One row per cell, so joining it back is cheap.
-    peaks = celled.groupBy("cell").agg(F.max("day").alias("peak"))
-    earlier = peaks.select("cell", F.max("peak").over(cells_before([])).alias("earlier"))
-    seen = celled.withColumn("inside", inside).join(F.broadcast(earlier), "cell")
+    seen = celled.withColumn("inside", inside)
+    if cuts:
+        # At most MAX_CELLS rows, so joining them back is cheap.
+        peaks = celled.groupBy("cell").agg(F.max("day").alias("peak"))
+        earlier = peaks.select("cell", F.max("peak").over(cells_before([])).alias("earlier"))
+        seen = seen.join(F.broadcast(earlier), "cell")
+    else:
+        seen = seen.withColumn("earlier", F.lit(None).cast("date"))
     return seen.agg(
         F.count_if(F.col("day") < F.greatest("inside", "earlier")).alias("late_rows")
     )
@@ -237,11 +241,10 @@ def temporal_manifest(df: DataFrame, time_column: str, order_key: str) -> DataFr
         F.min("day").alias("first_day"),
         F.max("day").alias("last_day"),
         F.count("day").alias("days_present"),
-        F.lit(1).alias("k"),
     )
-    late = late_rows(df, time_column, order_key).withColumn("k", F.lit(1))
+    late = late_rows(df, time_column, order_key)
     span = (F.datediff("last_day", "first_day") + 1).cast("bigint")
-    return base.join(late, "k").select(
+    return side_by_side(base, late).select(
         "rows", span.alias("calendar_days"), "days_present", (span - F.col("days_present")).alias("missing_days"),
         "late_rows", "first_day", "last_day",
     )

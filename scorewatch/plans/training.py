@@ -11,6 +11,7 @@ from ..functions import fixed
 from ..functions.decisions import binarise
 from ..operators import contract as contracts
 from ..operators import feature_stats, metrics, model as models, splits
+from ..operators.ordered import side_by_side
 from ..session import materialise
 from ..sources.fingerprint import table_fingerprint
 
@@ -45,8 +46,8 @@ def train(
     part = table.where(F.col("split") == splits.TRAIN)
     model = models.fit_model(part, contract.categorical, contract.numeric, LABEL, intercept)
     quality = metrics.evaluate_scores(models.score(model, part), models.SCORE, LABEL)
-    print_hash = table_fingerprint(rows).select(F.col("sum_hash").alias("data_hash"), "rows", F.lit(1).alias("k"))
-    metadata = quality.withColumn("k", F.lit(1)).join(print_hash, "k").select(
+    content = table_fingerprint(rows).select(F.col("sum_hash").alias("data_hash"), "rows")
+    metadata = side_by_side(quality, content).select(
         F.lit(fixed.MODEL_VERSION).alias("model_version"), "data_hash", "rows",
         F.lit(contract.width).alias("columns"), "decision_threshold", "roc_auc", "approval_rate",
     )
