@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import fixed
 from ..functions.decisions import decide, request_outcome
-from ..operators import drift, feature_stats, metrics
+from ..operators import drift, feature_stats, metrics, model as models
 from ..session import fresh_path, shared_dir
 
 
@@ -64,6 +65,12 @@ def drain(
     return spark.read.schema(stream.schema).parquet(path)
 
 
+def score_with_model(stream: DataFrame, model: PipelineModel, flags: dict[str, Column]) -> DataFrame:
+    """``score_requests`` with a fitted model; its SQL stage runs on streams as it does on tables."""
+    scored = models.score(model, stream)
+    return score_requests(scored, F.col(models.SCORE), flags)
+
+
 def score_requests(stream: DataFrame, score: Column, flags: dict[str, Column]) -> DataFrame:
     """Outcome of every request, and score and decision of the successful ones; stateless."""
     ok = F.col("outcome") == "success"
@@ -76,7 +83,7 @@ def score_requests(stream: DataFrame, score: Column, flags: dict[str, Column]) -
 
 def window_counts(df: DataFrame, timestamp: str, size: str, slide: str | None = None, error: Column | None = None) -> DataFrame:
     """Requests, errors and error rate per window; batch or stream."""
-    window = F.window(F.col(timestamp).cast("timestamp"), size, slide) if slide else F.window(F.col(timestamp).cast("timestamp"), size)
+    window = F.window(timestamp, size, slide) if slide else F.window(timestamp, size)
     bad = F.count_if(error) if error is not None else F.lit(0).cast("bigint")
     return df.groupBy(window.alias("w")).agg(F.count(F.lit(1)).alias("requests"), bad.alias("errors")).select(
         F.col("w.start").alias("window_start"), "requests", "errors", (F.col("errors") / F.col("requests")).alias("error_rate")
@@ -92,7 +99,7 @@ def request_rate(df: DataFrame, timestamp: str, size: str, seconds: int, slide:
 
 def latency_cells(df: DataFrame, timestamp: str, value: str, size: str, bounds: Sequence[float]) -> DataFrame:
     """Rows per window and histogram cell; batch or stream."""
-    window = F.window(F.col(timestamp).cast("timestamp"), size).alias("w")
+    window = F.window(timestamp, size).alias("w")
     cells = df.where(F.col(value).isNotNull()).groupBy(window, metrics.histogram_cells(value, bounds).alias("cell")).agg(F.count(F.lit(1)).alias("n"))
     return cells.select(F.col("w.start").alias("window_start"), "cell", "n")
 
@@ -107,9 +114,10 @@ def latency_quantiles(
 
 
 def stream_psi_frequencies(stream: DataFrame, features: drift.Features, edges: dict[str, list[float]], timestamp: str) -> DataFrame:
-    """Running frequency table per tumbling day against fixed reference edges."""
-    day = F.window(F.col(timestamp).cast("timestamp"), "1 day")["start"].cast("date").alias("event_day")
-    return drift.frequency_table(stream.withColumn("event_day", day), features, edges, ["event_day"])
+    """Running frequency table per calendar day against fixed reference edges."""
+    return drift.frequency_table(
+        stream.withColumn("event_day", drift.day_of(timestamp)), features, edges, ["event_day"]
+    )
 
 
 def running_feature_stats(stream: DataFrame, columns: Sequence[str]) -> DataFrame:

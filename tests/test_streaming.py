@@ -104,3 +104,15 @@ def test_late_counter_emits_closed_days(spark, table, folder):
     df, _ = table
     out = jobs.drain(spark, lambda s: jobs.late_counter(source(folder, df.schema)(s), "ts", "1 minute"), "append", "late")
     assert set(out.columns) == {"day", "rows"}
+
+
+def test_model_scores_a_stream_as_it_scores_a_table(spark, table, folder):
+    from scorewatch.operators import model as M
+
+    df, _ = table
+    labelled = df.withColumn("label", (F.col("value") + F.when(F.col("kind") == "b", 0.3).otherwise(0.0) > 0.6).cast("int"))
+    fitted = M.fit_model(labelled, ["kind"], ["value"], "label")
+    none = {"malformed": F.lit(False)}
+    out = jobs.drain(spark, lambda s: jobs.score_with_model(source(folder, df.schema)(s), fitted, none).select("key", "prediction", "decision"), "append", "m")
+    batch = jobs.score_with_model(df, fitted, none).select("key", "prediction", "decision")
+    assert out.exceptAll(batch).count() == 0 and out.count() == 1500
