@@ -367,13 +367,11 @@ def _edges_of_small(df: DataFrame, columns: Sequence[str], bins: int) -> dict[st
         F.sum("count").over(whole).alias("rows"),
         F.count(F.lit(1)).over(whole).alias("distinct"),
     )
-    # A generous choice of rows around each wanted rank; the exact ranks are read off below.
+    # Rows within one rank of a multiple of (rows - 1) / steps; the exact ranks are read off below.
     steps = F.least(F.lit(bins), F.col("distinct"))
+    per_rank = steps / (F.col("rows") - 1)
     first, last = F.col("upto") - F.col("count"), F.col("upto") - 1
-    near = F.exists(
-        F.sequence(F.lit(0), steps.cast("int")),
-        lambda i: ((F.col("rows") - 1) * i / steps + 1 >= first) & ((F.col("rows") - 1) * i / steps - 1 <= last),
-    )
+    near = (F.col("rows") < 2) | (F.ceil((first - 1) * per_rank) <= F.floor((last + 1) * per_rank))
     held: dict[str, list] = {c: [] for c in columns}
     for row in ranked.where(near).collect():
         held[columns[row["col"]]].append(row)

@@ -26,7 +26,8 @@ def noise_robustness(
     """Two-way split in time; one model on clean and one on noisy labels."""
     cutoffs = splits.temporal_cutoffs(rows, time_column, two_way=True)
     table = materialise(
-        splits.with_split(rows, time_column, cutoffs).withColumn("label", binarise(F.col(contract.target))), "noise"
+        splits.with_split(rows, time_column, cutoffs).withColumn("label", binarise(F.col(contract.target))),
+        "noise", ("split",),
     )
     train = table.where(F.col("split") == splits.TRAIN)
     noisy = perturb.inject_label_noise(train, key, "label", fraction, kind, seed)

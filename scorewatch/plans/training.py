@@ -41,7 +41,7 @@ def train(
     splits.require_dates(rows, time_column)
     cutoffs = splits.temporal_cutoffs(rows, time_column)
     labelled = splits.with_split(rows, time_column, cutoffs).withColumn(LABEL, binarise(F.col(contract.target)))
-    table = materialise(labelled, "split")
+    table = materialise(labelled, "split", ("split",))
     splits.require_no_leakage(table, time_column)
     part = table.where(F.col("split") == splits.TRAIN)
     model = models.fit_model(part, contract.categorical, contract.numeric, LABEL, intercept)

@@ -66,14 +66,14 @@ def clear_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def materialise(df, label: str = "stage"):
+def materialise(df, label: str = "stage", partition_by: tuple[str, ...] = ()):
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Cuts lineage like ``checkpoint()`` does, but keeps column pruning and
     filter push-down for the later reads, and survives the loss of executors.
     """
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
