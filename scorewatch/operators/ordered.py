@@ -136,10 +136,11 @@ def side_by_side(*rows: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Located:
-    """An order statistic and the number of rows strictly below it."""
+    """An order statistic, the number of rows strictly below it and of those equal to it."""
 
     value: float
     below: int
+    rows: int
 
 
 @dataclass(frozen=True)
@@ -221,7 +222,7 @@ def _pick(df: DataFrame, spans: Sequence[_Span], found: dict[str, dict[int, Loca
         span = spans[row["span"]]
         for rank in span.ranks:
             if row["below"] <= rank - span.below < row["upto"]:
-                found[span.column][rank] = Located(row["value"], span.below + row["below"])
+                found[span.column][rank] = Located(row["value"], span.below + row["below"], row["count"])
 
 
 def _narrow(df: DataFrame, spans: Sequence[_Span], points, found) -> list[_Span]:
@@ -253,7 +254,7 @@ def _narrow(df: DataFrame, spans: Sequence[_Span], points, found) -> list[_Span]
             inner = tuple(r for r in ranks if below <= r < below + rows)
             if inner and cell % 2 == 1:
                 for rank in inner:
-                    found[column][rank] = Located(marks[cell // 2], below)
+                    found[column][rank] = Located(marks[cell // 2], below, rows)
             elif inner:
                 k = cell // 2
                 low = marks[k - 1] if k > 0 else -math.inf

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import fixed
 from ..functions.text import tokens
 from .contract import Contract
-from .ordered import order_statistics, sketch_columns
+from .ordered import ColumnSketch, order_statistics
 
 # 13 hex digits are 52 bits, which a double holds exactly.
 _DIGITS = 13
@@ -21,29 +22,35 @@ def shuffle_key(key: Column, seed: int) -> Column:
     return F.conv(F.substring(digest, 1, _DIGITS), 16, 10).cast("double")
 
 
+def _marks_round(rank: int, rows: int) -> ColumnSketch:
+    """Hashes are uniform, so a rank's value is known up to a few deviations; two marks enclose it."""
+    top = float(1 << 4 * _DIGITS)
+    centre, spread = rank / rows, 8.0 / math.sqrt(rows)
+    marks = tuple(m * top for m in (centre - spread, centre + spread) if 0.0 < m < 1.0)
+    return ColumnSketch(rows, 0.0, top, marks)
+
+
 def pick_exactly(df: DataFrame, key: str, fraction: float, seed: int = fixed.SEED) -> DataFrame:
     """Add ``picked``, true on exactly ``int(rows * fraction)`` rows, chosen by hashed key.
 
     The hash of the last chosen row is found by exact selection and becomes a
-    literal, so the choice is a filter; only rows that share this one hash are
-    compared by key.
+    literal, so the choice is a filter. Should rows share this one hash and not
+    all be wanted, they are compared by key.
     """
-    hashed = df.withColumn("__h", shuffle_key(F.col(key), seed))
-    sketches = sketch_columns(hashed, ["__h"])
-    wanted = int(sketches["__h"].rows * fraction)
+    rows = df.count()
+    wanted = int(rows * fraction)
     if wanted <= 0:
         return df.withColumn("picked", F.lit(False))
-    last = order_statistics(hashed, {"__h": [wanted - 1]}, sketches)["__h"][wanted - 1]
-    at_last = hashed.where(F.col("__h") == last.value).select(key)
+    hashed = df.withColumn("__h", shuffle_key(F.col(key), seed))
+    marks = {"__h": _marks_round(wanted - 1, rows)}
+    last = order_statistics(hashed, {"__h": [wanted - 1]}, marks)["__h"][wanted - 1]
+    picked = F.col("__h") <= last.value
     open_places = wanted - last.below
-    # Distinct keys with one and the same 52-bit hash: a handful at most.
-    chosen = (
-        at_last.withColumn("__place", F.row_number().over(Window.orderBy(key)))
-        .where(F.col("__place") <= open_places)
-        .select(F.col(key).alias("__key"))
-    )
-    keys = [r[0] for r in chosen.collect()]
-    picked = (F.col("__h") < last.value) | ((F.col("__h") == last.value) & F.col(key).isin(keys))
+    if open_places < last.rows:
+        # Distinct keys with one and the same 52-bit hash: a handful at most.
+        at_last = hashed.where(F.col("__h") == last.value).select(key)
+        keys = [r[0] for r in at_last.orderBy(key).limit(open_places).collect()]
+        picked = (F.col("__h") < last.value) | ((F.col("__h") == last.value) & F.col(key).isin(keys))
     return hashed.withColumn("picked", picked).drop("__h")
 
 
