@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import drift, governance, metrics
-from ..session import materialise
 from . import views
 from .drift_queries import EVENT_DAILY, EVENT_FEATURES
 from .metric_queries import auc_sql, gap_sql

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import metrics, model as models, splits
+from ..operators import model as models, splits
 from ..operators.contract import Contract, Field
 from ..plans import noise, training
 from ..session import materialise
 from . import views
 from .registry import query, rounded
 
-CREDIT = Contract(
+SCORED = Contract(
     name="applications",
     fields=(
         Field("event_time", "timestamp"),
@@ -31,13 +31,13 @@ CREDIT = Contract(
 def rows(spark, sf):
     apps = views.applications(spark, sf)
     whole = {c: F.floor(c).cast("bigint") for c in ("total", "balance")}
-    return materialise(apps.withColumns(whole).select("app_id", *CREDIT.names), "applications")
+    return materialise(apps.withColumns(whole).select("app_id", *SCORED.names), "applications")
 
 
 @query("train_score")
 def train_score(spark, sf):
     """Metadata and quality of a model trained on the first 60 % of the days."""
-    run = training.train(rows(spark, sf), CREDIT, "event_time")
+    run = training.train(rows(spark, sf), SCORED, "event_time")
     return rounded(run.metadata)
 
 
@@ -46,7 +46,7 @@ def batch_score(spark, sf):
     """Scores and decisions of the test part."""
     from ..functions.decisions import decide
 
-    run = training.train(rows(spark, sf), CREDIT, "event_time")
+    run = training.train(rows(spark, sf), SCORED, "event_time")
     test = run.table.where(F.col("split") == splits.TEST)
     scored = models.score(run.model, test)
     return scored.select("app_id", F.round(models.SCORE, 6).alias("prediction"), decide(F.col(models.SCORE)).alias("decision"))
@@ -55,14 +55,14 @@ def batch_score(spark, sf):
 @query("model_evaluation")
 def model_evaluation(spark, sf):
     """AUC and approval rate on the test part."""
-    run = training.train(rows(spark, sf), CREDIT, "event_time")
+    run = training.train(rows(spark, sf), SCORED, "event_time")
     return rounded(training.evaluate(run.model, run.table))
 
 
 @query("isotonic_calibration")
 def isotonic_calibration(spark, sf):
     """Calibration report, on the fitted part and on the test part."""
-    run = training.train(rows(spark, sf), CREDIT, "event_time")
+    run = training.train(rows(spark, sf), SCORED, "event_time")
     _, fitted = training.calibrate(run.model, run.table)
     _, held_out = training.calibrate(run.model, run.table, report_on=splits.TEST)
     both = fitted.withColumn("reported_on", F.lit(splits.CALIBRATION)).unionByName(
@@ -100,4 +100,4 @@ def isotonic_scores(spark, sf):
 @query("noise_robustness")
 def noise_robustness(spark, sf):
     """Metrics of a clean and a noisily trained model on clean labels."""
-    return noise.noise_robustness(rows(spark, sf), CREDIT, "event_time", "app_id").comparison
+    return noise.noise_robustness(rows(spark, sf), SCORED, "event_time", "app_id").comparison

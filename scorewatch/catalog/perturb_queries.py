@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.text import tokens
 from ..operators import contract as contracts
 from ..operators import drift, perturb
 from ..session import materialise
 from . import views
-from .contract_queries import APPLICATION, TOKENS
+from .contract_queries import APPLICATION
 from .psi_sql import psi_ctes
 from .registry import query, rounded
 from .views import APP_CTES, APP_SIDES, LINES_CTE, NUMERIC

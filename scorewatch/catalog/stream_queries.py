@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import fixed
 from ..operators import drift, feature_stats
 from ..streaming import jobs
 from ..streaming.rate_limit import rate_limit as batch_rate_limit, stream_rate_limit

@@ -251,7 +251,7 @@ def payload_fields(payload: Column) -> Column:
 
 
 def request_violations(
-    fields: str, contract: Contract, ranges: dict[str, tuple[int, int]] | None = None
+    fields: str, contract: Contract, ranges: dict[str, tuple[int, int]] = fixed.REQUEST_RANGES
 ) -> Column:
     """All violations of one request, given the name of its ``payload_fields`` column, as an array.
 
@@ -259,7 +259,6 @@ def request_violations(
     numbers that are no integers, integers out of range, values outside the
     allowed set. Target and timestamps are no part of a request.
     """
-    ranges = ranges or {}
     wanted = contract.features
     given = F.col(fields)
     extras = F.transform(
@@ -285,7 +284,8 @@ def request_violations(
 
 
 def validate_requests(
-    df: DataFrame, request_id: str, payload: str, contract: Contract, ranges: dict[str, tuple[int, int]] | None = None
+    df: DataFrame, request_id: str, payload: str, contract: Contract,
+    ranges: dict[str, tuple[int, int]] = fixed.REQUEST_RANGES,
 ) -> DataFrame:
     """Every violation of every request: (request_id, ordinal, field, rule, value)."""
     parsed = df.select(request_id, payload_fields(F.col(payload)).alias("__fields"))

@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from scorewatch.operators import ordered, splits
-from scorewatch.plans import training
 
 
 def days(spark, offsets):
