@@ -172,7 +172,7 @@ def second_pass(found: list[Block], labels: list[int | None]) -> list[int]:
     for order, seen in ((range(n), before), (range(n - 1, -1, -1), after)):
         last: dict[int, int] = {}
         for i in order:
-            if labels[i] is not OPEN:
+            if labels[i] == GOOD or labels[i] == BAD and not found[i].article:  # a link list in an article decides itself alone
                 last[found[i].article] = i
             seen[i] = last.get(found[i].article)
     out = []
