@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import drift
+from ..operators.ordered import quantile_edges
 from ..plans.drift_run import prediction_psi as plan_prediction_psi
 from . import views
 from .psi_sql import ks_ctes, psi_ctes
@@ -22,6 +23,14 @@ def psi_numeric(spark, sf):
     return drift.psi(ref, cur, drift.Features(NUMERIC)).select("feature", r6("psi").alias("psi"))
 
 
+@query("psi_numeric_cells", f"WITH {APP_SIDES}, {psi_ctes(NUMERIC)} SELECT feature, round(psi, 6) AS psi FROM psi")
+def psi_numeric_cells(spark, sf):
+    """The same with cells so small that edges are found as on the largest tables: by cut points, counts and narrowing."""
+    ref, cur = views.app_sides(spark, sf)
+    edges = quantile_edges(ref, list(NUMERIC), rows_per_cell=100)
+    return drift.psi(ref, cur, drift.Features(NUMERIC), edges=edges).select("feature", r6("psi").alias("psi"))
+
+
 @query("psi_categorical", f"WITH {APP_SIDES}, {psi_ctes((), CATEGORICAL)} SELECT feature, round(psi, 6) AS psi FROM psi")
 def psi_categorical(spark, sf):
     ref, cur = views.app_sides(spark, sf, lines=False)

@@ -127,13 +127,12 @@ def infer_split_type(spark, sf):
 
 @query(
     "missing_days",
-    """WITH d AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '5-LOW'),
+    """WITH d AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders),
 b AS (SELECT min(day) AS a, max(day) AS z FROM d)
 SELECT CAST(unnest(generate_series(a, z, INTERVAL 1 DAY)) AS DATE) AS day FROM b EXCEPT SELECT day FROM d""",
 )
 def missing_days(spark, sf):
-    orders = views.table(spark, sf, "orders").where("o_orderstatus = 'F' AND o_orderpriority = '5-LOW'")
-    return splits.missing_days(orders, "o_orderdate")
+    return splits.missing_days(views.table(spark, sf, "orders"), "o_orderdate")
 
 
 @query(

@@ -272,10 +272,14 @@ def request_violations(
         value = F.try_element_at(given, F.lit(name))
         check = F.when(value.isNull(), _entry(i, name, "missing", value))
         if spec.kind == "integer":
-            check = check.when(~is_integer(value), _entry(i, name, "integer", value))
+            # Whole numbers may be written with a fraction of zero or an exponent, 30.0 or 3e1.
+            number = value.try_cast("double")
+            written = value.rlike(r"^-?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?$") & (number == F.floor(number)) & (F.abs(number) < 2.0**53)
+            whole = is_integer(value) | F.coalesce(written, F.lit(False))
+            check = check.when(~whole, _entry(i, name, "integer", value))
             if name in ranges:
                 low, high = ranges[name]
-                check = check.when(~value.try_cast("bigint").between(low, high), _entry(i, name, "range", value))
+                check = check.when(~F.coalesce(value.try_cast("bigint").cast("double"), number).between(low, high), _entry(i, name, "range", value))
         else:
             check = check.when(~value.isin(list(spec.allowed)), _entry(i, name, "membership", value))
         checks.append(check.otherwise(_none()))

@@ -180,7 +180,8 @@ def psi_trend(
     )
     best = daily.groupBy("event_day").agg(
         F.max("psi").alias("max_psi"),
-        F.max_by("feature", F.struct("psi", -features.position(F.col("feature")))).alias("max_psi_feature"),
+        # Sums of many terms leave noise in the last digits; equal features must tie.
+        F.max_by("feature", F.struct(F.round("psi", 9).alias("psi"), -features.position(F.col("feature")))).alias("max_psi_feature"),
     )
     return best.join(rows, "event_day").where(F.col("rows") >= min_rows).select(
         F.col("event_day").alias("event_time"), "rows", "max_psi", "max_psi_feature"

@@ -47,6 +47,15 @@ def roc_auc(
     return total.groupBy(*by).agg(F.when(pairs > 0, F.sum("area") / pairs).alias(out))
 
 
+def join_groups(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Left rows with the right's columns of the same group; null keys are a group like any other."""
+    named = right.withColumnsRenamed({c: f"__{c}" for c in by})
+    same = F.lit(True)
+    for c in by:
+        same = same & left[c].eqNullSafe(named[f"__{c}"])
+    return left.join(named, same, "left").drop(*[f"__{c}" for c in by])
+
+
 def evaluate_scores(
     df: DataFrame,
     score: str,
@@ -63,7 +72,7 @@ def evaluate_scores(
     )
     if not by:
         return side_by_side(auc, rates)
-    return rates.join(auc, by)
+    return join_groups(rates, auc, by)
 
 
 def summarise_batch(
@@ -144,7 +153,7 @@ def classification_metrics(df: DataFrame, scores: Sequence[str], label: str, by:
         F.when(F.col("guessed") > 0, F.col("hits") / F.col("guessed")).otherwise(0.0).alias("precision"),
         F.when(F.col("actual") > 0, F.col("hits") / F.col("actual")).otherwise(0.0).alias("recall"),
     )
-    return rates.join(roc_auc(long, "score", "label", keys, out="auc"), keys)
+    return join_groups(rates, roc_auc(long, "score", "label", keys, out="auc"), keys)
 
 
 def compare_scores(df: DataFrame, clean: str, noisy: str, label: str) -> DataFrame:

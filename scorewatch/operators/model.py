@@ -113,8 +113,8 @@ def fit_penalised_intercept(
         step = np.linalg.solve(curvature, gradient)
         beta = beta - step
         if float(np.max(np.abs(step))) < tolerance:
-            break
-    return beta[:-1], float(beta[-1])
+            return beta[:-1], float(beta[-1])
+    raise RuntimeError(f"the fit did not converge in {max_iterations} steps")
 
 
 def fit_free_intercept(

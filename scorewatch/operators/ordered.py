@@ -190,7 +190,10 @@ def order_statistics(
             _pick(slim, small, found)
         if not large:
             break
+        wider = {s.column: max(x.rows for x in large if x.column == s.column) for s in large}
         spans = _narrow(slim, large, points, found)
+        if any(s.rows >= wider[s.column] for s in spans if s.rows > per_cell):
+            raise RuntimeError("cut points inside a span left it as it was")
         points = _points_within(slim, [s for s in spans if s.rows > per_cell], per_cell)
         points = {s.column: points.get(s.column, ()) for s in spans}
     return found
@@ -265,7 +268,11 @@ def _narrow(df: DataFrame, spans: Sequence[_Span], points, found) -> list[_Span]
 
 
 def _points_within(df: DataFrame, spans: Sequence[_Span], per_cell: int) -> dict[str, tuple[float, ...]]:
-    """New cut points: the ends of each span and evenly spaced values inside it."""
+    """New cut points: the ends of each span, its lowest and highest value, and evenly spaced values inside it.
+
+    The lowest and the highest value become cells of their own, so every round
+    takes rows off a span, even if a sketch finds no cut between them.
+    """
     if not spans:
         return {}
     named = df.select(*[F.when(s.holds(), F.col(s.column)).alias(f"s{i}") for i, s in enumerate(spans)])
@@ -273,7 +280,8 @@ def _points_within(df: DataFrame, spans: Sequence[_Span], per_cell: int) -> dict
     out: dict[str, set[float]] = {}
     for i, span in enumerate(spans):
         ends = {e for e in (span.low, span.high) if not math.isinf(e)}
-        out.setdefault(span.column, set()).update(inside[f"s{i}"].cuts, ends)
+        within = inside[f"s{i}"]
+        out.setdefault(span.column, set()).update(within.cuts, ends, {v for v in (within.low, within.high) if v is not None})
     return {c: tuple(sorted(p)) for c, p in out.items()}
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import fixed
 from ..functions.text import tokens
+from ..session import materialise
 from .contract import Contract
 from .ordered import ColumnSketch, order_statistics
 
@@ -18,7 +19,7 @@ _DIGITS = 13
 
 def shuffle_key(key: Column, seed: int) -> Column:
     """A reproducible pseudo-random number in [0, 2^52) for a row key."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")).cast("binary"))
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit("null"))).cast("binary"))
     return F.conv(F.substring(digest, 1, _DIGITS), 16, 10).cast("double")
 
 
@@ -35,7 +36,8 @@ def pick_exactly(df: DataFrame, key: str, fraction: float, seed: int = fixed.SEE
 
     The hash of the last chosen row is found by exact selection and becomes a
     literal, so the choice is a filter. Should rows share this one hash and not
-    all be wanted, they are compared by key.
+    all be wanted, as rows of equal or null keys do, they are told apart by a
+    number that is fixed by writing the rows once.
     """
     rows = df.count()
     wanted = int(rows * fraction)
@@ -47,11 +49,11 @@ def pick_exactly(df: DataFrame, key: str, fraction: float, seed: int = fixed.SEE
     picked = F.col("__h") <= last.value
     open_places = wanted - last.below
     if open_places < last.rows:
-        # Distinct keys with one and the same 52-bit hash: a handful at most.
-        at_last = hashed.where(F.col("__h") == last.value).select(key)
-        keys = [r[0] for r in at_last.orderBy(key).limit(open_places).collect()]
-        picked = (F.col("__h") < last.value) | ((F.col("__h") == last.value) & F.col(key).isin(keys))
-    return hashed.withColumn("picked", picked).drop("__h")
+        hashed = materialise(hashed.withColumn("__n", F.monotonically_increasing_id()), "numbered")
+        ties = hashed.where(F.col("__h") == last.value)
+        edge = order_statistics(ties, {"__n": [open_places - 1]})["__n"][open_places - 1]
+        picked = (F.col("__h") < last.value) | ((F.col("__h") == last.value) & (F.col("__n") <= edge.value))
+    return hashed.withColumn("picked", picked).drop("__h", "__n")
 
 
 def inject_label_noise(

@@ -57,6 +57,11 @@ def rate_limit(
 ) -> DataFrame:
     """Add ``accepted``; ties in time are decided in key order.
 
+    Requests without a client count as those of one unknown client. A request
+    without a time cannot be placed in a window and is not accepted. A client
+    without pauses is decided in one task, in the order of time, as the rule
+    asks for; its rows stream through.
+
     A pause of a full window empties a client's record, so a client's history
     falls apart into independent runs there. Runs are found from one row per
     client and window-long time cell. Runs of at most ``limit`` requests are
@@ -64,26 +69,29 @@ def rate_limit(
     ``admit`` in Arrow batches, which keeps no more than ``limit`` times.
     """
     window = int(window_seconds * 1_000_000)
-    timed = df.withColumn("__us", _micros(timestamp)).withColumn("__cell", F.floor(F.col("__us") / F.lit(window)))
-    cells = timed.groupBy(client, "__cell").agg(
+    who = F.concat(F.when(F.col(client).isNull(), "unknown").otherwise("known:"), F.coalesce(F.col(client).cast("string"), F.lit("")))
+    placed = df.withColumn("__us", _micros(timestamp)).withColumn("__who", who)
+    timeless = placed.where(F.col("__us").isNull()).select(*df.columns, F.lit(False).alias("accepted"))
+    timed = placed.where(F.col("__us").isNotNull()).withColumn("__cell", F.floor(F.col("__us") / F.lit(window)))
+    cells = timed.groupBy("__who", "__cell").agg(
         F.min("__us").alias("a"), F.max("__us").alias("b"), F.count(F.lit(1)).alias("n")
     )
-    along = Window.partitionBy(client).orderBy("__cell")
+    along = Window.partitionBy("__who").orderBy("__cell")
     starts = F.coalesce(F.col("a") - F.lag("b").over(along) >= window, F.lit(True)).cast("int")
     marked = cells.withColumn("starts", starts)
     runs = marked.withColumn("__run", F.sum("starts").over(along.rowsBetween(Window.unboundedPreceding, 0)))
-    sizes = runs.withColumn("__n", F.sum("n").over(Window.partitionBy(client, "__run"))).select(
-        client, "__cell", "__run", "__n"
+    sizes = runs.withColumn("__n", F.sum("n").over(Window.partitionBy("__who", "__run"))).select(
+        "__who", "__cell", "__run", "__n"
     )
-    tagged = timed.join(sizes, [client, "__cell"])
+    tagged = timed.join(sizes, ["__who", "__cell"])
     calm = tagged.where(F.col("__n") <= limit).select(*df.columns, F.lit(True).alias("accepted"))
-    busy = tagged.where(F.col("__n") > limit).select(*df.columns, "__run", "__us")
+    busy = tagged.where(F.col("__n") > limit).select(*df.columns, "__who", "__run", "__us")
 
     def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, accepted = None, deque()
         for pdf in batches:
             verdicts = np.empty(len(pdf), dtype=bool)
-            clients, run_ids, times = pdf[client].to_numpy(), pdf["__run"].to_numpy(), pdf["__us"].to_numpy()
+            clients, run_ids, times = pdf["__who"].to_numpy(), pdf["__run"].to_numpy(), pdf["__us"].to_numpy()
             changes = np.flatnonzero((clients[1:] != clients[:-1]) | (run_ids[1:] != run_ids[:-1])) + 1
             bounds = [0, *changes.tolist(), len(pdf)]
             for a, b in zip(bounds, bounds[1:]):
@@ -92,15 +100,15 @@ def rate_limit(
                 if (clients[a], run_ids[a]) != current:
                     current, accepted = (clients[a], run_ids[a]), deque()
                 verdicts[a:b] = admit(times[a:b], accepted, window, limit)
-            yield pdf.drop(columns=["__run", "__us"]).assign(accepted=verdicts)
+            yield pdf.drop(columns=["__who", "__run", "__us"]).assign(accepted=verdicts)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) + ", accepted boolean"
     decided = (
-        busy.repartition(client, "__run")
-        .sortWithinPartitions(client, "__run", "__us", key)
+        busy.repartition("__who", "__run")
+        .sortWithinPartitions("__who", "__run", "__us", key)
         .mapInPandas(decide, schema)
     )
-    return calm.unionByName(decided)
+    return calm.unionByName(decided).unionByName(timeless)
 
 
 def stream_rate_limit(
@@ -110,36 +118,52 @@ def stream_rate_limit(
     key: str,
     window_seconds: int = fixed.RATE_WINDOW_SECONDS,
     limit: int = fixed.RATE_LIMIT,
-    delay: str = "0 seconds",
 ) -> DataFrame:
     """The same decision with the accepted times of each client in the state store.
 
-    ``client`` and ``key`` are bigint columns. A client's state is dropped once the
-    watermark has passed its last accepted request by a window.
+    Gives client, key, us, accepted and late for every request. One that comes
+    in a later batch than a later request of its client is marked late and is
+    decided as if it came when that one did, as a live service would. A
+    request without a time is not accepted; those without a client are one
+    unknown client's. A client that sends nothing for a window is forgotten.
     """
     window = int(window_seconds * 1_000_000)
+    kinds = dict(stream.dtypes)
 
     def decide(group, batches, state: GroupState):
         if state.hasTimedOut:
             state.remove()
             return
-        accepted = deque(state.get[0] if state.exists else ())
-        pdf = pd.concat(list(batches)).sort_values(["us", "key"])
-        pdf["accepted"] = admit(pdf["us"].to_numpy(), accepted, window, limit)
-        state.update((list(accepted),))
-        if accepted:
-            clear_at = (accepted[-1] + window) // 1000 + 1
-            state.setTimeoutTimestamp(max(clear_at, state.getCurrentWatermarkMs() + 1))
-        yield pdf[["client", "key", "us", "accepted"]]
-
-    timed = stream.withColumn("__ts", F.col(timestamp).cast("timestamp")).withWatermark("__ts", delay)
-    rows = timed.select(
-        "__ts", F.col(client).alias("client"), F.col(key).alias("key"), F.unix_micros("__ts").alias("us")
+        known, last = state.get if state.exists else ((), None)
+        arrived_ms = state.getCurrentWatermarkMs()
+        accepted = deque(known)
+        for pdf in batches:  # Arrow batches of the group; each is sorted, and goes on where the one before ended
+            arrived_ms = max(arrived_ms, int(pdf["arrived"].max().timestamp() * 1000))
+            pdf = pdf.sort_values(["us", "key"], na_position="last")
+            times = pdf["us"].to_numpy(dtype="float64", na_value=np.nan)
+            timed = int(np.isfinite(times).sum())
+            exact = pdf["us"].iloc[:timed].to_numpy(dtype="int64")
+            late = np.zeros(len(pdf), dtype=bool)
+            verdicts = np.zeros(len(pdf), dtype=bool)
+            if last is not None:
+                late[:timed] = exact < last
+                exact = np.maximum(exact, last)
+            verdicts[:timed] = admit(exact, accepted, window, limit)
+            if timed:
+                last = int(exact[-1])
+            yield pdf.assign(accepted=verdicts, late=late)[["client", "key", "us", "accepted", "late"]]
+        state.update((list(accepted), last))
+        state.setTimeoutTimestamp(arrived_ms + window // 1000 + 1)
+
+    # The watermark runs over arrival times, which are never late, so no request is dropped for its own time.
+    rows = stream.withColumn("arrived", F.current_timestamp()).withWatermark("arrived", "0 seconds").select(
+        "arrived",
+        F.col(client).alias("client"), F.col(key).alias("key"), F.unix_micros(F.col(timestamp).cast("timestamp")).alias("us")
     )
     return rows.groupBy("client").applyInPandasWithState(
         decide,
-        outputStructType="client bigint, key bigint, us bigint, accepted boolean",
-        stateStructType="accepted array<bigint>",
+        outputStructType=f"client {kinds[client]}, key {kinds[key]}, us bigint, accepted boolean, late boolean",
+        stateStructType="accepted array<bigint>, last bigint",
         outputMode="append",
         timeoutConf=GroupStateTimeout.EventTimeTimeout,
     )

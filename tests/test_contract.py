@@ -115,6 +115,7 @@ def test_extra_missing_and_wrong_values(spark, contract):
     assert request(spark, contract, {"account": "A11"}) == [("age", "missing")]
     assert request(spark, contract, {"account": "BAD", "age": 17}) == [("account", "membership"), ("age", "range")]
     assert request(spark, contract, {"account": "A12", "age": 30.5}) == [("age", "integer")]
+    assert request(spark, contract, {"account": "A12", "age": 30.0}) == []
     assert request(spark, contract, "not json") == [("", "not_an_object")]
 
 

@@ -87,3 +87,11 @@ def test_histogram_quantile_interpolates_and_stops_at_the_last_bound(spark):
     assert got["p95"] == pytest.approx(0.5 + 0.5 * 0.8)
     high = spark.createDataFrame([(9.0,)], "v double")
     assert metrics.histogram_quantiles(high, "v", fixed.LATENCY_BOUNDS, (0.5,)).collect()[0]["p50"] == 5.0
+
+
+def test_groups_of_null_keys_stay(spark):
+    rows = [(None, 0.9, 1), (None, 0.2, 0), ("a", 0.4, 1), ("a", 0.6, 0)]
+    df = spark.createDataFrame(rows, "g string, score double, label int")
+    got = {r.g: r.roc_auc for r in metrics.evaluate_scores(df, "score", "label", ["g"]).collect()}
+    assert got == {None: 1.0, "a": 0.0}
+    assert metrics.classification_metrics(df, ["score"], "label", ["g"]).count() == 2

@@ -70,3 +70,11 @@ def test_cells_never_fall_along_the_column(spark, columns):
 @given(st.lists(st.integers(-5, 5), min_size=1, max_size=40), st.integers(2, 12))
 def test_edges_of_small_integers(spark, values, bins):
     assert ordered.quantile_edges(frame(spark, {"x": values}), ["x"], bins)["x"] == numpy_edges(np.array(values, float), bins)
+
+
+def test_a_value_heavier_than_a_cell_between_two_cuts(spark):
+    values = [1.0] * 50 + [2.0] * 1000 + [3.0] * 50 + [2.5] * 3
+    marks = {"x": ordered.ColumnSketch(len(values), 1.0, 3.0, (1.0, 3.0))}
+    got = ordered.order_statistics(frame(spark, {"x": values}), {"x": [0, 60, 1049, 1050, 1102]}, marks, 100)["x"]
+    assert [got[r].value for r in (0, 60, 1049, 1050, 1102)] == [1.0, 2.0, 2.0, 2.5, 3.0]
+    assert (got[60].below, got[60].rows) == (50, 1000)

@@ -69,3 +69,10 @@ def test_bad_category_hits_the_first_rows(spark):
     df = spark.range(100).select("id", F.lit("A11").alias("c"))
     bad = perturb.bad_category(df, "c", F.col("id"), 50)
     assert bad.where("c = 'A999'").count() == 50 and bad.where("c = 'A999'").agg(F.max("id")).first()[0] == 49
+
+
+@pytest.mark.parametrize("fraction", [0.1, 0.5, 0.97])
+def test_repeated_and_null_keys_are_picked_exactly(spark, fraction):
+    df = spark.createDataFrame([(None if i % 4 == 3 else i % 4, i % 2) for i in range(1000)], "k bigint, y int")
+    marked = perturb.pick_exactly(df, "k", fraction)
+    assert marked.count() == 1000 and marked.where("picked").count() == int(1000 * fraction)

@@ -1,8 +1,11 @@
 """Streams give what batch gives, over several micro-batches."""
 
+import datetime
+import os
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -116,3 +119,20 @@ def test_model_scores_a_stream_as_it_scores_a_table(spark, table, folder):
     out = jobs.drain(spark, lambda s: jobs.score_with_model(source(folder, df.schema)(s), fitted, none).select("key", "prediction", "decision"), "append", "m")
     batch = jobs.score_with_model(df, fitted, none).select("key", "prediction", "decision")
     assert out.exceptAll(batch).count() == 0 and out.count() == 1500
+
+
+def test_every_request_gets_a_verdict(spark, tmp_path):
+    at = lambda s: datetime.datetime(2024, 1, 1) + datetime.timedelta(seconds=s)
+    files = [[(1, "a", at(0)), (2, "a", at(400)), (3, None, at(5))], [(4, "a", at(10)), (5, None, at(6)), (6, "b", None)], [(7, "a", at(401)), (8, None, at(7))]]
+    schema = "key bigint, client string, ts timestamp_ntz"
+    whole = spark.createDataFrame([r for f in files for r in f], schema)
+    batch = {r["key"]: r["accepted"] for r in rate_limit(whole, "client", "ts", "key", 300, 2).collect()}
+    assert batch == {1: True, 2: True, 3: True, 4: True, 5: True, 6: False, 7: True, 8: False}
+    for i, rows in enumerate(files):
+        (tmp_path / "in").mkdir(exist_ok=True)
+        path = str(tmp_path / "in" / f"{i}.parquet")
+        pd.DataFrame(rows, columns=["key", "client", "ts"]).to_parquet(path, coerce_timestamps="us")
+        os.utime(path, (1_700_000_000 + 60 * i,) * 2)
+    stream = lambda s: stream_rate_limit(jobs.read_stream(s, str(tmp_path / "in"), "*.parquet", schema, 1), "client", "ts", "key", 300, 2)
+    got = {r["key"]: (r["accepted"], r["late"]) for r in jobs.drain(spark, stream, "append", "verdicts").collect()}
+    assert got == {1: (True, False), 2: (True, False), 3: (True, False), 4: (True, True), 5: (True, False), 6: (False, False), 7: (False, False), 8: (False, False)}
