@@ -79,6 +79,19 @@ def per_character_lower(text: str) -> str:
     return text.replace("Σ", "σ").lower() if "Σ" in text else text.lower()
 
 
+#: ASCII signs that end a word and join nothing that follows.
+ENDS = frozenset(".,;:!?")
+
+
+def simple(text: str) -> list[str] | None:
+    """The parts of letters with at most one sign behind them, which all patterns split alike; None for other text."""
+    if text.isalpha():
+        return [text]
+    if text[-1:] in ENDS and text[:-1].isalpha():
+        return [text[:-1], text[-1]]
+    return None
+
+
 @functools.cache
 def late():
     """Finds characters the interpreter's tables lack; the tokenizers know later Unicode versions."""
@@ -137,7 +150,8 @@ class WordBpe:
         if not text.isascii() and late()(text):
             found = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
             return [bytes(map(self.byte_of.__getitem__, word)).decode() for word, _ in found]
-        return self.words(per_character_lower(unicodedata.normalize("NFC", text)))
+        text = per_character_lower(unicodedata.normalize("NFC", text))
+        return simple(text) or self.words(text)
 
     def plain(self, text: str) -> bytes:
         if SEPARATORS.search(text):

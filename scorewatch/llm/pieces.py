@@ -8,7 +8,7 @@ import struct
 import regex
 from tokenizers import Tokenizer
 
-from .bpe import Cache, byte_symbols, late
+from .bpe import Cache, byte_symbols, late, simple
 
 #: How byte-level vocabularies split text before merging (a fixed value of the format).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -49,6 +49,8 @@ class Pieces:
         """Ids of a space and the text; None if they depend on what stands around it."""
         if not text or text[0].isspace() or text[-1].isspace():
             return None
+        if parts := simple(text):
+            return b"".join(map(self.of_pretoken.__getitem__, [" " + parts[0], *parts[1:]]))
         return b"".join(map(self.of_pretoken.__getitem__, self.split(" " + text)))
 
     def has_special(self, text: str) -> bool:
