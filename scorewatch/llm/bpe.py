@@ -29,7 +29,7 @@ from tokenizers import Tokenizer
 
 from .common import map_arrow, texts
 
-#: Entries a worker's caches keep; a cache is emptied when it is full.
+#: Entries a worker's caches keep, in two generations.
 CACHE_WORDS = 300_000
 #: Characters that ``str.split`` takes for white space and the tokenizers do not.
 SEPARATORS = regex.compile(r"[\x1c-\x1f]")
@@ -98,22 +98,29 @@ def late():
     new = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000 and unicodedata.category(chr(c)) == "Cn"]
     firsts = [c for c, before in zip(new, [-1, *new]) if c != before + 1]
     lasts = [c for c, after in zip(new, [*new[1:], -1]) if after != c + 1]
-    return re.compile("[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(firsts, lasts)) + "]").search
+    search = re.compile("[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(firsts, lasts)) + "]").search
+    return lambda text: not text.isprintable() and search(text) is not None  # what the tables lack is not printable
 
 
 class Cache(dict):
-    """A mapping that computes what it lacks and is emptied when it is full."""
+    """A mapping that computes what it lacks. A full one becomes the older generation, from which what is used again moves up."""
 
     def __init__(self, compute):
-        self.compute = compute
+        self.compute, self.old = compute, {}
 
     def __missing__(self, key):
-        out = self.compute(key)
-        if len(self) >= CACHE_WORDS:
+        out = self.old.get(key)
+        if out is None:
+            out = self.compute(key)
+        if len(self) >= CACHE_WORDS // 2:
+            self.old = dict(self)
             self.clear()
         self[key] = out
         return out
 
+    def lacks(self, keys: set) -> set:
+        return keys.difference(self, self.old)
+
 
 class WordBpe:
     """A tokenizer file with word ends; ids are little-endian unsigned 32-bit integers."""

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import functools
+import json
 import struct
+from collections.abc import Iterable, Iterator
 
+import numpy as np
 import regex
 from tokenizers import Tokenizer
 
@@ -12,6 +15,8 @@ from .bpe import Cache, byte_symbols, late, simple
 
 #: How byte-level vocabularies split text before merging (a fixed value of the format).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Stretches encoded in one call, and characters of the texts that are looked through at a time.
+TOGETHER, GROUP_CHARS = 128, 1 << 20
 
 
 class Pieces:
@@ -33,6 +38,13 @@ class Pieces:
         self.byte_of = {c: b for b, c in enumerate(symbols)}
         self.of_pretoken = Cache(self.pretoken)
         self.of_stretch = Cache(self.stretch)
+        # Byte 255 never occurs in UTF-8. A symbol that no merge knows keeps what stands on its two sides apart.
+        model = json.loads(content)["model"]
+        known = any(symbols[255] in part for pair in model["merges"] for part in pair)
+        self.border = None if known else model["vocab"].get(symbols[255])
+        self.spaced = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.spaced[[i for t, i in model["vocab"].items() if t.startswith(symbols[32])]] = True
+        self.units = np.array(list(map(ord, symbols)), "<u2")
 
     def split(self, text: str) -> list[str]:
         """Pre-tokens; characters newer than Python's tables are split by the library."""
@@ -70,13 +82,53 @@ class Pieces:
             return None
         return first, rest
 
+    def learn(self, new: Iterable[str]) -> None:
+        """Put the ids of stretches into the cache, many to a call of the library.
+
+        Stretches hold no space, so their pre-tokens are found in one pass over all of them, and the tokens that begin
+        with a space are where a stretch begins.
+        """
+        if self.border is None:
+            return
+        plain = [s for s in new if s and s.strip() == s and (s.isascii() or not late()(s))]
+        for i in range(0, len(plain), TOGETHER):
+            some = plain[i:i + TOGETHER]
+            raw = b"\xff".join(map(str.encode, self.find(" " + " ".join(some))))
+            symbols = self.units[np.frombuffer(raw, np.uint8)].tobytes().decode("utf-16-le")
+            ids = np.array([t.id for t in self.tokenizer.model.tokenize(symbols)], "<u4")
+            ids = ids[ids != self.border]
+            cut, packed = [*(np.flatnonzero(self.spaced[ids]) * 4).tolist(), len(ids) * 4], ids.tobytes()
+            self.of_stretch.update((s, packed[a:b]) for s, a, b in zip(some, cut, cut[1:]))
+
+    def encode_all(self, found: Iterable[str]) -> Iterator[bytes]:
+        """Ids of each text; the stretches that a group of texts has new are encoded together."""
+        group: list[str] = []
+        size = 0
+        for text in found:
+            group.append(text)
+            size += len(text)
+            if size >= GROUP_CHARS:
+                yield from self.encode_group(group)
+                group, size = [], 0
+        yield from self.encode_group(group)
+
+    def encode_group(self, group: list[str]) -> Iterator[bytes]:
+        cuts = [self.stretches(text) for text in group]
+        self.learn(self.of_stretch.lacks(set().union(*(cut[1] for cut in cuts if cut))))
+        for text, cut in zip(group, cuts):
+            yield self.joined(text, cut)
+
+    def joined(self, text: str, cut: tuple[str, list[str]] | None) -> bytes:
+        if cut:
+            try:
+                return self.whole(cut[0]) + b"".join(map(self.of_stretch.__getitem__, cut[1]))
+            except TypeError:  # one of them is None
+                pass
+        return self.whole(text)
+
     def encode(self, text: str) -> bytes:
         """Ids of the text as little-endian unsigned 32-bit integers."""
-        if cut := self.stretches(text):
-            found = list(map(self.of_stretch.__getitem__, cut[1]))
-            if None not in found:
-                return self.whole(cut[0]) + b"".join(found)
-        return self.whole(text)
+        return self.joined(text, self.stretches(text))
 
 
 @functools.lru_cache(maxsize=2)

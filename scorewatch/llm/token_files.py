@@ -155,10 +155,10 @@ def write_task(batches: Iterable[pa.RecordBatch], vocabulary, folder: str, end_i
     pieces, task = loaded(vocabulary.value), TaskContext.get().partitionId()
     end, writer, done = end_id.to_bytes(4, "little"), None, []
     for batch in batches:
-        for doc_id, text in zip(batch.column(0).to_pylist(), texts(batch.column(1))):
+        for doc_id, ids in zip(batch.column(0).to_pylist(), pieces.encode_all(texts(batch.column(1)))):
             if writer is None:
                 writer = Writer(folder, task, len(done), width)
-            writer.add(doc_id, np.frombuffer(pieces.encode(text) + end, "<u4"))
+            writer.add(doc_id, np.frombuffer(ids + end, "<u4"))
             if writer.n_ids >= FILE_IDS:
                 done.append(writer.close())
                 writer = None

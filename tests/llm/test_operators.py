@@ -17,6 +17,7 @@ import corpus_pipeline
 from scorewatch.llm import html_text, mixing, pii, quality, queries, simhash, substrings, token_files, vectors
 from scorewatch.llm.bpe import bpe_round_trip, merge
 from scorewatch.llm.components import components
+from scorewatch.llm.pieces import Pieces
 from scorewatch.llm.token_counts import token_counts
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, size int, print string, q_kept int, copies int, a int"
@@ -227,6 +228,17 @@ def test_token_files_equal_the_library(odd, monkeypatch):
     assert ids == sorted(ids, key=lambda x: (x is not None, x or 0))
 
 
+@pytest.mark.parametrize(("cache", "group"), [(4, 1), (30, 500), (300_000, 1 << 20)])
+def test_texts_encoded_together_equal_the_library(monkeypatch, cache, group):
+    monkeypatch.setattr("scorewatch.llm.bpe.CACHE_WORDS", cache)
+    monkeypatch.setattr("scorewatch.llm.pieces.GROUP_CHARS", group)
+    with open(queries.BYTE_BPE, encoding="utf-8") as f:
+        pieces = Pieces(f.read())
+    found = [r[1] or "" for r in odd_rows()] + ["it's we'll 'tis a'b \u00a0x\ny don't\t \U0001fae9 new\U0001fae9er", "x\u00a0 \u00a0y \r\n z", "\x00 \xff \x7f"]
+    wanted = [np.array(e.ids, "<u4").tobytes() for e in pieces.tokenizer.encode_batch(found, add_special_tokens=False)]
+    assert list(pieces.encode_all(found)) == wanted
+
+
 def test_elias_fano_round_trip():
     rng = np.random.default_rng(3)
     for n, top in ((1, 0), (1, 5), (700, 3), (1000, 10**6), (5000, 4999), (600, 1 << 40)):
