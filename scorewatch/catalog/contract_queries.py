@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from ..functions.decisions import binarise, unbinarise
 from ..functions.fixed import LINE_BREAK, WHITESPACE
 from ..functions.text import is_blank, token_count, tokens
-from ..operators import contract as contracts
+from ..operators import contract as contracts, perturb
 from ..operators.contract import Contract, Field
 from ..operators.features import value_counts
 from ..session import materialise
@@ -104,6 +106,19 @@ def first_violation(spark, sf):
     return contracts.first_violation(contracts.contract_violations(views.app_lines(spark, sf), APPLICATION, "app_id"))
 
 
+#: No whole number of thousands, so no test table has as many rows.
+DECLARED_ROWS = 1234
+
+
+@query(
+    "row_count_rule",
+    f"WITH {APP_CTES} SELECT count(*) AS n_rows, CAST({DECLARED_ROWS} AS BIGINT) AS expected FROM app HAVING count(*) <> {DECLARED_ROWS}",
+)
+def row_count_rule(spark, sf):
+    declared = replace(APPLICATION, expected_rows=DECLARED_ROWS)
+    return contracts.row_count_violation(views.app_lines(spark, sf), declared).withColumnRenamed("rows", "n_rows")
+
+
 @query(
     "dataset_summary",
     f"""WITH {APP_CTES}, {LINES_CTE},
@@ -140,18 +155,31 @@ def feature_select(spark, sf):
     return contracts.feature_frame(rows, APPLICATION, ["app_id"])
 
 
-@query(
-    "request_validation",
-    f"""WITH {APP_CTES}, r AS (SELECT *, CAST(floor(total) AS BIGINT) AS amount FROM app)
+REQUEST_SQL = f"""WITH {APP_CTES}, r AS (SELECT *, CAST(floor(total) AS BIGINT) AS amount FROM app)
 SELECT app_id, -1 AS ordinal, 'note' AS field, 'extra' AS rule, NULL AS value FROM r WHERE status = 'P' AND segment = 'BUILDING'
-UNION ALL SELECT app_id, 0, 'priority', 'membership', priority FROM r WHERE priority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM')
+UNION ALL {{priority}}
 UNION ALL SELECT app_id, 2, 'qty', 'missing', NULL FROM r WHERE qty IS NULL
 UNION ALL SELECT app_id, 2, 'qty', 'range', CAST(qty AS VARCHAR) FROM r WHERE qty NOT BETWEEN 1 AND 150
-UNION ALL SELECT app_id, 3, 'total', 'range', CAST(amount AS VARCHAR) FROM r WHERE amount NOT BETWEEN 1 AND 300000""",
-)
-def request_validation(spark, sf):
+UNION ALL SELECT app_id, 3, 'total', 'range', CAST(amount AS VARCHAR) FROM r WHERE amount NOT BETWEEN 1 AND 300000"""
+
+
+def requests(spark, sf):
     """Requests as JSON: absent quantities leave a key out, some requests carry one too many."""
     note = F.when((F.col("status") == "P") & (F.col("segment") == "BUILDING"), "x")
     payload = F.to_json(F.struct("priority", "status", "qty", F.floor("total").alias("total"), note.alias("note")))
-    requests = views.applications(spark, sf).select("app_id", payload.alias("payload"))
-    return contracts.validate_requests(requests, "app_id", "payload", REQUEST, REQUEST_RANGES)
+    return views.applications(spark, sf).select("app_id", payload.alias("payload"))
+
+
+@query(
+    "request_validation",
+    REQUEST_SQL.format(priority="SELECT app_id, 0, 'priority', 'membership', priority FROM r WHERE priority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM')"),
+)
+def request_validation(spark, sf):
+    return contracts.validate_requests(requests(spark, sf), "app_id", "payload", REQUEST, REQUEST_RANGES)
+
+
+@query("dropped_key", REQUEST_SQL.format(priority="SELECT app_id, 0, 'priority', 'missing', NULL FROM r"))
+def dropped_key(spark, sf):
+    """The same requests, each having lost its priority on the way."""
+    damaged = requests(spark, sf).withColumn("payload", perturb.drop_key(F.col("payload"), "priority"))
+    return contracts.validate_requests(damaged, "app_id", "payload", REQUEST, REQUEST_RANGES)

@@ -11,11 +11,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import materialise
 from .ordered import exact_quantiles
 
-# A categorical feature of a contract has few values; beyond this it is no category.
-MAX_CATEGORIES = 10_000
-
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows per (feature, value) for several columns, in one pass."""
@@ -72,17 +70,21 @@ def fit_scales(df: DataFrame, columns: Sequence[str]) -> dict[str, Scale]:
     }
 
 
-def category_counts(df: DataFrame, columns: Sequence[str]) -> dict[str, dict[str, int]]:
-    """Rows per value of each categorical column on the driver; too many values are an error, not a cut."""
+def category_counts(df: DataFrame, columns: Sequence[str], most: int | None = None) -> dict[str, dict[str, int]]:
+    """Rows per value of each categorical column, on the driver, where a model keeps one weight for each value.
+
+    Given ``most``, a column with more values than that is an error, found
+    before its values reach the driver; nothing is cut.
+    """
     counts = value_counts(df, columns).where(F.col("value").isNotNull())
-    # One row more than allowed settles that a column is no category.
-    head = counts.limit(MAX_CATEGORIES * len(columns) + 1).collect()
+    if most is not None:
+        counts = materialise(counts, "categories")
+        wide = counts.groupBy("feature").count().where(F.col("count") > most).orderBy("feature").collect()
+        if wide:
+            raise ValueError(f"{wide[0]['feature']} has {wide[0]['count']} values; at most {most} are allowed")
     found: dict[str, dict[str, int]] = {c: {} for c in columns}
-    for row in head:
+    for row in counts.collect():
         found[row["feature"]][row["value"]] = row["n"]
-    for column, values in found.items():
-        if len(values) > MAX_CATEGORIES:
-            raise ValueError(f"{column} has more than {MAX_CATEGORIES} values, which is no categorical feature")
     return found
 
 

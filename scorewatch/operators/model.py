@@ -49,9 +49,14 @@ class Encoding:
         return sum(len(v) for v in self.values.values()) + len(self.numeric)
 
 
-def fit_encoding(df: DataFrame, categorical: Sequence[str], numeric: Sequence[str]) -> Encoding:
-    """Most frequent category, sorted categories, median, then mean and population deviation."""
-    counts = category_counts(df, categorical) if categorical else {}
+def fit_encoding(
+    df: DataFrame, categorical: Sequence[str], numeric: Sequence[str], most_categories: int | None = None
+) -> Encoding:
+    """Most frequent category, sorted categories, median, then mean and population deviation.
+
+    ``most_categories`` refuses a categorical column of more values; by default any number goes.
+    """
+    counts = category_counts(df, categorical, most_categories) if categorical else {}
     # Most frequent value, the smallest on a tie; filling it in adds no new category.
     fills: dict[str, object] = {c: min(v, key=lambda x: (-v[x], x)) if v else None for c, v in counts.items()}
     if numeric:
@@ -166,11 +171,12 @@ def fit_model(
     label: str,
     intercept: str = "penalised",
     inverse_regularisation: float = fixed.INVERSE_REGULARISATION,
+    most_categories: int | None = None,
 ) -> PipelineModel:
     """Fit on a 0/1 label with balanced class weights; scores land in ``prob_bad``."""
     if intercept not in ("penalised", "free"):
         raise ValueError(f"unknown intercept mode {intercept!r}")
-    encoding = fit_encoding(df, categorical, numeric)
+    encoding = fit_encoding(df, categorical, numeric, most_categories)
     weights = class_weights(df, label)
     encoded = encoding.filled(df).select(
         *encoding.columns(),

@@ -2,21 +2,44 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterable, Iterator, Sequence
+from urllib.parse import quote
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # A binary cell cannot hold more.
 MAX_FILE_BYTES = (1 << 31) - 16
+CHUNK = 1 << 22
 
 
-def file_hashes(spark: SparkSession, path: str) -> DataFrame:
-    """SHA-256 of each file below 2 GB; larger files are for ``table_fingerprint``."""
-    sizes = spark.read.format("binaryFile").load(path).where(F.col("length") > MAX_FILE_BYTES).select("path")
-    if sizes.limit(1).collect():
-        raise ValueError("a file is too large for one hash; use table_fingerprint")
+def file_hashes(spark: SparkSession, path: str, cell_bytes: int = MAX_FILE_BYTES) -> DataFrame:
+    """SHA-256 of each file (path, length, data_hash).
+
+    A file of at most ``cell_bytes`` is one cell of Spark's own reader; the
+    task of a larger one reads it through one digest, chunk by chunk.
+    """
     files = spark.read.format("binaryFile").load(path)
-    return files.select("path", "length", F.sha2("content", 256).alias("data_hash"))
+    small = files.where(F.col("length") <= cell_bytes).select("path", "length", F.sha2("content", 256).alias("data_hash"))
+    large = files.where(F.col("length") > cell_bytes).select("path", "length")
+    return small.unionByName(large.mapInArrow(_digests, "path string, length long, data_hash string"))
+
+
+def _digests(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        hashes = []
+        for name in batch.column("path").to_pylist():
+            scheme, _, rest = name.partition(":")
+            rest = rest if rest.startswith("//") else f"//{rest}"
+            store, inside = fs.FileSystem.from_uri(f"{scheme}:{quote(rest, safe='/:@')}")
+            digest = hashlib.sha256()
+            with store.open_input_stream(inside) as stream:
+                while chunk := stream.read(CHUNK):
+                    digest.update(chunk)
+            hashes.append(digest.hexdigest())
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hashes, pa.string())], names=["path", "length", "data_hash"])
 
 
 def table_fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

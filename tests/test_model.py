@@ -170,3 +170,12 @@ def test_preprocessing(spark):
     assert scales["k"].std == 1.0
     hot = df.select(*features.one_hot_columns("c", ["x", "y"])).collect()
     assert [tuple(r) for r in hot] == [(1, 0), (0, 1), (0, 1), (1, 0), (0, 0)]
+
+
+def test_number_of_categories_is_free_unless_bounded(spark):
+    df = spark.range(30).select(F.concat(F.lit("c"), "id").alias("kind"), F.lit("x").alias("other"))
+    counts = features.category_counts(df, ["kind", "other"])
+    assert len(counts["kind"]) == 30 and counts["other"] == {"x": 30}
+    assert features.category_counts(df, ["kind", "other"], 30) == counts
+    with pytest.raises(ValueError, match="kind has 30 values"):
+        features.category_counts(df, ["kind", "other"], 29)

@@ -50,6 +50,14 @@ def test_file_hash_and_fingerprint(spark, tmp_path):
     path = tmp_path / "raw.txt"
     path.write_bytes(b"some\nbytes\x00")
     assert fingerprint.file_hashes(spark, str(path)).first()["data_hash"] == hashlib.sha256(path.read_bytes()).hexdigest()
+    folder = tmp_path / "some files"
+    folder.mkdir()
+    for name, size in (("a b%20.bin", 9_000_000), ("ü.bin", 0), ("small", 10)):
+        (folder / name).write_bytes(bytes(range(250)) * (size // 250 + 1))
+    want = {f.name: hashlib.sha256(f.read_bytes()).hexdigest() for f in folder.iterdir()}
+    for cell_bytes in (100, fingerprint.MAX_FILE_BYTES):
+        got = fingerprint.file_hashes(spark, str(folder), cell_bytes).collect()
+        assert sorted(r["data_hash"] for r in got) == sorted(want.values())
     df = spark.range(1000).withColumn("x", F.col("id") * 2)
     a = fingerprint.table_fingerprint(df).first()
     b = fingerprint.table_fingerprint(df.repartition(7)).first()
