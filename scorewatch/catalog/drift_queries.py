@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import drift
-from ..operators.ordered import quantile_edges
-from ..plans.drift_run import prediction_psi as plan_prediction_psi
+from ..operators.ordered import quantile_edges, side_by_side
+from ..plans.drift_run import drift_run as run_drift, prediction_psi as plan_prediction_psi
 from . import views
 from .psi_sql import ks_ctes, psi_ctes
 from .registry import query, r6, rounded
@@ -159,10 +159,21 @@ UNION ALL SELECT 101, 'ALERT', 'drift threshold breached' FROM run WHERE alert O
 )
 def drift_events(spark, sf):
     ref, cur = views.app_sides(spark, sf)
-    report = drift.drift_report(ref, cur, FEATURES, "event_time")
-    return drift.monitoring_events(
-        drift.headline(report), drift.psi_trend(ref, cur, FEATURES, "event_time")
-    )
+    return run_drift(ref, cur, FEATURES, "event_time").events
+
+
+@query(
+    "drift_run",
+    f"""WITH {REPORT_CTES}, {psi_ctes(NUMERIC, CATEGORICAL, "event_time", prefix="d_")}, {TREND.replace("FROM psi)", "FROM d_psi)")}, {HEADLINE}
+SELECT alert, 0.2::DOUBLE AS psi_threshold, CAST(NULL AS DOUBLE) AS prediction_psi, round(headline_psi, 6) AS headline_psi,
+       alert OR headline_psi > 0.2 AS breach, (SELECT count(*) FROM trend) AS n_days, (SELECT count(*) FROM trend WHERE max_psi > 0.2) AS n_alerts FROM run""",
+)
+def drift_run(spark, sf):
+    """The headline of a whole run, with its days and its alerts counted."""
+    ref, cur = views.app_sides(spark, sf)
+    run = run_drift(ref, cur, FEATURES, "event_time")
+    n_days, n_alerts = (t.agg(F.count(F.lit(1)).alias(n)) for t, n in ((run.trend, "n_days"), (run.alerts, "n_alerts")))
+    return rounded(side_by_side(run.run, n_days, n_alerts))
 
 
 @query(

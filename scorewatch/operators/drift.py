@@ -168,9 +168,10 @@ def psi_trend(
     time_column: str,
     bins: int = fixed.PSI_BINS,
     min_rows: int = 0,
+    edges: dict[str, list[float]] | None = None,
 ) -> DataFrame:
     """Per day: rows, largest PSI and its feature (earliest in report order on a tie)."""
-    edges = numeric_edges(reference, features.numeric, bins)
+    edges = edges if edges is not None else numeric_edges(reference, features.numeric, bins)
     ref = frequency_table(reference, features, edges)
     cur = frequency_table(_by_day(current, time_column), features, edges, ["event_day"])
     daily = psi_from_frequencies(ref, cur, ["event_day"])
@@ -281,6 +282,7 @@ def drift_report(
     time_column: str | None = None,
     include_time: bool = True,
     bins: int = fixed.PSI_BINS,
+    edges: dict[str, list[float]] | None = None,
 ) -> DataFrame:
     """Per feature: PSI, KS (numeric features) and whether either passes its alert level.
 
@@ -290,7 +292,7 @@ def drift_report(
         features = Features(
             features.numeric, (*features.categorical, time_column), (time_column, *features.names)
         )
-    stability = psi(reference, current, features, bins=bins)
+    stability = psi(reference, current, features, bins=bins, edges=edges)
     distance = ks_statistic(reference, current, features.numeric) if features.numeric else None
     if distance is None:
         joined = stability.withColumn("ks", F.lit(None).cast("double"))

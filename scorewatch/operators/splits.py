@@ -9,7 +9,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import fixed
-from .ordered import balanced_cells, cells_before, side_by_side, sketch_columns, with_cell
+from ..session import materialise
+from .ordered import cells_before, side_by_side, sketch_columns, with_cell
 
 TRAIN, CALIBRATION, TEST = "train", "calibration", "test"
 
@@ -172,16 +173,30 @@ def split_target_rates(
     )
 
 
+def _with_key_cells(rows: DataFrame, cuts: Sequence[float] | None) -> tuple[DataFrame, bool]:
+    """Rows with the cell of their ``key``, and whether there may be several cells.
+
+    Numbers are cut by a sketch. Keys of other types go by range partitions,
+    which writing the rows makes final.
+    """
+    kind = dict(rows.dtypes)["key"]
+    if kind in ("tinyint", "smallint", "int", "bigint", "float", "double") or kind.startswith("decimal"):
+        cuts = sketch_columns(rows, ["key"])["key"].cuts if cuts is None else cuts
+        return with_cell(rows, "key", cuts), bool(cuts)
+    return materialise(rows.repartitionByRange("key").withColumn("cell", F.spark_partition_id()), "key-ranges"), True
+
+
 def infer_split_type(df: DataFrame, time_column: str, order_key: str, cuts: Sequence[float] | None = None) -> DataFrame:
     """One row: ``temporal`` if time never falls, or never rises, along the key; else ``random``.
 
     ``unknown`` when the column is absent. Each cell of the key is checked on
-    its own, then the cells' ends are compared.
+    its own, then the cells' ends are compared. The key may be of any type with
+    an order; rows without a key have no place and are not judged.
     """
     if time_column not in df.columns:
         return df.agg(F.lit("unknown").alias("split_type"))
     rows = df.select(F.col(order_key).alias("key"), F.col(time_column).alias("t")).where(F.col("key").isNotNull())
-    celled = balanced_cells(rows, "key", cuts)
+    celled, _ = _with_key_cells(rows, cuts)
     before = F.lag("t").over(Window.partitionBy("cell").orderBy("key"))
     # A missing time is no order at all.
     steps = celled.withColumn("before", before)
@@ -210,17 +225,18 @@ def missing_days(df: DataFrame, time_column: str) -> DataFrame:
 
 
 def late_rows(df: DataFrame, time_column: str, order_key: str, cuts: Sequence[float] | None = None) -> DataFrame:
-    """One row: how many rows carry a day before the latest day seen so far in arrival order."""
+    """One row: how many rows carry a day before the latest day seen so far in arrival order.
+
+    Rows without a key have no place in that order and are not counted.
+    """
     rows = df.select(F.col(order_key).alias("key"), coerced_date(time_column).alias("day")).where(F.col("key").isNotNull())
-    if cuts is None:
-        cuts = sketch_columns(rows, ["key"])["key"].cuts
-    celled = with_cell(rows, "key", cuts)
+    celled, several = _with_key_cells(rows, cuts)
     inside = F.max("day").over(
         Window.partitionBy("cell").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
     )
     seen = celled.withColumn("inside", inside)
-    if cuts:
-        # At most MAX_CELLS rows, so joining them back is cheap.
+    if several:
+        # One row for each cell or range partition, so joining them back is cheap.
         peaks = celled.groupBy("cell").agg(F.max("day").alias("peak"))
         earlier = peaks.select("cell", F.max("peak").over(cells_before([])).alias("earlier"))
         seen = seen.join(F.broadcast(earlier), "cell")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import fixed
 from ..operators import drift, governance
+from ..session import materialise
 
 
 @dataclass
@@ -34,9 +35,14 @@ def drift_run(
     score: str | None = None,
     registry: DataFrame | None = None,
 ) -> DriftRun:
-    """Everything one monitoring run reports. Nothing is changed: alerts and actions are tables."""
-    report = drift.drift_report(reference, current, features, time_column)
-    trend = drift.psi_trend(reference, current, features, time_column)
+    """Everything one monitoring run reports. Nothing is changed: alerts and actions are tables.
+
+    Report and trend share the edges and are written once, a row for each
+    feature and for each day; all else is read from them.
+    """
+    edges = drift.numeric_edges(reference, features.numeric, fixed.PSI_BINS)
+    report = materialise(drift.drift_report(reference, current, features, time_column, edges=edges), "drift-report")
+    trend = materialise(drift.psi_trend(reference, current, features, time_column, edges=edges), "drift-trend")
     scores = prediction_psi(reference, current, score) if score else None
     run = drift.headline(report, scores, threshold)
     daily = trend.select(F.col("event_time").alias("event_day"), F.col("max_psi").alias("psi"))

@@ -60,6 +60,20 @@ def test_split_type(spark, monkeypatch, rows_per_cell, offsets, kind):
     assert splits.infer_split_type(days(spark, offsets).repartition(3), "day", "id").first()[0] == kind
 
 
+@pytest.mark.parametrize("kind", ["string", "date", "timestamp_ntz"])
+def test_order_keys_of_other_types(spark, request, kind):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else so few rows end in one range
+    request.addfinalizer(lambda: spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true"))
+    day = F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int"))
+    key = F.format_string("key %04d", "id") if kind == "string" else day.cast(kind)
+    for offsets, want, late in (([*range(40)], "temporal", 0), ([*range(20), 3, *range(21, 40)], "random", 1), ([*range(40, 0, -1)], "temporal", 39)):
+        df = days(spark, offsets).withColumn("key", key).repartition(3)
+        assert splits.infer_split_type(df, "day", "key").first()[0] == want
+        assert splits.late_rows(df, "day", "key").first()[0] == late
+        cells, _ = splits._with_key_cells(df.select("key", "day"), None)
+        assert cells.select("cell").distinct().count() > 1
+
+
 def test_split_type_of_absent_column(spark):
     assert splits.infer_split_type(days(spark, [0]), "nothing", "id").first()[0] == "unknown"
 
