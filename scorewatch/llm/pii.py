@@ -11,32 +11,51 @@ shuffled; a document's pseudonyms depend on its text and the key alone.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 ROUNDS = 6
 #: 400 Gregorian years have 146,097 = 189 x 773 days, so a date in them is a pair of numbers.
 FIRST_DAY, DAYS = "DATE '1800-01-01'", (189, 773)
 
-_SECRET = r"password|passwd|pwd|secret|token|api_key|apikey"
-#: What may be personal; a hit counts only if it is validated below.
+_SECRET = r"(?i:password|passwd|pwd|secret|token|api_key|apikey)"
+#: Lengths of IBANs without spaces, and the countries that have them.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK|FI|FK|FO|GL|NL|SD", 19: "MK|SI", 20: "AT|BA|EE|KZ|LT|LU|MN|XK", 21: "CH|HR|LI|LV",
+    22: "BG|BH|CR|DE|GB|GE|IE|ME|RS|VA", 23: "AE|GI|IL|IQ|OM|SO|TL", 24: "AD|CZ|ES|MD|PK|RO|SA|SE|SK|TN|VG", 25: "LY|PT|ST",
+    26: "IS|TR", 27: "BI|DJ|FR|GR|IT|MC|MR|SM", 28: "AL|AZ|BY|CY|DO|GT|HU|LB|NI|PL", 29: "BR|EG|PS|QA|UA", 30: "JO|KW|MU|YE", 31: "MT|SC",
+    32: "LC", 33: "RU",
+}
+_FREE, _END = "(?<![A-Za-z0-9])", "(?![A-Za-z0-9])"
+#: IBANs of their country's length, and any long run.
+IBANS = (
+    _FREE + "((?:" + "|".join(f"(?:{c})[0-9]{{2}}(?: ?[A-Z0-9]){{{n - 4}}}" for n, c in IBAN_LENGTHS.items()) + f"){_END})",
+    _FREE + f"([A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?{_END})",
+)
+#: Payment cards in their groups, each also where another may overlap it, and any long run.
+CARDS = tuple(
+    f"(?<![0-9A-Za-z-])(?=({shape}{_END}))" for shape in (
+        "[0-9]{13,19}", "[0-9]{4}([ -])[0-9]{4}\\2[0-9]{4}\\2[0-9]{4}\\2[0-9]{1,3}", "[0-9]{4}([ -])[0-9]{4}\\2[0-9]{4}\\2[0-9]{4}",
+        "[0-9]{4}([ -])[0-9]{6}\\2[0-9]{4,5}", "[0-9]{4}([ -])[0-9]{4}\\2[0-9]{4}\\2[0-9]{1,3}",
+    )
+) + (f"(?<![0-9A-Za-z-])([0-9](?:[ -]?[0-9]){{12,18}}{_END})",)
+#: What may be personal, besides cards and IBANs; a hit counts only if it is validated below.
 PATTERNS = (
     r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",  # e-mail
     r"(?<![A-Za-z0-9])A[KS]IA[A-Z0-9]{16}(?![A-Za-z0-9])",  # access key
-    r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",  # IBAN
-    r"(?<![A-Za-z0-9])[0-9a-f]{32,128}(?![A-Za-z0-9])",  # hexadecimal key
-    rf"(?<=(?:{_SECRET}) ?[=:] ?[\"']?)[A-Za-z0-9+/_-]{{8,128}}",  # what a secret is set to
+    r"(?<![A-Za-z0-9])[0-9a-fA-F]{32,128}(?![A-Za-z0-9])",  # hexadecimal key
+    rf"(?<={_SECRET} ?[=:] ?[\"']?)[A-Za-z0-9+/_-]{{8,128}}",  # what a secret is set to
     r"(?<![0-9A-Za-z.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9A-Za-z]|\.[0-9])",  # IPv4 address
     r"(?<![0-9A-Za-z-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9A-Za-z]|-[0-9])",  # dates
     r"(?<![0-9A-Za-z.])[0-9]{2}\.[0-9]{2}\.[0-9]{4}(?![0-9A-Za-z]|\.[0-9])",
     r"(?<![0-9A-Za-z/])[0-9]{2}/[0-9]{2}/[0-9]{4}(?![0-9A-Za-z/])",
     r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z]|-[0-9])",  # social security number
-    r"\+[0-9]{1,3}[ .-]?\(?[2-9][0-9]{2}\)?[ .-]?[2-9][0-9]{2}[ .-]?[0-9]{4}(?![0-9])",  # telephone
-    r"(?<![0-9A-Za-z])\(?[2-9][0-9]{2}\)?[ .-][2-9][0-9]{2}[.-][0-9]{4}(?![0-9])",
-    r"(?<![0-9A-Za-z-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])",  # payment card
+    r"\+[0-9]{1,3}[ .-]?\(?[0-9]{3}\)?[ .-]?[2-9][0-9]{2}[ .-]?[0-9]{4}(?![0-9])",  # telephone
+    r"(?<![0-9)])\+(?![0-9]+\.[0-9]+(?![0-9.()-]| [0-9(]))[1-9](?:[ .-]?\(?[0-9]\)?){7,14}(?![0-9])",
+    r"(?<![0-9A-Za-z])\(?[0-9]{3}\)?[ .-][2-9][0-9]{2}[.-][0-9]{4}(?![0-9])",
 )
 PATTERN = "|".join(PATTERNS)
 #: No pattern matches a text without one of these.
-HINT = rf"[0-9@]|A[KS]IA|(?:{_SECRET}) ?[=:]"
+HINT = rf"[0-9@]|A[KS]IA|{_SECRET} ?[=:]"
 
 
 def let(name: str, value: str, body: str) -> str:
@@ -56,20 +75,23 @@ def feistel(left: str, left_bases: str, right: str, right_bases: str, tweak: str
 
 
 def by_mask(value: str, mask: str, kind: str, key: str) -> str:
-    """Permute the characters that ``mask`` marks: d digit, n digit from 2, h hexadecimal, l lower, u upper; others stay."""
+    """Permute the characters that ``mask`` marks; others stay.
+
+    d digit, n digit that stays below or from 2, h hexadecimal, l lower, u upper, e and E letters to f.
+    """
     mark, char = "substring(k, p, 1)", f"substring({value}, p, 1)"
-    base = f"CAST(CASE {mark} WHEN 'd' THEN 10 WHEN 'n' THEN 8 WHEN 'h' THEN 16 ELSE 26 END AS BIGINT)"
+    base = f"CAST(CASE {mark} WHEN 'd' THEN 10 WHEN 'n' THEN IF({char} < '2', 2, 8) WHEN 'h' THEN 16 WHEN 'e' THEN 6 WHEN 'E' THEN 6 ELSE 26 END AS BIGINT)"
     code = (
-        f"CAST(CASE {mark} WHEN 'l' THEN ascii({char}) - 97 WHEN 'u' THEN ascii({char}) - 65 "
-        f"WHEN 'n' THEN ascii({char}) - 50 ELSE instr('0123456789abcdef', {char}) - 1 END AS BIGINT)"
+        f"CAST(CASE WHEN {mark} IN ('l', 'e') THEN ascii({char}) - 97 WHEN {mark} IN ('u', 'E') THEN ascii({char}) - 65 "
+        f"WHEN {mark} = 'n' THEN ascii({char}) - IF({char} < '2', 48, 50) ELSE instr('0123456789abcdef', {char}) - 1 END AS BIGINT)"
     )
     halves = [f"slice(ps, 1, size(ps) div 2)", f"slice(ps, size(ps) div 2 + 1, size(ps))"]
     halves = [h.replace("size(ps) div 2", "CAST(size(ps) div 2 AS INT)") for h in halves]
     arrays = [f"transform({h}, p -> {x})" for h in halves for x in (code, base)]
     new = "o[array_position(ps, p) - 1]"
     shown = (
-        f"CASE {mark} WHEN '.' THEN {char} WHEN 'l' THEN char(97 + {new}) WHEN 'u' THEN char(65 + {new}) "
-        f"WHEN 'n' THEN char(50 + {new}) ELSE substring('0123456789abcdef', CAST({new} AS INT) + 1, 1) END"
+        f"CASE WHEN {mark} = '.' THEN {char} WHEN {mark} IN ('l', 'e') THEN char(97 + {new}) WHEN {mark} IN ('u', 'E') THEN char(65 + {new}) "
+        f"WHEN {mark} = 'n' THEN char(IF({char} < '2', 48, 50) + {new}) ELSE substring('0123456789abcdef', CAST({new} AS INT) + 1, 1) END"
     )
     joined = f"array_join(transform(sequence(1, length({value})), p -> {shown}), '')"
     moved = let("f", feistel(*arrays, f"concat('{kind}', length({value}))", key), let("o", "concat(f.l, f.r)", joined))
@@ -119,8 +141,9 @@ def pseudonym(value: str, key: str) -> str:
         "u", "substring(w, 1, length(w) - 1)", f"concat(u, {luhn_digit('regexp_replace(u, ' + chr(39) + '[^0-9]' + chr(39) + ', ' + chr(39) * 2 + ')')})",
     ))
     phone_mask = f"regexp_replace({plain_mask(value)}, '^(.*)d(dd[^d]*)d(dd[^d]*dddd)$', '$1n$2n$3')"
-    country = f"regexp_replace({phone_mask}, '^[.]d{{1,3}}(?=[.n])', '....')"
-    phone = by_mask(value, f"IF({value} LIKE '+%', substring({country}, length({country}) - length({value}) + 1), {phone_mask})", "phone", key)
+    # The country code stays: up to a separator or, without one, 1, 7 or two digits.
+    country = f"length(regexp_extract({value}, '^[+](?:[0-9]{{1,3}}(?=[^0-9])|[17]|[0-9]{{2}})', 0))"
+    phone = by_mask(value, f"concat(repeat('.', {country}), substring({phone_mask}, {country} + 1))", "phone", key)
     bare = f"regexp_replace({value}, ' ', '')"
     rotated = f"concat(substring({bare}, 5), substring({bare}, 1, 4))"
     iban = let("w", by_mask(value, f"concat('....', substring({plain_mask(value)}, 5))", "iban", key), let(
@@ -130,51 +153,73 @@ def pseudonym(value: str, key: str) -> str:
     email = by_mask(value, f"concat(substring_index({plain_mask(value)}, '.', 0), regexp_replace(substring({plain_mask(value)}, 1, instr({value}, '@') - 1), '$', '.'), "
                            f"repeat('.', length({value}) - instr({value}, '@')))", "email", key)
     hexadecimal = by_mask(value, f"repeat('h', length({value}))", "hex", key)
+    upper_hexadecimal = f"upper({let('y', f'lower({value})', by_mask('y', 'repeat(' + chr(39) + 'h' + chr(39) + ', length(y))', 'hex', key))})"
+    mixed_mask = f"regexp_replace(regexp_replace(regexp_replace({value}, '[a-f]', 'e'), '[A-F]', 'E'), '[0-9]', 'd')"
     access = by_mask(value, f"concat('....', substring({plain_mask(value)}, 5))", "access", key)
     return f"""CASE
         WHEN instr({value}, '@') > 0 THEN {email}
         WHEN {value} RLIKE '^A[KS]IA[A-Z0-9]{{16}}$' THEN {access}
         WHEN {value} RLIKE '^[A-Z]{{2}}[0-9]{{2}}[ A-Z0-9]+$' AND {mod97(rotated)} = 1 THEN {iban}
         WHEN {value} RLIKE '^[0-9a-f]{{32,128}}$' THEN {hexadecimal}
+        WHEN {value} RLIKE '^[0-9A-F]{{32,128}}$' THEN {upper_hexadecimal}
+        WHEN {value} RLIKE '^[0-9a-fA-F]{{32,128}}$' THEN {by_mask(value, mixed_mask, 'hex', key)}
         WHEN {value} RLIKE '^(?:(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])[.]){{3}}(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])$' THEN {ip}
         WHEN {value} RLIKE '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$' AND try_to_timestamp({value}, 'yyyy-MM-dd') IS NOT NULL THEN {date_pseudonym(value, 'yyyy-MM-dd', key)}
         WHEN {value} RLIKE '^[0-9]{{2}}[.][0-9]{{2}}[.][0-9]{{4}}$' AND try_to_timestamp({value}, 'dd.MM.yyyy') IS NOT NULL THEN {date_pseudonym(value, 'dd.MM.yyyy', key)}
         WHEN {value} RLIKE '^[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}}$' AND try_to_timestamp({value}, 'MM/dd/yyyy') IS NOT NULL THEN {date_pseudonym(value, 'MM/dd/yyyy', key)}
         WHEN {value} RLIKE '^[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}$' THEN
             IF({value} RLIKE '^(?!000|666|9)[0-9]{{3}}-(?!00)[0-9]{{2}}-(?!0000)[0-9]{{4}}$', {by_mask(value, plain_mask(value), 'ssn', key)}, {value})
-        WHEN {value} RLIKE '^[+(]?[0-9 .()-]+$' AND length({digits}) BETWEEN 10 AND 13 AND {value} RLIKE '[0-9]{{3}}[)]?[ .-]?[0-9]{{3}}[ .-]?[0-9]{{4}}$'
-             AND ({value} RLIKE '^[+(]' OR {value} RLIKE '[ .-]') THEN {phone}
-        WHEN {value} RLIKE '^[0-9][0-9 -]+$' THEN IF(luhn_check({digits}), {card}, {value})
+        WHEN {value} RLIKE '^[0-9][0-9 -]+$' AND length({digits}) >= 13 THEN IF(luhn_check({digits}), {card}, {value})
+        WHEN {value} LIKE '+%' AND length({digits}) BETWEEN 8 AND 15 THEN {phone}
+        WHEN {value} RLIKE '^[(]?[0-9]{{3}}[)]?[ .-][0-9]{{3}}[.-][0-9]{{4}}$' THEN {phone}
         WHEN {value} RLIKE '^[A-Za-z0-9+/_-]{{8,128}}$' AND {value} RLIKE '[A-Za-z]' THEN {by_mask(value, plain_mask(value), 'secret', key)}
         ELSE {value} END"""
 
 
+def _valid_iban(value: Column) -> Column:
+    bare = F.regexp_replace(value, " ", "")
+    code = F.lit("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+    chars = F.split(F.concat(F.substring(bare, 5, 64), F.substring(bare, 1, 4)), "")
+    step = lambda r, c: ((r * F.when(c >= "A", 100).otherwise(10) + F.instr(code, c) - 1) % 97).cast("int")
+    return F.aggregate(chars, F.lit(0), step) == 1
+
+
 def with_pseudonyms(docs: DataFrame, key: str) -> DataFrame:
     """The rows with ``text`` replaced and ``pii_replaced``, the number of values replaced."""
     if "'" in key or "\\" in key:
         raise ValueError("the key must not hold quotes or backslashes")
     hinted = F.col("text").rlike(HINT)
-    quoted = F.lit(PATTERN)
     none = F.expr("CAST(array() AS array<string>)")
-    found = docs.withColumn("pii_hits", F.when(hinted, F.regexp_extract_all("text", quoted, F.lit(0))).otherwise(none))
+    # Valid cards and IBANs are looked up first, longest first, since a pattern cannot tell which of several runs is valid.
+    cards, ibans = (F.concat(*(F.regexp_extract_all("text", F.lit(p), F.lit(1)) for p in shapes)) for shapes in (CARDS, IBANS))
+    found = docs.withColumn("pii_valid", F.when(F.col("text").rlike("[0-9]{2}(?: ?[0-9A-Z]){11}|[0-9](?:[ -]?[0-9]){12}"), F.array_distinct(F.concat(
+        F.filter(cards, lambda x: F.call_function("luhn_check", F.regexp_replace(x, "[^0-9]", ""))), F.filter(ibans, _valid_iban),
+    ))).otherwise(none))
+    longest = "array_sort(pii_valid, (a, b) -> length(b) - length(a))"
+    free = f"transform({longest}, x -> concat(IF(x RLIKE '^[0-9]', '(?<![0-9A-Za-z-])', '{_FREE}'), x))"
+    listed = F.expr(f"concat('(?:', array_join({free}, '|'), '){_END}|')")
+    pattern = F.when(F.size("pii_valid") > 0, F.concat(listed, F.lit(PATTERN))).otherwise(F.lit(PATTERN))
+    found = found.withColumn("pii_pattern", pattern)
+    found = found.withColumn("pii_hits", F.when(hinted, F.regexp_extract_all("text", F.col("pii_pattern"), F.lit(0))).otherwise(none))
     found = found.withColumn("pii_new", F.expr(f"transform(pii_hits, h -> {pseudonym('h', key)})"))
-    gaps = F.split("text", PATTERN, -1)
+    gaps = F.split("text", F.col("pii_pattern"), -1)
     joined = F.array_join(F.zip_with(gaps, F.col("pii_new"), lambda g, h: F.concat(g, F.coalesce(h, F.lit("")))), "")
     replaced = F.size(F.filter(F.zip_with("pii_hits", "pii_new", lambda a, b: a != b), lambda x: x))
     return (
         found.withColumn("text", F.when(F.size("pii_hits") > 0, joined).otherwise(F.col("text")))
-        .withColumn("pii_replaced", replaced.cast("long")).drop("pii_hits", "pii_new")
+        .withColumn("pii_replaced", replaced.cast("long")).drop("pii_valid", "pii_pattern", "pii_hits", "pii_new")
     )
 
 
 def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
     """Per row: doc_id, text with pseudonyms, n_replaced.
 
-    Covered: e-mail addresses (their local part), telephone, payment card
-    (validated by check digit and valid afterwards), IBAN (likewise), social
+    Covered: e-mail addresses (their local part), telephone (with a country
+    code, or in North American form), payment card (validated by check digit
+    and valid afterwards, also between other numbers), IBAN (likewise), social
     security numbers, IPv4 addresses, dates of 1800 to 2199 in three formats,
     access keys, hexadecimal keys, and what a password, secret or token is set
-    to. Other text is untouched, as are look-alikes that fail validation. A
+    to, in any case. Other text is untouched, as are look-alikes that fail validation. A
     null text stays null, an empty one empty. Repeated rows are treated alike.
     Only doc_id and text are read. The key is part of the query's plan: keep
     plans and event logs as safe as the key.

@@ -336,6 +336,33 @@ def test_pseudonyms(spark):
     assert pii.pseudonymise(spark.createDataFrame(rows[:1], "doc_id long, text string"), "other").first().text != new
 
 
+PERSONAL = [
+    ("call +1 (017) 555-7713 now", "017) 555-7713"), ("call +1 (132) 555-1352", "132) 555-1352"), ("call (017) 555-7713", "017) 555-7713"),
+    ("ring +44 20 7946 0958, please", "20 7946 0958"), ("ring +49301234567", "301234567"), ("ring +33 1 23 45 67 89", "1 23 45 67 89"),
+    ("TOKEN = \"9233A8EC41B07D65\"", "9233A8EC41B07D65"), ("Password: Hunter2Hunter2", "Hunter2Hunter2"),
+    ("key 9233A8EC41B07D659233A8EC41B07D65", "9233A8EC41B07D659233A8EC41B07D65"), ("key 9233a8EC41b07D659233A8eC41B07D65", "9233a8EC41b07D659233A8eC41B07D65"),
+    ("card 4111 1111 1111 1111 123 then", "4111 1111 1111 1111"), ("2024 4111 1111 1111 1111 12 30", "4111 1111 1111 1111"),
+    ("7 3782 822463 10005 2", "3782 822463 10005"), ("1 2 3 4 4111111111111111 9", "4111111111111111"),
+    ("DE89 3704 0044 0532 0130 00 BIC 1234", "3704 0044 0532 0130 00"), ("to IBAN-GB82WEST12345698765432 AND 12", "WEST12345698765432"),
+]
+
+
+def test_values_in_any_form_get_pseudonyms(spark):
+    docs = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(PERSONAL)], "doc_id long, text string")
+    shape = lambda s: re.sub("[0-9a-zA-Z]", "x", s)
+    for row in pii.pseudonymise(docs, "key").collect():
+        text, gone = PERSONAL[row.doc_id]
+        before, after = text.split(gone)
+        assert gone not in row.text and row.n_replaced == 1
+        assert shape(row.text) == shape(text) and row.text.endswith(after) and row.text[:len(before) - 2] == before[:-2]
+
+
+def test_look_alikes_stay(spark):
+    texts = ["change of +1.23456789 %", "4111 1111 1111 1112 and 2024", "1234 5678 9012", "DE88 3704 0044 0532 0130 00", "tokens 9233A8EC", None, ""]
+    out = pii.pseudonymise(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "key").collect()
+    assert {r.doc_id: (r.text, r.n_replaced) for r in out} == {i: (t, 0) for i, t in enumerate(texts)}
+
+
 def test_dates_and_addresses_are_permuted(spark):
     day = datetime.date(1995, 1, 1)
     dates = [str(day + datetime.timedelta(i)) for i in range(1500)]
