@@ -126,6 +126,7 @@ def stream_rate_limit(
     decided as if it came when that one did, as a live service would. A
     request without a time is not accepted; those without a client are one
     unknown client's. A client that sends nothing for a window is forgotten.
+    A client's rows of one micro-batch are held and sorted in memory at once.
     """
     window = int(window_seconds * 1_000_000)
     kinds = dict(stream.dtypes)
@@ -137,21 +138,23 @@ def stream_rate_limit(
         known, last = state.get if state.exists else ((), None)
         arrived_ms = state.getCurrentWatermarkMs()
         accepted = deque(known)
-        for pdf in batches:  # Arrow batches of the group; each is sorted, and goes on where the one before ended
+        # The Arrow batches of a group come in no order: all of the micro-batch are sorted together.
+        frames = []
+        for pdf in batches:
             arrived_ms = max(arrived_ms, int(pdf["arrived"].max().timestamp() * 1000))
-            pdf = pdf.sort_values(["us", "key"], na_position="last")
-            times = pdf["us"].to_numpy(dtype="float64", na_value=np.nan)
-            timed = int(np.isfinite(times).sum())
-            exact = pdf["us"].iloc[:timed].to_numpy(dtype="int64")
-            late = np.zeros(len(pdf), dtype=bool)
-            verdicts = np.zeros(len(pdf), dtype=bool)
-            if last is not None:
-                late[:timed] = exact < last
-                exact = np.maximum(exact, last)
-            verdicts[:timed] = admit(exact, accepted, window, limit)
-            if timed:
-                last = int(exact[-1])
-            yield pdf.assign(accepted=verdicts, late=late)[["client", "key", "us", "accepted", "late"]]
+            frames.append(pdf[["client", "key", "us"]])
+        pdf = pd.concat(frames, ignore_index=True).sort_values(["us", "key"], na_position="last", kind="stable")
+        timed = int(pdf["us"].notna().sum())
+        exact = pdf["us"].iloc[:timed].to_numpy(dtype="int64")
+        late = np.zeros(len(pdf), dtype=bool)
+        verdicts = np.zeros(len(pdf), dtype=bool)
+        if last is not None:
+            late[:timed] = exact < last
+            exact = np.maximum(exact, last)
+        verdicts[:timed] = admit(exact, accepted, window, limit)
+        if timed:
+            last = int(exact[-1])
+        yield pdf.assign(accepted=verdicts, late=late)[["client", "key", "us", "accepted", "late"]]
         state.update((list(accepted), last))
         state.setTimeoutTimestamp(arrived_ms + window // 1000 + 1)
 

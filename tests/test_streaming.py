@@ -136,3 +136,19 @@ def test_every_request_gets_a_verdict(spark, tmp_path):
     stream = lambda s: stream_rate_limit(jobs.read_stream(s, str(tmp_path / "in"), "*.parquet", schema, 1), "client", "ts", "key", 300, 2)
     got = {r["key"]: (r["accepted"], r["late"]) for r in jobs.drain(spark, stream, "append", "verdicts").collect()}
     assert got == {1: (True, False), 2: (True, False), 3: (True, False), 4: (True, True), 5: (True, False), 6: (False, False), 7: (False, False), 8: (False, False)}
+
+
+def test_size_of_arrow_batches_decides_nothing(spark, tmp_path):
+    at = lambda s: datetime.datetime(2024, 1, 1) + datetime.timedelta(seconds=s)
+    rows = [(i, "ab"[i % 3 == 0], at(i * 7919 % 4001)) for i in range(300)]
+    schema = "key bigint, client string, ts timestamp_ntz"
+    batch = {r["key"]: (r["accepted"], False) for r in rate_limit(spark.createDataFrame(rows, schema), "client", "ts", "key", 300, 4).collect()}
+    (tmp_path / "in").mkdir()
+    pd.DataFrame(rows, columns=["key", "client", "ts"]).to_parquet(str(tmp_path / "in" / "0.parquet"), coerce_timestamps="us")
+
+    def stream(session):
+        session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+        return stream_rate_limit(jobs.read_stream(session, str(tmp_path / "in"), "*.parquet", schema, 1), "client", "ts", "key", 300, 4)
+
+    got = {r["key"]: (r["accepted"], r["late"]) for r in jobs.drain(spark, stream, "append", "sizes").collect()}
+    assert got == batch
