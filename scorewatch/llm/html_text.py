@@ -45,8 +45,13 @@ STOP_WORDS = frozenset(
     "al como con cuando del donde el ella ellos entre era esta este esto ha hay la las lo los más mi muy nos o para pero por "
     "porque quien se sin sobre su sus también te una uno y ya".split()
 )
+#: Elements whose names say nothing; words of a name that tell of the layout.
+UNNAMED_TAGS = frozenset("body html h1 h2 h3 h4 h5 h6".split()) | MAIN_TAGS
+LAYOUT_NAMES = re.compile(r"(?:^|(?<=\s))(?:has|no|with|without)[-_]\S*")
 #: Decided as good: words and stop-word density. Decided as bad: link density. Decided as bad outside an article: stop-word density.
 LONG_WORDS, MANY_STOPS, MANY_LINKS, FEW_STOPS = 15, 0.2, 0.33, 0.05
+#: With fewer stop words a page is in a language that the words above are not of.
+NO_STOPS = 0.02
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|<(?=[a-zA-Z/!?])[^<]*\Z", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/>\"']+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
@@ -55,12 +60,12 @@ GOOD, BAD, OPEN = 1, 0, None
 
 
 class Block:
-    """Text of one block, the part of it in links, and the article it stands in (0: none)."""
+    """Text of one block, the part of it in links, the article it stands in (0: none), and whether a name round it says boilerplate."""
 
-    __slots__ = ("text", "linked", "article", "heading")
+    __slots__ = ("text", "linked", "article", "heading", "named")
 
-    def __init__(self, text: str, linked: int, article: int, heading: bool):
-        self.text, self.linked, self.article, self.heading = text, linked, article, heading
+    def __init__(self, text: str, linked: int, article: int, heading: bool, named: int):
+        self.text, self.linked, self.article, self.heading, self.named = text, linked, article, heading, named
 
 
 def is_bad(tag: str, attributes: str, in_article: bool) -> bool:
@@ -73,17 +78,31 @@ def is_bad(tag: str, attributes: str, in_article: bool) -> bool:
         return True
     for name, *values in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values).lower()
-        if name in ("class", "id") and BAD_NAMES.search(value) or name == "role" and value in BAD_ROLES:
+        if name == "role" and value in BAD_ROLES:
             return True
         if name == "style" and HIDDEN_STYLE.search(value) or name == "aria-hidden" and value == "true":
             return True
     return False
 
 
+def has_bad_name(attributes: str) -> bool:
+    """Whether a class or id word is one of boilerplate; words such as has-sidebar or no-menu tell of the layout."""
+    for name, *values in ATTRIBUTE.findall(attributes):
+        if name.lower() in ("class", "id") and BAD_NAMES.search(LAYOUT_NAMES.sub(" ", "".join(values).lower())):
+            return True
+    return False
+
+
 def blocks(page: str) -> list[Block]:
-    """Blocks that are shown and stand outside boilerplate elements, in page order."""
+    """Blocks that are shown and stand outside boilerplate elements, in page order.
+
+    A name alone makes no boilerplate of an element that holds an h1, a main
+    or the page's first article; blocks of others of bad name are marked.
+    """
     out: list[Block] = []
-    stack: list[tuple[str, bool]] = []  # open elements: tag, and whether it makes its content boilerplate
+    stack: list[tuple[str, bool, int]] = []  # open elements: tag, whether it makes its content boilerplate, and its number if its name does
+    outer, cleared = [0], [True]  # of each element of bad name the one round it, and whether what it holds clears it
+    named, began = 0, False
     pieces: list[str] = []
     bad = links = linked = article = articles = 0
     heading = False
@@ -93,17 +112,19 @@ def blocks(page: str) -> list[Block]:
         nonlocal linked, heading
         text = " ".join(html.unescape("".join(pieces)).split())
         if text:
-            out.append(Block(text, linked, article, heading))
+            out.append(Block(text, linked, article, heading, named))
         pieces.clear()
         linked, heading = 0, False
 
     def pop(tag: str) -> None:
-        nonlocal bad, links, article
+        nonlocal bad, links, article, named
         while stack:
-            top, was_bad = stack.pop()
+            top, was_bad, number = stack.pop()
             bad -= was_bad
+            if number:
+                named = outer[number]
             links -= top == "a"
-            if top in MAIN_TAGS and not any(t in MAIN_TAGS for t, _ in stack):
+            if top in MAIN_TAGS and not any(t in MAIN_TAGS for t, *_ in stack):
                 article = 0
             if top == tag:
                 return
@@ -123,7 +144,7 @@ def blocks(page: str) -> list[Block]:
         if found[1]:
             if tag in BLOCK_TAGS:
                 close_block()
-            if any(t == tag for t, _ in stack):
+            if any(t == tag for t, *_ in stack):
                 pop(tag)
             continue
         if tag in BLOCK_TAGS:
@@ -141,26 +162,45 @@ def blocks(page: str) -> list[Block]:
             continue
         if tag in ("p", "li", "dt", "dd", "option", "tr", "td", "th") and stack and stack[-1][0] == tag:
             pop(tag)  # its end tag may be left out
-        stack.append((tag, worthless))
+        bad_name = not worthless and bool(attributes) and tag not in UNNAMED_TAGS and has_bad_name(attributes)
+        if bad_name:
+            outer.append(named)
+            cleared.append(False)
+            named = len(outer) - 1
+        stack.append((tag, worthless, named if bad_name else 0))
         bad += worthless
+        if not bad and (tag in ("h1", "main") or tag == "article" and not began and not has_bad_name(attributes)):
+            began = True
+            number = named
+            while not cleared[number]:
+                cleared[number] = True
+                number = outer[number]
         links += tag == "a"
         if tag in MAIN_TAGS and not article:
             articles += 1
             article = articles
     close_block()
+    for block in out:
+        block.named = not cleared[block.named]
     return out
 
 
-def first_pass(block: Block) -> int | None:
+def stop_share(text: str) -> float:
+    words = text.split()
+    return sum(w.strip(".,;:!?\"'()").lower() in STOP_WORDS for w in words) / max(len(words), 1)
+
+
+def first_pass(block: Block, known: bool = True) -> int | None:
+    """Label of one block; ``known``: the page has stop words, so it is in a language they tell something of."""
     words = block.text.split()
     if block.linked > MANY_LINKS * len(block.text):
         return BAD
     if block.heading or len(words) < LONG_WORDS:
         return OPEN
-    stops = sum(w.strip(".,;:!?\"'()").lower() in STOP_WORDS for w in words) / len(words)
+    stops = stop_share(block.text)
     if stops >= MANY_STOPS:
         return GOOD
-    if stops < FEW_STOPS and not block.article:
+    if known and stops < FEW_STOPS and not block.article:
         return BAD
     return OPEN
 
@@ -194,7 +234,13 @@ def second_pass(found: list[Block], labels: list[int | None]) -> list[int]:
 
 def main_text(page: str) -> str:
     found = blocks(page)
-    labels = second_pass(found, [first_pass(b) for b in found])
+    known = stop_share(" ".join(b.text for b in found)) >= NO_STOPS
+    firsts = [first_pass(b, known) for b in found]
+    plain = [(b, label) for b, label in zip(found, firsts) if not b.named]
+    # Names are followed unless all running text of the page stands under them.
+    if GOOD not in firsts or any(label is not BAD and not b.heading for b, label in plain):
+        found, firsts = [b for b, _ in plain], [label for _, label in plain]
+    labels = second_pass(found, firsts)
     return "\n".join(b.text for b, label in zip(found, labels) if label == GOOD)
 
 

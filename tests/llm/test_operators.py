@@ -111,6 +111,23 @@ def test_pages_without_articles_and_broken_pages():
     assert len(html_text.main_text("<article><p>" + LONG + "</article>")) == len(LONG) - 1
 
 
+def test_names_are_evidence_and_no_cut():
+    prose = "It is the kind of text that has many of the words which are in every text of the language."
+    for name in ("content has-sidebar", "no-sidebar", "layout sidebar-right", "menu-open", "with-banner"):
+        page = f"<body><div class='{name}'><article><h1>Title</h1><p>{prose}</p></article><div class='sidebar'><p>{prose} Aside.</p></div></div></body>"
+        assert html_text.main_text(page) == f"Title\n{prose}"
+        assert html_text.main_text(f"<body><div class='{name}'><p>{prose}</p></div></body>") == prose
+    assert html_text.main_text(f"<article><div class='page-header'><h1>Title</h1></div><h2 id='privacy'>Part</h2><p>{prose}</p></article>") == f"Title\nPart\n{prose}"
+    comments = f"<div id='comments'><article class='comment'><p>{prose} Said.</p></article></div><div class='related'><article><p>{prose} Next.</p></article></div>"
+    assert html_text.main_text(f"<main><p>{prose}</p>{comments}</main>") == prose
+    assert html_text.main_text(f"<p>Short.</p><div class='cookie'><p>{prose}</p></div>") == "Short."
+    assert html_text.main_text("<div class='menu'>Menu</div>") == ""
+    foreign = " ".join(f"slovo{i}" for i in range(40))
+    assert html_text.main_text(f"<div>{foreign}</div>") == foreign
+    assert html_text.main_text(f"<p>{prose}</p><div>{foreign}</div>") == prose
+    assert html_text.main_text("<div class='ad'>" * 3000 + f"<main><p>{prose}</p>") == prose
+
+
 def test_extract_pages_keeps_rows(spark):
     rows = [(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (None, None, None, "x"), (2, "v", "", "x")]
     df = html_text.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string, text string"))
