@@ -49,11 +49,10 @@ def train_score(spark, sf):
 
 @query("batch_score")
 def batch_score(spark, sf):
-    """Scores and decisions of the test part."""
+    """Scores and decisions of all applications, each with its part."""
     run = training.train(rows(spark, sf), SCORED, "event_time")
-    test = run.table.where(F.col("split") == splits.TEST)
-    scored = models.score(run.model, test)
-    return scored.select("app_id", F.round(models.SCORE, 6).alias("prediction"), decide(F.col(models.SCORE)).alias("decision"))
+    scored = models.score(run.model, run.table)
+    return scored.select("app_id", "split", F.round(models.SCORE, 6).alias("prediction"), decide(F.col(models.SCORE)).alias("decision"))
 
 
 @query("model_evaluation")

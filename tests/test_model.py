@@ -179,3 +179,13 @@ def test_number_of_categories_is_free_unless_bounded(spark):
     assert features.category_counts(df, ["kind", "other"], 30) == counts
     with pytest.raises(ValueError, match="kind has 30 values"):
         features.category_counts(df, ["kind", "other"], 29)
+
+
+def test_batch_score_covers_every_application(spark, sf):
+    from scorewatch.catalog import QUERIES, views
+
+    scored = QUERIES["batch_score"](spark, sf).cache()
+    apps = views.applications(spark, sf).select("app_id")
+    assert scored.count() == apps.count() and scored.select("app_id").exceptAll(apps).count() == 0
+    assert {r["split"] for r in scored.select("split").distinct().collect()} == {"train", "calibration", "test"}
+    assert scored.where("prediction IS NULL OR decision IS NULL").count() == 0
