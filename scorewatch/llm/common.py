@@ -6,12 +6,16 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from ..session import materialise
 
 #: White space of words: space, tab, line feed, vertical tab, form feed, carriage return. ``bytes.split()`` splits on the same six.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of rows in one Arrow batch, so that a batch of very long texts stays small.
 BATCH_BYTES = 16 << 20
+#: A group with more than this share of the rows is joined by broadcast; there are at most as many.
+HOT_GROUPS = 4096
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,3 +54,17 @@ def runs(batches: Iterable[pa.RecordBatch], n_keys: int) -> Iterator[tuple[tuple
         rest = rows.slice(int(starts[-1]))
     if rest is not None:
         yield tuple(rest.column(i)[0].as_py() for i in range(n_keys)), rest
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str) -> DataFrame:
+    """``rows`` with the columns of their group, null where ``groups`` has none; no key is null.
+
+    ``groups`` has one row per group and how many of the rows it holds. Fewer
+    than ``HOT_GROUPS`` groups hold more than that share of the rows each:
+    they are broadcast. So no key that goes through the shuffle has many rows.
+    """
+    groups = materialise(groups, "groups")
+    least = rows.count() // HOT_GROUPS
+    hot = F.broadcast(groups.where(F.col(size) > least))
+    cold = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(groups.where(F.col(size) <= least), keys, "left")
+    return rows.join(hot, keys).unionByName(cold)

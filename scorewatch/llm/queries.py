@@ -7,10 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import bpe_round_trip
 from .common import table
+from .exact import ORACLE as EXACT_SQL, exact_groups
 from .html_text import extract_pages
 from .mixing import ORACLE as MIX_SQL, mix
 from .pii import pseudonymise
 from .quality import ORACLE as QUALITY_SQL, quality_rules
+from .ranked import ORACLE as SEARCH_SQL, ranked_search
+from .resampling import ORACLE as RESAMPLE_SQL, resample
 from .simhash import simhash_components
 from .substrings import repeated_passages
 from .token_counts import token_counts
@@ -63,8 +66,24 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_groups(table(spark, sf_dir, "documents"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_html_extraction, op2_quality_rules, op3_embedding_near_dedup, op4_bpe_round_trip, op5_substring_dedup, op6_pii,
     op7_simhash, op8_mixing, op9_token_counts, op10_token_files,
+    op11_ranked_search, op12_exact_dedup, op13_importance_resampling,
 )}
-ORACLES = {"op2_quality_rules": QUALITY_SQL.strip(), "op8_mixing": MIX_SQL.strip()}
+ORACLES = {
+    "op2_quality_rules": QUALITY_SQL.strip(), "op8_mixing": MIX_SQL.strip(), "op11_ranked_search": SEARCH_SQL.strip(),
+    "op12_exact_dedup": EXACT_SQL.strip(), "op13_importance_resampling": RESAMPLE_SQL.strip(),
+}
