@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F, types as T
 
-from ..functions.decisions import request_outcome, status_code
 from ..functions.text import canonical_json, input_hash
-from ..operators import log_analytics
+from ..operators import feature_stats, log_analytics, model as models
+from ..operators.contract import Contract, Field
+from ..operators.features import Scale
 from ..sources.fingerprint import row_hashes
 from ..sources.logs import parse_log_lines
+from ..streaming.requests import Chain, settle_table
 from . import views
 from .registry import query, rounded
 from .views import LOG_CTE
@@ -118,63 +122,97 @@ def business_metrics(spark, sf):
     return log_analytics.business_metrics(views.prediction_log(spark, sf))
 
 
-def request_flag_columns():
-    """Stage flags of the event table, standing in for what a server would meet."""
-    k = F.get_json_object("props", "$.k").cast("bigint")
-    return {
-        "malformed": F.col("event_type") == "error",
-        "rate_limited": F.col("value") > 300.0,
-        "validation_error": k > 95,
-        "feature_mismatch": F.col("value") < 0.5,
-        "timeout": F.col("value") > 200.0,
-    }
+#: The request chain over the event table: an event is a request, its type and numbers the payload, its value the milliseconds it took.
+REQUESTS = Contract(
+    name="requests",
+    fields=(Field("event_type", "categorical", ("click", "purchase", "view")), Field("k", "integer"), Field("cents", "integer")),
+)
+RANGES = {"k": (0, 95)}
+REQUEST_MODEL = models.Encoding(
+    categorical=("event_type",), numeric=("k", "cents"), fills={}, values={"event_type": ["click", "purchase", "view"]},
+    scales={"k": Scale(50.0, 30.0), "cents": Scale(5000.0, 5000.0)},
+)
+
+
+def requests(rows):
+    """Requests of the event table, or of a stream of it; those of type error are cut short."""
+    payload = F.to_json(F.struct("event_type", F.get_json_object("props", "$.k").cast("bigint").alias("k"), F.round(F.col("value") * 100).cast("bigint").alias("cents")))
+    return rows.select(
+        F.col("event_id").alias("request_id"), F.col("user_id").alias("client"), "ts",
+        F.when(F.col("event_type") == "error", F.substring(payload, 1, 20)).otherwise(payload).alias("payload"),
+        (F.col("value") / 1000.0).alias("elapsed"),
+    )
+
+
+def request_chain(spark, sf):
+    """Three requests a day and client; running means within 6 % of those of the first half; 0.2 seconds."""
+    ref, _ = views.event_sides(spark, sf)
+    known = ref.select(F.get_json_object("props", "$.k").cast("bigint").alias("k"), F.round(F.col("value") * 100).cast("bigint").alias("cents"))
+    training = {r["feature"]: (r["mean"], r["std"]) for r in feature_stats.feature_stats(known, ["k", "cents"]).collect()}
+    statement = models.score_statement(REQUEST_MODEL, (0.5, -0.25, 0.125, 0.35, 0.6), -0.3, models.SCORE)
+    return Chain(
+        REQUESTS, PipelineModel(stages=[SQLTransformer(statement=statement)]), training, RANGES,
+        window_seconds=86400, limit=3, relative_tolerance=0.06, time_limit_seconds=0.2,
+    )
 
 
 OUTCOME_CTE = f"""
-req AS (SELECT *, {K_SQL} AS k,
-  CASE WHEN event_type = 'error' THEN 'malformed' WHEN value > 300 THEN 'rate_limited' WHEN {K_SQL} > 95 THEN 'validation_error'
-       WHEN value < 0.5 THEN 'feature_mismatch' WHEN value > 200 THEN 'timeout' ELSE 'success' END AS outcome,
-  CASE WHEN event_type = 'error' THEN 422 WHEN value > 300 THEN 429 WHEN {K_SQL} > 95 THEN 400
-       WHEN value < 0.5 THEN 503 WHEN value > 200 THEN 504 ELSE 200 END AS status,
-  CASE WHEN value / (value + 50.0::DOUBLE) < 0.3 THEN 'approve' WHEN value / (value + 50.0::DOUBLE) <= 0.7 THEN 'review' ELSE 'reject' END AS tier
-  FROM events)
+e AS (SELECT event_id, user_id, epoch_us(ts) AS us, ts, event_type, value, {K_SQL} AS k, CAST(round(value * 100) AS BIGINT) AS cents,
+             event_type = 'error' OR NOT {K_SQL} BETWEEN 0 AND 95 AS malformed FROM events),
+l AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM e WHERE NOT malformed),
+-- One step per request: the accepted times of the last day are carried along.
+r AS (SELECT event_id, user_id, us, rn, true AS accepted, [us] AS held FROM l WHERE rn = 1
+  UNION ALL
+  SELECT event_id, user_id, us, rn, len(f) < 3, CASE WHEN len(f) < 3 THEN list_append(f, us) ELSE f END FROM (
+    SELECT l.event_id, l.user_id, l.us, l.rn, list_filter(r.held, lambda x: x > l.us - 86400000000) AS f
+    FROM r JOIN l ON l.user_id = r.user_id AND l.rn = r.rn + 1)),
+known AS (SELECT avg({K_SQL}) AS mk, stddev_samp({K_SQL}) AS dk, avg(CAST(round(value * 100) AS BIGINT)) AS mc, stddev_samp(CAST(round(value * 100) AS BIGINT)) AS dc
+          FROM events WHERE ts < TIMESTAMP '{views.EVENT_SPLIT} 00:00:00'),
+means AS (SELECT event_id, sum(k) OVER w / CAST(count(*) OVER w AS DOUBLE) AS ik, sum(cents) OVER w / CAST(count(*) OVER w AS DOUBLE) AS ic
+          FROM l JOIN r USING (event_id) WHERE accepted AND event_type IN ('click', 'purchase', 'view') WINDOW w AS (ORDER BY ts, event_id)),
+checked AS (SELECT event_id, abs(ik - mk) / dk > 3 OR abs(ik - mk) / mk > 0.06::DOUBLE OR abs(ic - mc) / dc > 3 OR abs(ic - mc) / mc > 0.06::DOUBLE AS mismatch
+            FROM means, known),
+scored AS (SELECT *, 1.0::DOUBLE / (1.0::DOUBLE + exp(-(-0.3::DOUBLE + CASE event_type WHEN 'click' THEN 0.5::DOUBLE WHEN 'purchase' THEN -0.25::DOUBLE ELSE 0.125::DOUBLE END
+             + 0.35::DOUBLE * ((k - 50.0::DOUBLE) / 30.0::DOUBLE) + 0.6::DOUBLE * ((cents - 5000.0::DOUBLE) / 5000.0::DOUBLE)))) AS p FROM e),
+passed AS (SELECT *, CASE WHEN malformed THEN 'malformed' WHEN NOT accepted THEN 'rate_limited' WHEN event_type = 'signup' THEN 'validation_error'
+             WHEN mismatch THEN 'feature_mismatch' WHEN value / 1000.0::DOUBLE > 0.2::DOUBLE THEN 'timeout' ELSE 'success' END AS outcome
+           FROM scored LEFT JOIN (SELECT event_id, accepted FROM r) USING (event_id) LEFT JOIN checked USING (event_id)),
+req AS (SELECT *, CASE outcome WHEN 'malformed' THEN 422 WHEN 'rate_limited' THEN 429 WHEN 'validation_error' THEN 400
+                  WHEN 'feature_mismatch' THEN 503 WHEN 'timeout' THEN 504 ELSE 200 END AS status,
+        CASE WHEN outcome = 'success' THEN round(p, 6) END AS prediction,
+        CASE WHEN outcome = 'success' THEN CASE WHEN p < 0.3 THEN 'approve' WHEN p <= 0.7 THEN 'review' ELSE 'reject' END END AS tier FROM passed)
 """
 
 
-def requests(spark, sf):
-    flags = request_flag_columns()
-    log = views.events(spark, sf)
-    return log.withColumn("outcome", request_outcome(flags)).withColumn("status", status_code(flags))
+def settled(spark, sf):
+    return settle_table(requests(views.events(spark, sf)), request_chain(spark, sf))
 
 
-@query("request_outcome", f"WITH {OUTCOME_CTE} SELECT event_id, outcome, status FROM req")
+@query("request_outcome", f"WITH RECURSIVE {OUTCOME_CTE} SELECT event_id, outcome, status FROM req")
 def request_outcome_query(spark, sf):
-    return requests(spark, sf).select("event_id", "outcome", "status")
+    return settled(spark, sf).select(F.col("request_id").alias("event_id"), "outcome", "status")
 
 
 @query(
     "outcome_counters",
-    f"""WITH {OUTCOME_CTE}
+    f"""WITH RECURSIVE {OUTCOME_CTE}
 SELECT 'outcome' AS counter, outcome AS label, count(*) AS n FROM req GROUP BY outcome
 UNION ALL SELECT 'status', CAST(status AS VARCHAR), count(*) FROM req GROUP BY status
 UNION ALL SELECT 'decision', tier, count(*) FROM req WHERE outcome = 'success' GROUP BY tier""",
 )
 def outcome_counters(spark, sf):
-    from ..functions.decisions import decide
-
-    score = F.col("value") / (F.col("value") + 50.0)
-    rows = requests(spark, sf).withColumn("decision", F.when(F.col("outcome") == "success", decide(score)))
-    return log_analytics.outcome_counters(rows, ["outcome", "status", "decision"])
+    return log_analytics.outcome_counters(settled(spark, sf), ["outcome", "status", "decision"])
 
 
 @query(
     "load_summary",
-    f"""WITH {OUTCOME_CTE} SELECT event_type, count(*) AS requests, count(*) FILTER (WHERE status = 200) AS success,
+    f"""WITH RECURSIVE {OUTCOME_CTE} SELECT event_type, count(*) AS requests, count(*) FILTER (WHERE status = 200) AS success,
 count(*) FILTER (WHERE outcome <> 'success') AS errors, round(avg(value), 6) AS avg_latency_ms FROM req GROUP BY event_type""",
 )
 def load_summary(spark, sf):
-    rows = requests(spark, sf).withColumn("error", F.when(F.col("outcome") != "success", F.col("outcome")))
-    return rounded(log_analytics.load_summary(rows, "status", "error", "value", ["event_type"]))
+    kinds = views.events(spark, sf).select(F.col("event_id").alias("request_id"), "event_type")
+    rows = settled(spark, sf).join(kinds, "request_id").withColumn("error", F.when(F.col("outcome") != "success", F.col("outcome")))
+    return rounded(log_analytics.load_summary(rows, "status", "error", "latency_ms", ["event_type"]))
 
 
 @query(

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import drift, feature_stats
-from ..streaming import jobs
+from ..session import materialise
+from ..streaming import jobs, requests as chained
 from ..streaming.rate_limit import rate_limit as batch_rate_limit, stream_rate_limit
 from . import views
 from .drift_queries import EVENT_DAILY, EVENT_FEATURES
-from .log_queries import OUTCOME_CTE, request_flag_columns
+from .log_queries import OUTCOME_CTE, request_chain, requests
 from .registry import query, rounded
 from .stats_queries import _stats_sql
 from .views import EVENT_SIDES
@@ -17,24 +18,39 @@ from .views import EVENT_SIDES
 BOUNDS = (1.0, 5.0, 10.0, 25.0, 50.0, 100.0, 200.0, 400.0)
 
 
+#: How late a row may come before it is left out of a window.
+TOLERANCE = "1 day"
+
+
 def _events(spark, sf):
     schema = views.events(spark, sf).schema
     return lambda session: jobs.read_stream(session, sf, "events.parquet", schema)
 
 
-def _score():
-    return F.col("value") / (F.col("value") + 50.0)
+def _timed_events(spark, sf):
+    source = _events(spark, sf)
+    return lambda session: jobs.timed(source(session), "ts", TOLERANCE)
+
+
+@query("stream_requests", f"WITH RECURSIVE {OUTCOME_CTE} SELECT event_id, outcome, status, prediction, tier AS decision FROM req")
+def stream_requests(spark, sf):
+    """Limiter, values, feature check, model and decision in one stream."""
+    source = _events(spark, sf)
+    settled = chained.stream_requests(spark, lambda session: requests(source(session)), request_chain(spark, sf))
+    return settled.select(F.col("request_id").alias("event_id"), "outcome", "status", "prediction", "decision")
 
 
 @query(
     "stream_decisions",
-    f"""WITH {OUTCOME_CTE} SELECT event_id, outcome, CASE WHEN outcome = 'success' THEN round(value / (value + 50.0::DOUBLE), 6) END AS prediction,
-CASE WHEN outcome = 'success' THEN tier END AS decision FROM req""",
+    f"""WITH RECURSIVE {OUTCOME_CTE}, shape AS (SELECT event_id, p, CASE WHEN malformed THEN 'malformed' WHEN event_type = 'signup' THEN 'validation_error' ELSE 'success' END AS outcome FROM scored)
+SELECT event_id, outcome, CASE WHEN outcome = 'success' THEN round(p, 6) END AS prediction,
+CASE WHEN outcome = 'success' THEN CASE WHEN p < 0.3 THEN 'approve' WHEN p <= 0.7 THEN 'review' ELSE 'reject' END END AS decision FROM shape""",
 )
 def stream_decisions(spark, sf):
-    source = _events(spark, sf)
-    scored = lambda session: jobs.score_requests(source(session), _score(), request_flag_columns()).select(
-        "event_id", "outcome", "prediction", "decision"
+    """What needs no state: shape, values, score and decision of every request."""
+    source, chain = _events(spark, sf), request_chain(spark, sf)
+    scored = lambda session: chained.score_shaped(requests(source(session)), chain).select(
+        F.col("request_id").alias("event_id"), "outcome", "prediction", "decision"
     )
     return jobs.drain(spark, scored, "append", "decisions")
 
@@ -44,7 +60,8 @@ def stream_decisions(spark, sf):
     """SELECT date_trunc('hour', ts) AS window_start, count(*) AS requests, round(count(*) / 3600.0::DOUBLE, 6) AS per_second FROM events GROUP BY 1""",
 )
 def request_volume(spark, sf):
-    volume = jobs.request_rate(views.events(spark, sf), "ts", "1 hour", 3600)
+    source = _timed_events(spark, sf)
+    volume = jobs.drain(spark, lambda session: jobs.request_rate(source(session), "event_at", "1 hour", 3600), "update", "volume", ["window_start"])
     return rounded(volume).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
@@ -54,7 +71,9 @@ def request_volume(spark, sf):
 SELECT window_start, count(*) AS requests, round(count(*) / 7200.0::DOUBLE, 6) AS per_second FROM w GROUP BY 1""",
 )
 def request_volume_sliding(spark, sf):
-    volume = jobs.request_rate(views.events(spark, sf), "ts", "2 hours", 7200, "1 hour")
+    source = _timed_events(spark, sf)
+    rate = lambda session: jobs.request_rate(source(session), "event_at", "2 hours", 7200, "1 hour")
+    volume = jobs.drain(spark, rate, "update", "sliding", ["window_start"])
     return rounded(volume).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
@@ -64,9 +83,9 @@ def request_volume_sliding(spark, sf):
 round(count(*) FILTER (WHERE event_type = 'error') / CAST(count(*) AS DOUBLE), 6) AS error_rate FROM events GROUP BY 1""",
 )
 def error_rate(spark, sf):
-    source = _events(spark, sf)
-    counted = lambda session: jobs.window_counts(source(session), "ts", "1 hour", error=F.col("event_type") == "error")
-    return rounded(jobs.drain(spark, counted, "complete", "errors")).withColumn(
+    source = _timed_events(spark, sf)
+    counted = lambda session: jobs.window_counts(source(session), "event_at", "1 hour", error=F.col("event_type") == "error")
+    return rounded(jobs.drain(spark, counted, "update", "errors", ["window_start"])).withColumn(
         "window_start", F.col("window_start").cast("timestamp_ntz")
     )
 
@@ -88,10 +107,9 @@ def latency_quantiles(spark, sf):
     """Cells are counted as a stream, quantiles read from the result table."""
     from ..operators.metrics import quantiles_from_cells
 
-    source = _events(spark, sf)
-    cells = jobs.drain(
-        spark, lambda session: jobs.latency_cells(source(session), "ts", "value", "1 day", BOUNDS), "complete", "latency"
-    )
+    source = _timed_events(spark, sf)
+    counted = lambda session: jobs.latency_cells(source(session), "event_at", "value", "1 day", BOUNDS)
+    cells = jobs.drain(spark, counted, "update", "latency", ["window_start", "cell"])
     return rounded(quantiles_from_cells(cells, BOUNDS, (0.5, 0.95), ["window_start"])).withColumn(
         "window_start", F.col("window_start").cast("timestamp_ntz")
     )
@@ -104,12 +122,12 @@ def latency_quantiles(spark, sf):
 def stream_psi_by_day(spark, sf):
     ref, _ = views.event_sides(spark, sf)
     edges = drift.numeric_edges(ref, EVENT_FEATURES.numeric)
-    source = _events(spark, sf)
+    source = _timed_events(spark, sf)
     split = F.lit(views.EVENT_SPLIT).cast("timestamp_ntz")
     counted = lambda session: jobs.stream_psi_frequencies(
-        source(session).where(F.col("ts") >= split), EVENT_FEATURES, edges, "ts"
+        source(session).where(F.col("ts") >= split), EVENT_FEATURES, edges, "event_at"
     )
-    current = jobs.drain(spark, counted, "complete", "psi")
+    current = jobs.drain(spark, counted, "update", "psi", ["event_day", "feature", "bucket", "category"])
     return rounded(drift.psi_from_frequencies(drift.frequency_table(ref, EVENT_FEATURES, edges), current, ["event_day"]))
 
 
@@ -131,7 +149,7 @@ def stream_feature_check(spark, sf):
     columns = ["value", "user_id", "event_type"]
     ref, _ = views.event_sides(spark, sf)
     source = _events(spark, sf)
-    running = jobs.drain(spark, lambda session: jobs.running_feature_stats(source(session), columns), "complete", "stats")
+    running = jobs.drain(spark, lambda session: jobs.running_feature_stats(source(session), columns), "update", "stats", ["feature"])
     training = feature_stats.feature_stats(ref, columns)
     compared = feature_stats.compare_stats(training, running, relative_tolerance=0.01, failures_only=False)
     return rounded(compared.select("feature", "reason", "train_mean", "inference_mean", "stds", "rel"), 4)
@@ -139,15 +157,16 @@ def stream_feature_check(spark, sf):
 
 @query(
     "stream_counters",
-    f"""WITH {OUTCOME_CTE} SELECT 'outcome' AS counter, outcome AS label, count(*) AS n FROM req GROUP BY outcome
+    f"""WITH RECURSIVE {OUTCOME_CTE} SELECT 'outcome' AS counter, outcome AS label, count(*) AS n FROM req GROUP BY outcome
 UNION ALL SELECT 'decision', tier, count(*) FROM req WHERE outcome = 'success' GROUP BY tier""",
 )
 def stream_counters(spark, sf):
+    """Counters over the log that the request stream writes."""
     source = _events(spark, sf)
-    counted = lambda session: jobs.running_counters(
-        jobs.score_requests(source(session), _score(), request_flag_columns()), ["outcome", "decision"]
-    )
-    return jobs.drain(spark, counted, "complete", "counters")
+    log = materialise(chained.stream_requests(spark, lambda session: requests(source(session)), request_chain(spark, sf)), "log")
+    folder = log.inputFiles()[0].rsplit("/", 1)[0]
+    counted = lambda session: jobs.running_counters(jobs.read_stream(session, folder, "*.parquet", log.schema), ["outcome", "decision"])
+    return jobs.drain(spark, counted, "update", "counters", ["counter", "label"])
 
 
 # One step per request: accepted times of the last day are carried along.

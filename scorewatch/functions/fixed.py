@@ -43,6 +43,7 @@ TREND_HEAD = 10
 # ---- fixed values: serving --------------------------------------------------
 RATE_WINDOW_SECONDS = 60
 RATE_LIMIT = 60
+PREDICTION_TIME_LIMIT = 2.0
 LATENCY_BOUNDS = (0.01, 0.05, 0.1, 0.25, 0.5, 1.0, 2.0, 5.0)
 SCORE_BOUNDS = (0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0)
 SCORE_DECIMALS = 6

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
@@ -42,27 +43,86 @@ def run_append(stream: DataFrame, path: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def run_complete(stream: DataFrame, path: str, checkpoint: str) -> None:
-    """Drain an aggregating stream, replacing the result table with every batch."""
-    def replace(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+def run_update(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str] = (), fold_every: int = 32) -> list[dict]:
+    """Drain an aggregating stream into a table of changes, which ``latest`` reads; the progress of each batch.
+
+    A batch writes only the rows it has touched, into a folder named by its
+    number, so one that is repeated after a failure replaces itself. Every
+    ``fold_every`` batches the current rows are written together and what is
+    older than the fold before is deleted. Groups behind the watermark leave
+    the state; their rows stay in the table.
+    """
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/changes/batch={number}")
+        if number % fold_every == fold_every - 1:
+            spark = batch.sparkSession
+            earlier = batches(spark, f"{path}/folded")
+            latest(spark, path, batch.schema, keys, number).write.mode("overwrite").parquet(f"{path}/folded/batch={number}")
+            old = max((n for n in earlier if n < number), default=-1)
+            drop(spark, [f"{path}/changes/batch={n}" for n in batches(spark, f"{path}/changes") if n <= old])
+            drop(spark, [f"{path}/folded/batch={n}" for n in earlier if n < old])
 
     query = (
-        stream.writeStream.outputMode("complete").foreachBatch(replace)
+        stream.writeStream.outputMode("update").foreachBatch(write)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     query.awaitTermination()
+    return [json.loads(p.json) if hasattr(p, "json") else dict(p) for p in query.recentProgress]
+
+
+def _paths(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def batches(spark: SparkSession, folder: str) -> list[int]:
+    """Numbers of the batches that are wholly written to a folder."""
+    target, store = _paths(spark, f"{folder}/batch=*/_SUCCESS")
+    return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in store.globStatus(target) or ())
+
+
+def drop(spark: SparkSession, folders: Sequence[str]) -> None:
+    for folder in folders:
+        target, store = _paths(spark, folder)
+        store.delete(target, True)
+
+
+def latest(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str] = (), up_to: int | None = None) -> DataFrame:
+    """Of each key the row of the last batch that touched it; without keys the rows of the last batch that had any."""
+    fold = max((n for n in batches(spark, f"{path}/folded") if up_to is None or n < up_to), default=-1)
+    changed = [n for n in batches(spark, f"{path}/changes") if n > fold and (up_to is None or n <= up_to)]
+    parts = [spark.read.schema(schema).parquet(f"{path}/folded/batch={fold}").withColumn("batch", F.lit(fold))] if fold >= 0 else []
+    if changed:
+        wide = T.StructType([*schema.fields, T.StructField("batch", T.IntegerType())])
+        folders = [f"{path}/changes/batch={n}" for n in changed]
+        parts.append(spark.read.schema(wide).option("basePath", f"{path}/changes").parquet(*folders))
+    if not parts:
+        return spark.createDataFrame([], schema)
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*schema.names), "batch").alias("row"))
+    return newest.where(F.col("row").isNotNull()).select("row.*")
 
 
 def drain(
-    spark: SparkSession, source: Callable[[SparkSession], DataFrame], mode: str, label: str
+    spark: SparkSession, source: Callable[[SparkSession], DataFrame], mode: str, label: str, keys: Sequence[str] = ()
 ) -> DataFrame:
-    """Run a stream to the end of its input in a session of its own; its result as a batch table."""
+    """Run a stream to the end of its input in a session of its own; its result as a batch table.
+
+    ``mode`` is append, or update for an aggregation with ``keys`` (none: a single row).
+    """
     session = stream_session(spark)
     stream = source(session)
     path, checkpoint = fresh_path(session, label), fresh_path(session, f"{label}-checkpoint")
-    (run_append if mode == "append" else run_complete)(stream, path, checkpoint)
-    return spark.read.schema(stream.schema).parquet(path)
+    if mode == "append":
+        run_append(stream, path, checkpoint)
+        return spark.read.schema(stream.schema).parquet(path)
+    run_update(stream, path, checkpoint, keys)
+    return latest(spark, path, stream.schema, keys)
+
+
+def timed(stream: DataFrame, timestamp: str, tolerance: str, out: str = "event_at") -> DataFrame:
+    """Add the row's time with a watermark: rows later than ``tolerance`` are left out of windows and counted by Spark."""
+    return stream.withColumn(out, F.col(timestamp).cast("timestamp")).withWatermark(out, tolerance)
 
 
 def score_with_model(stream: DataFrame, model: PipelineModel, flags: dict[str, Column]) -> DataFrame:
@@ -114,10 +174,9 @@ def latency_quantiles(
 
 
 def stream_psi_frequencies(stream: DataFrame, features: drift.Features, edges: dict[str, list[float]], timestamp: str) -> DataFrame:
-    """Running frequency table per calendar day against fixed reference edges."""
-    return drift.frequency_table(
-        stream.withColumn("event_day", drift.day_of(timestamp)), features, edges, ["event_day"]
-    )
+    """Frequency table per calendar day against fixed reference edges; ``timestamp`` may carry a watermark."""
+    counted = drift.frequency_table(stream.withColumn("w", F.window(timestamp, "1 day")), features, edges, ["w"])
+    return counted.select(F.col("w.start").cast("date").alias("event_day"), "feature", "bucket", "category", "n")
 
 
 def running_feature_stats(stream: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -9,11 +9,11 @@ function over sorted times.
 from __future__ import annotations
 
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions import fixed
@@ -118,54 +118,72 @@ def stream_rate_limit(
     key: str,
     window_seconds: int = fixed.RATE_WINDOW_SECONDS,
     limit: int = fixed.RATE_LIMIT,
+    tolerance_seconds: int | None = None,
+    exempt: Column | None = None,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """The same decision with the accepted times of each client in the state store.
 
-    Gives client, key, us, accepted and late for every request. One that comes
-    in a later batch than a later request of its client is marked late and is
-    decided as if it came when that one did, as a live service would. A
-    request without a time is not accepted; those without a client are one
-    unknown client's. A client that sends nothing for a window is forgotten.
-    A client's rows of one micro-batch are held and sorted in memory at once.
+    Gives client, key, us, accepted, late and the columns ``carry`` for every
+    request. One that comes in a later batch than a later request of its
+    client is marked late and is decided as if it came when that one did, as a
+    live service would. A request without a time is not accepted; those
+    without a client are one unknown client's. Requests that are ``exempt``
+    pass by: they use up nothing and their ``accepted`` is null.
+
+    Forgetting goes by the times of the requests alone, however fast or slow
+    they are processed: a client is forgotten when the latest request of all
+    clients is more than a window and ``tolerance_seconds`` (by default
+    another window) behind its own last one. Only a request that is later than
+    that finds its client forgotten. A client's rows of one micro-batch are
+    held and sorted in memory at once.
     """
     window = int(window_seconds * 1_000_000)
     kinds = dict(stream.dtypes)
+    names = ["client", "key", "us", "exempt", *carry]
+    out = ["client", "key", "us", "accepted", "late", *carry]
 
     def decide(group, batches, state: GroupState):
         if state.hasTimedOut:
             state.remove()
             return
         known, last = state.get if state.exists else ((), None)
-        arrived_ms = state.getCurrentWatermarkMs()
         accepted = deque(known)
         # The Arrow batches of a group come in no order: all of the micro-batch are sorted together.
-        frames = []
-        for pdf in batches:
-            arrived_ms = max(arrived_ms, int(pdf["arrived"].max().timestamp() * 1000))
-            frames.append(pdf[["client", "key", "us"]])
-        pdf = pd.concat(frames, ignore_index=True).sort_values(["us", "key"], na_position="last", kind="stable")
-        timed = int(pdf["us"].notna().sum())
+        pdf = pd.concat([pdf[names] for pdf in batches], ignore_index=True)
+        pdf = pdf.sort_values(["exempt", "us", "key"], na_position="last", kind="stable")
+        free = pdf["exempt"].to_numpy(dtype=bool)
+        timed = int((pdf["us"].notna() & ~free).sum())
         exact = pdf["us"].iloc[:timed].to_numpy(dtype="int64")
-        late = np.zeros(len(pdf), dtype=bool)
-        verdicts = np.zeros(len(pdf), dtype=bool)
+        late, verdicts = np.zeros(len(pdf), dtype=bool), np.zeros(len(pdf), dtype=bool)
         if last is not None:
             late[:timed] = exact < last
             exact = np.maximum(exact, last)
         verdicts[:timed] = admit(exact, accepted, window, limit)
         if timed:
             last = int(exact[-1])
-        yield pdf.assign(accepted=verdicts, late=late)[["client", "key", "us", "accepted", "late"]]
-        state.update((list(accepted), last))
-        state.setTimeoutTimestamp(arrived_ms + window // 1000 + 1)
-
-    # The watermark runs over arrival times, which are never late, so no request is dropped for its own time.
-    rows = stream.withColumn("arrived", F.current_timestamp()).withWatermark("arrived", "0 seconds").select(
-        "arrived",
-        F.col(client).alias("client"), F.col(key).alias("key"), F.unix_micros(F.col(timestamp).cast("timestamp")).alias("us")
+        yield pdf.assign(accepted=pd.array(verdicts, dtype="boolean"), late=late).assign(
+            accepted=lambda d: d["accepted"].mask(free)
+        )[out]
+        if last is not None:
+            state.update((list(accepted), last))
+            state.setTimeoutTimestamp(max((last + window) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
+
+    # The watermark follows the times of the requests. A request itself goes on without that time, beside a copy that ends
+    # here with it: so none is dropped for being behind the watermark.
+    time = F.col(timestamp).cast("timestamp")
+    unset = F.lit(None).cast("timestamp")
+    rows = stream.select(
+        F.col(client).alias("client"), F.col(key).alias("key"), F.unix_micros(time).alias("us"),
+        F.coalesce(F.lit(False) if exempt is None else exempt, F.lit(False)).alias("exempt"), *carry,
+        F.explode(F.when(time.isNull(), F.array(unset)).otherwise(F.array(unset, time))).alias("clock"),
     )
+    tolerance = window_seconds if tolerance_seconds is None else tolerance_seconds
+    rows = rows.withWatermark("clock", f"{int(tolerance * 1000)} milliseconds").where(F.col("clock").isNull())
+    carried = "".join(f", `{c}` {kinds[c]}" for c in carry)
     return rows.groupBy("client").applyInPandasWithState(
         decide,
-        outputStructType=f"client {kinds[client]}, key {kinds[key]}, us bigint, accepted boolean, late boolean",
+        outputStructType=f"client {kinds[client]}, key {kinds[key]}, us bigint, accepted boolean, late boolean{carried}",
         stateStructType="accepted array<bigint>, last bigint",
         outputMode="append",
         timeoutConf=GroupStateTimeout.EventTimeTimeout,
