@@ -1,13 +1,15 @@
 """Ranked lexical search without random access (NRA).
 
-The postings of the queries' terms are kept in lists, each sorted by impact in
-bands. A round reads on in all lists, high bands first. What it has read of a
-document for a query is the lower end of its score; the upper end adds, for
-each term not yet seen in it, the highest impact its list has left. A document
-that was never read can score no more than the sum of these over all terms;
-once this is below the k-th lower end the query takes in no more documents,
-and those whose upper end is below it go. Reading ends when every document
-left has been read to the end of its interval.
+Documents are dealt into shards of a bounded number of postings. A shard keeps
+a list for each term of the queries, sorted by impact, and answers each query
+by reading its terms' lists from their heads in step. What has been read of a
+document is the lower end of its score; the upper end adds, for each term not
+yet seen in it, the next impact of that term's list. A document that was never
+read can score no more than the sum of these over all terms; once this is
+below the k-th lower end no document comes in any more, and those whose upper
+end is below it go. Reading ends when all that are left have been read to the
+end of their interval. A task carries its k-th score from shard to shard, so
+later shards are read less deeply; the shards' results meet in one ranking.
 """
 
 from __future__ import annotations
@@ -16,24 +18,25 @@ import math
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import materialise
 from .common import longs, map_arrow, texts
-from .terms import TERMS_SQL, terms
+from .terms import TERMS_SQL, pieces
 
 TOP = 20
 #: (query, term) pairs of one block of queries, on average; what is broadcast has at most a row for each.
 BLOCK_PAIRS = 1 << 17
-#: Bands of impacts per power of two.
-BANDS = 4
-#: A round reads as many postings as all before it together, and at first so many for each place of each result.
-FIRST = 64
+#: Postings of a shard; one document more may be begun.
+SHARD_POSTINGS = 1 << 19
+#: Each step reads all lists down to this share of the impact that the step before went down to.
+STEP = 0.5
 
 
 def forward(docs: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
-    """row, doc_id, n (terms of the text), terms and tfs of those in ``vocabulary``."""
+    """doc_id, n (terms of the text), terms and tfs of those in ``vocabulary``."""
     known = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def each(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -41,9 +44,11 @@ def forward(docs: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
         for batch in batches:
             n, found, tfs = [], [], []
             for text in texts(batch.column(1)):
-                words = terms(text)
-                held = Counter(filter(number.__contains__, words))
-                n.append(len(words))
+                held: Counter = Counter()
+                n.append(0)
+                for words in pieces(text):
+                    n[-1] += len(words)
+                    held.update(filter(number.__contains__, words))
                 found.append([number[w] for w in held])
                 tfs.append(list(held.values()))
             yield pa.RecordBatch.from_arrays(
@@ -52,91 +57,124 @@ def forward(docs: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
             )
 
     rows = map_arrow(docs.select("doc_id", "text"), each, "doc_id long, n long, terms array<int>, tfs array<long>")
-    return materialise(rows.withColumn("row", F.monotonically_increasing_id()), "forward")
-
-
-def postings(rows: DataFrame) -> DataFrame:
-    """term, row, impact, band: lists in order of falling bands within each file."""
-    n_docs, all_terms = rows.agg(F.count_if(F.col("n") > 0), F.sum("n")).first()
-    each = rows.select("row", "n", F.explode(F.arrays_zip("terms", "tfs")).alias("p")).select("row", "n", F.col("p.terms").alias("term"), F.col("p.tfs").alias("tf"))
-    df = each.groupBy("term").agg(F.count(F.lit(1)).alias("df")).collect()  # one row per term of the block
-    weights = [(term, math.floor(1000 * math.log((2 * n_docs + 2) / (2 * n + 1)))) for term, n in df]
-    spark = rows.sparkSession
-    weights = F.broadcast(spark.createDataFrame(weights, "term int, w long"))
-    length = 100 - 25 + F.expr(f"(25 * n * {n_docs}L) div {max(1, all_terms or 0)}L")
-    impact = F.col("w") * F.expr("(1000000000L * tf) div (1000 * tf + 12 * m)")
-    found = each.withColumn("m", length).join(weights, "term").select("term", "row", impact.alias("impact")).where("impact > 0")
-    return materialise(
-        found.withColumn("band", F.floor(F.log2("impact") * BANDS).cast("int")).sortWithinPartitions(F.desc("band"), "term", F.desc("impact")), "postings",
-    )
+    return materialise(rows, "forward")
+
+
+class Lists:
+    """The postings of a shard: of each term the places of its documents and their impacts, the highest first."""
 
+    def __init__(self, places: np.ndarray, numbers: np.ndarray, impacts: np.ndarray, n_terms: int):
+        order = np.lexsort((places, -impacts, numbers))
+        self.places, self.impacts = places[order], impacts[order]
+        self.ends = np.searchsorted(numbers[order], np.arange(n_terms + 1))
 
-def strides(sizes: list[tuple[int, int]], first: int) -> Iterator[tuple[int, int]]:
-    """Runs of bands, (lowest, highest) each, from the highest down: each run reads at least as much as all before it."""
-    read, start, size = 0, None, 0
-    for band, n in sorted(sizes, reverse=True):
-        start = band if start is None else start
-        size += n
-        if size >= max(read, first):
-            yield band, start
-            read, start, size = read + size, None, 0
-    if start is not None:
-        yield band, start
+    def of(self, number: int) -> tuple[np.ndarray, np.ndarray]:
+        a, b = self.ends[number], self.ends[number + 1]
+        return self.places[a:b], self.impacts[a:b]
 
 
-def block_results(docs: DataFrame, queries: DataFrame, top: int) -> DataFrame:
-    """query, rank, doc_id, score for the queries (query, term as bytes, q) of one block."""
-    names = [r["term"] for r in queries.select("term").distinct().collect()]  # at most the block's pairs
-    vocabulary = {bytes(name): i for i, name in enumerate(sorted(names))}
+def resolve(lists: list[tuple[np.ndarray, np.ndarray]], n_docs: int, top: int, known: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Places and scores of all documents that may be among the ``top`` best, ties included, and the postings read.
+
+    ``lists`` holds places and falling additions to the score of each term;
+    ``known`` the best scores found elsewhere. The scores are final.
+    """
+    lists = [(places, adds) for places, adds in lists if len(places)]
+    lower = np.zeros(n_docs, np.int64)
+    seen = np.zeros((len(lists), n_docs), bool)
+    at = [0] * len(lists)
+    left = np.array([int(adds[0]) for _, adds in lists], np.int64)  # the most that each list can still add
+    candidates: np.ndarray | None = None  # None: documents may still come in
+    read = 0
+    while True:
+        if left.any():
+            down_to = max(1, int(left.max() * STEP))
+            for i, (places, adds) in enumerate(lists):
+                if left[i] < down_to:
+                    continue
+                stop = at[i] + int(np.searchsorted(-adds[at[i]:], -down_to, "right"))
+                own = places[at[i]:stop]
+                lower[own] += adds[at[i]:stop]
+                seen[i, own] = True
+                read += stop - at[i]
+                at[i], left[i] = stop, adds[stop] if stop < len(adds) else 0
+        if candidates is None:
+            met = np.flatnonzero(lower)
+        else:
+            met = candidates
+        best = np.concatenate([lower[met], known])
+        kth = int(np.partition(best, len(best) - top)[len(best) - top]) if len(best) >= top else 0
+        upper = lower[met] + left @ ~seen[:, met]
+        stays = upper >= max(kth, 1)
+        if int(left.sum()) < kth or not left.any():
+            candidates = met[stays]
+            if (upper[stays] == lower[candidates]).all():
+                return candidates, lower[candidates], read
+
+
+def shard_results(parts: list[tuple], queries: list[tuple], weights: np.ndarray, n_docs: int, all_terms: int, top: int, best: list) -> None:
+    """Merge the shard's documents into ``best``: for each query the rows (-score, doc_id unknown, doc_id, row) of the best so far."""
+    doc_ids = [d for ids, *_ in parts for d in ids]
+    n = np.concatenate([lengths for _, lengths, *_ in parts])
+    sizes = np.concatenate([counts for _, _, counts, *_ in parts])
+    numbers = np.concatenate([found for *_, found, _ in parts])
+    tf = np.concatenate([found for *_, found in parts])
+    places = np.repeat(np.arange(len(n)), sizes)
+    length = 100 - 25 + (25 * n * n_docs) // max(1, all_terms)
+    impacts = weights[numbers] * ((1_000_000_000 * tf) // (1000 * tf + 12 * length[places]))
+    some = impacts > 0
+    lists = Lists(places[some], numbers[some], impacts[some], len(weights))
+    for i, (_, own, q) in enumerate(queries):
+        asked = [(where, adds * times) for (where, adds), times in ((lists.of(number), times) for number, times in zip(own, q))]
+        if not any(len(where) for where, _ in asked):
+            continue
+        found, scores, _ = resolve(asked, len(n), top, np.array([-row[0] for row in best[i]], np.int64))
+        rows = [(-s, doc_ids[p] is None, doc_ids[p] or 0) for p, s in zip(found.tolist(), scores.tolist())]
+        best[i] = sorted(best[i] + rows)[:top]
+
+
+def shards(batches: Iterable[pa.RecordBatch], queries, weights, totals: tuple[int, int], top: int) -> Iterator[pa.RecordBatch]:
+    """The best documents of a task for each query, found shard by shard."""
+    best: list[list] = [[] for _ in queries.value]
+    parts, size = [], 0
+    for batch in batches:
+        for start in range(0, batch.num_rows, 512):
+            rows = batch.slice(start, 512)
+            found, tfs = rows.column(2), rows.column(3)
+            counts = np.diff(found.offsets.to_numpy())
+            parts.append((rows.column(0).to_pylist(), rows.column(1).to_numpy(), counts, found.flatten().to_numpy(), tfs.flatten().to_numpy()))
+            size += int(counts.sum())
+            if size >= SHARD_POSTINGS:
+                shard_results(parts, queries.value, weights.value, *totals, top, best)
+                parts, size = [], 0
+    if parts:
+        shard_results(parts, queries.value, weights.value, *totals, top, best)
+    out = [(query, None if unknown else doc_id, -cost) for (query, *_), rows in zip(queries.value, best) for cost, unknown, doc_id in rows]
+    yield pa.RecordBatch.from_arrays(
+        [longs([r[0] for r in out]), longs([r[1] for r in out]), longs([r[2] for r in out])], names=["query", "doc_id", "score"],
+    )
+
+
+def block_results(docs: DataFrame, pairs: DataFrame, top: int) -> DataFrame:
+    """query, rank, doc_id, score for the queries (query, term, q) of one block of them."""
     spark = docs.sparkSession
-    numbers = spark.createDataFrame([(bytearray(w), i) for w, i in vocabulary.items()], "term binary, number int")
-    pairs = materialise(queries.join(numbers, "term").select("query", F.col("number").alias("term"), "q"), "pairs")
+    asked: dict[int, list] = {}
+    vocabulary: dict[bytes, int] = {}
+    for query, term, q in sorted(pairs.collect()):  # the block's pairs
+        asked.setdefault(query, []).append((vocabulary.setdefault(bytes(term), len(vocabulary)), q))
     rows = forward(docs, vocabulary)
-    lists = postings(rows)
-    bands = materialise(lists.groupBy("term", "band").agg(F.max("impact").alias("most"), F.count(F.lit(1)).alias("n")), "bands")
-    wide = bands.join(pairs.groupBy("term").agg(F.count(F.lit(1)).alias("asked")), "term").groupBy("band").agg(F.sum(F.expr("n * asked")).alias("n"))
-    n_queries = pairs.select("query").distinct().count()
-    reads = survivors = taking = None
-
-    def added(read: DataFrame) -> DataFrame:
-        return read.select("query", "row", "term", (F.col("impact") * F.col("q")).alias("add"))
-
-    for low, high in strides([(r["band"], r["n"]) for r in wide.collect()], FIRST * top * n_queries):
-        fresh = lists.where(F.col("band").between(low, high)).select("term", "row", "impact")
-        of_query = F.broadcast(pairs)
-        if reads is None:
-            reads = added(fresh.join(of_query, "term"))
-        else:
-            # Queries that still take in documents read all; the others look for the documents they have left.
-            open_ = fresh.join(of_query.join(F.broadcast(taking.where("open").select("query")), "query", "left_semi"), "term")
-            left = survivors.join(F.broadcast(taking.where("NOT open").select("query")), "query", "left_semi").select("query", "row")
-            wanted = fresh.join(left.select("row").distinct(), "row", "left_semi")
-            closed = wanted.join(of_query, "term").join(left, ["query", "row"], "left_semi")
-            reads = reads.join(survivors.select("query", "row"), ["query", "row"], "left_semi").unionByName(added(open_)).unionByName(added(closed))
-        reads = materialise(reads, "reads")
-        rest = bands.where(F.col("band") < low).groupBy("term").agg(F.max("most").alias("most"))
-        rest = materialise(pairs.join(rest, "term").select("query", "term", (F.col("most") * F.col("q")).alias("rest")), "rest")
-        seen = reads.join(F.broadcast(rest), ["query", "term"], "left").groupBy("query", "row").agg(
-            F.sum("add").alias("lower"), F.coalesce(F.sum("rest"), F.lit(0)).alias("seen"),
-        )
-        state = materialise(seen, "state")
-        best = state.withColumn("k", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("lower")))).where(F.col("k") <= top)
-        kth = best.groupBy("query").agg(F.when(F.count(F.lit(1)) == top, F.min("lower")).otherwise(0).alias("kth"))
-        unread = rest.groupBy("query").agg(F.sum("rest").alias("unread"))
-        taking = pairs.select("query").distinct().join(kth, "query", "left").join(unread, "query", "left")
-        taking = taking.select("query", F.coalesce("kth", F.lit(0)).alias("kth"), F.coalesce("unread", F.lit(0)).alias("unread"))
-        taking = materialise(taking.withColumn("open", (F.col("unread") > 0) & (F.col("unread") >= F.col("kth"))), "taking")
-        upper = F.col("lower") + F.col("unread") - F.col("seen")
-        survivors = state.join(F.broadcast(taking), "query").withColumn("upper", upper).where("upper >= kth").select("query", "row", "lower", "upper")
-        survivors = materialise(survivors, "survivors")
-        undecided = survivors.where("lower < upper").limit(1).unionByName(survivors.join(F.broadcast(taking.where("open")), "query").select(*survivors.columns).limit(1))
-        if undecided.isEmpty() and taking.where("open").isEmpty():
-            break
-    if survivors is None:
-        return spark.createDataFrame([], "query long, rank int, doc_id long, score long")
-    named = rows.select("row", "doc_id").join(survivors.select("query", "row", F.col("lower").alias("score")), "row")
-    order = Window.partitionBy("query").orderBy(F.desc("score"), F.col("doc_id").asc_nulls_last(), "row")
-    return named.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).select("query", F.col("rank").cast("int").alias("rank"), "doc_id", "score")
+    n_docs, all_terms = rows.agg(F.count_if(F.col("n") > 0), F.coalesce(F.sum("n"), F.lit(0))).first()
+    weights = np.zeros(len(vocabulary), np.int64)
+    for number, df in rows.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1))).collect():
+        weights[number] = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df + 1)))
+    listed = [(query, [number for number, _ in own], [q for _, q in own]) for query, own in asked.items()]
+    shared, weighed = spark.sparkContext.broadcast(listed), spark.sparkContext.broadcast(weights)
+    found = map_arrow(
+        rows.select("doc_id", "n", "terms", "tfs"),
+        lambda batches: shards(batches, shared, weighed, (n_docs, all_terms), top), "query long, doc_id long, score long",
+    )
+    order = Window.partitionBy("query").orderBy(F.desc("score"), F.col("doc_id").asc_nulls_last())
+    return found.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= top)
 
 
 def ranked_search(docs: DataFrame, queries: DataFrame, top: int = TOP, block_pairs: int = BLOCK_PAIRS) -> DataFrame:
@@ -150,12 +188,16 @@ def ranked_search(docs: DataFrame, queries: DataFrame, top: int = TOP, block_pai
 
     Queries are answered in blocks of about ``block_pairs`` (query, term)
     pairs, so that what is broadcast is bounded however many queries there
-    are; the number of documents is not limited by anything held in one place.
+    are. Documents are read once per block; what they hold of the queries'
+    terms is written, for their numbers in all documents are needed first. No
+    posting is shuffled, only ``top`` rows per task and query.
     """
     def split(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for query, text in zip(batch.column(0).to_pylist(), texts(batch.column(1))):
-                held = Counter(terms(text))
+                held: Counter = Counter()
+                for words in pieces(text):
+                    held.update(words)
                 yield pa.RecordBatch.from_arrays(
                     [longs([query] * len(held)), pa.array(list(held), pa.binary()), longs(list(held.values()))], names=["query", "term", "q"],
                 )

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import local_table, materialise
 from .common import longs, map_arrow, texts
-from .terms import TERMS_SQL, terms
+from .terms import TERMS_SQL, pieces
 
 #: Rows whose keys cut the candidates in one round of the selection.
 PIVOTS = 15
@@ -57,13 +57,19 @@ class Buckets(dict):
         return bucket
 
 
-def features(words: list[bytes], plan: Plan, known: Buckets) -> np.ndarray:
-    """The bucket of every feature of a text."""
-    found = [np.fromiter(map(known.__getitem__, words), "<u4", len(words))]
-    for n in range(2, plan.longest + 1):
-        runs = (b" ".join(words[i:i + n]) for i in range(len(words) - n + 1))
-        found.append(np.fromiter((zlib.crc32(r) % plan.buckets for r in runs), "<u4"))
-    return np.concatenate(found)
+def features(text: str, plan: Plan, known: Buckets) -> tuple[int, np.ndarray]:
+    """The number of words of a text, and the bucket of every feature."""
+    n_words, found, tail = 0, [], []
+    for words in pieces(text):
+        n_words += len(words)
+        found.append(np.fromiter(map(known.__getitem__, words), "<u4", len(words)))
+        joined = tail + words
+        for n in range(2, plan.longest + 1):  # runs that end in this piece
+            first = max(0, len(tail) - n + 1)
+            runs = (b" ".join(joined[i:i + n]) for i in range(first, len(joined) - n + 1))
+            found.append(np.fromiter((zlib.crc32(r) % plan.buckets for r in runs), "<u4"))
+        tail = joined[len(joined) - plan.longest + 1:] if plan.longest > 1 else []
+    return n_words, np.concatenate(found) if found else np.zeros(0, "<u4")
 
 
 def bucketed(df: DataFrame, plan: Plan, *keys: str) -> DataFrame:
@@ -75,9 +81,9 @@ def bucketed(df: DataFrame, plan: Plan, *keys: str) -> DataFrame:
         for batch in batches:
             n_words, found = [], []
             for text in texts(batch.column(0)):
-                words = terms(text)
-                n_words.append(len(words))
-                found.append(features(words, plan, known).astype(width).tobytes())
+                n, own = features(text, plan, known)
+                n_words.append(n)
+                found.append(own.astype(width).tobytes())
             columns = [longs(n_words), pa.array(found, pa.binary()), *batch.columns[1:]]
             yield pa.RecordBatch.from_arrays(columns, names=["n_words", "buckets", *keys])
 

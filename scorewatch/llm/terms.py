@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import string
+from collections.abc import Iterator
 
 from pyspark.sql import Column, functions as F
 
@@ -18,6 +19,19 @@ def terms(text: str) -> list[bytes]:
     return text.encode().translate(FOLD).split()
 
 
+def pieces(text: str, size: int = 1 << 22) -> Iterator[list[bytes]]:
+    """The same, some megabytes of text at a time, so that a very long text is never a list of all its terms."""
+    folded, start = text.encode().translate(FOLD), 0
+    while start < len(folded):
+        stop = start + size
+        if stop < len(folded):
+            space = folded.rfind(b" ", start, stop)
+            stop = folded.find(b" ", stop) if space < 0 else space
+            stop = len(folded) if stop < 0 else stop
+        yield folded[start:stop].split()
+        start = stop + 1
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z lower-cased and nothing else; ``lower`` would change other letters too."""
     return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
