@@ -118,8 +118,12 @@ class Cache(dict):
         self[key] = out
         return out
 
-    def lacks(self, keys: set) -> set:
-        return keys.difference(self, self.old)
+    def keep(self, items: Iterable[tuple]) -> None:
+        """Put what was computed elsewhere into the younger generation."""
+        if len(self) >= CACHE_WORDS // 2:
+            self.old = dict(self)
+            self.clear()
+        self.update(items)
 
 
 class WordBpe:

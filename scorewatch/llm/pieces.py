@@ -5,18 +5,27 @@ from __future__ import annotations
 import functools
 import json
 import struct
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from tokenizers import Tokenizer
 
 from .bpe import Cache, byte_symbols, late, simple
+from .merging import LONGEST, Merges
 
 #: How byte-level vocabularies split text before merging (a fixed value of the format).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Stretches encoded in one call, and characters of the texts that are looked through at a time.
-TOGETHER, GROUP_CHARS = 128, 1 << 20
+#: Characters of the texts that are looked through at a time.
+GROUP_CHARS = 1 << 22
+
+
+def newer(text: str) -> bool:
+    """Whether a text has characters that are newer than Python's tables, which are none of its printable ones."""
+    return not text.isascii() and not text.isprintable() and late()(text)
 
 
 class Pieces:
@@ -38,17 +47,19 @@ class Pieces:
         self.byte_of = {c: b for b, c in enumerate(symbols)}
         self.of_pretoken = Cache(self.pretoken)
         self.of_stretch = Cache(self.stretch)
-        # Byte 255 never occurs in UTF-8. A symbol that no merge knows keeps what stands on its two sides apart.
         model = json.loads(content)["model"]
-        known = any(symbols[255] in part for pair in model["merges"] for part in pair)
-        self.border = None if known else model["vocab"].get(symbols[255])
+        self.merges = None
+        if not model.get("dropout") and not model.get("ignore_merges") and not model.get("continuing_subword_prefix") and not model.get("end_of_word_suffix"):
+            ids, pairs = model["vocab"], [tuple(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+            if all(c in ids for c in symbols):
+                self.merges = Merges([(ids[x], ids[y]) for x, y in pairs], [ids[x + y] for x, y in pairs], max(ids.values()) + 1)
+                self.byte_ids = np.array([ids[c] for c in symbols], np.int64)
         self.spaced = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.spaced[[i for t, i in model["vocab"].items() if t.startswith(symbols[32])]] = True
-        self.units = np.array(list(map(ord, symbols)), "<u2")
 
     def split(self, text: str) -> list[str]:
         """Pre-tokens; characters newer than Python's tables are split by the library."""
-        if not text.isascii() and late()(text):
+        if newer(text):
             found = self.tokenizer.pre_tokenizer.pre_tokenize_str(text)
             return [bytes(map(self.byte_of.__getitem__, piece)).decode() for piece, _ in found]
         return self.find(text)
@@ -82,41 +93,71 @@ class Pieces:
             return None
         return first, rest
 
-    def learn(self, new: Iterable[str]) -> None:
-        """Put the ids of stretches into the cache, many to a call of the library.
+    def learn(self, new: list[str]) -> list[bytes | None]:
+        """Ids of stretches that the cache lacks, as ``stretch`` gives them; most are merged together.
 
         Stretches hold no space, so their pre-tokens are found in one pass over all of them, and the tokens that begin
-        with a space are where a stretch begins.
+        with a space are where a stretch begins. Byte 255 never occurs in UTF-8 and stands between pre-tokens here.
         """
-        if self.border is None:
-            return
-        plain = [s for s in new if s and s.strip() == s and (s.isascii() or not late()(s))]
-        for i in range(0, len(plain), TOGETHER):
-            some = plain[i:i + TOGETHER]
-            raw = b"\xff".join(map(str.encode, self.find(" " + " ".join(some))))
-            symbols = self.units[np.frombuffer(raw, np.uint8)].tobytes().decode("utf-16-le")
-            ids = np.array([t.id for t in self.tokenizer.model.tokenize(symbols)], "<u4")
-            ids = ids[ids != self.border]
+        plain = [bool(s) and len(s) <= LONGEST and s.strip() == s and not newer(s) for s in new] if self.merges else [False] * len(new)
+        some = [s for s, is_plain in zip(new, plain) if is_plain]
+        packed, cut = b"", [0]
+        if some:
+            raw = np.frombuffer(b"\xff".join(map(str.encode, self.find(" " + " ".join(some)))), np.uint8)
+            marks = np.flatnonzero(raw == 255)
+            starts, ends = np.r_[0, marks + 1], np.r_[marks, len(raw)]
+            ids, _ = self.merges.ids(self.byte_ids[raw], starts, ends - starts)
             cut, packed = [*(np.flatnonzero(self.spaced[ids]) * 4).tolist(), len(ids) * 4], ids.tobytes()
-            self.of_stretch.update((s, packed[a:b]) for s, a, b in zip(some, cut, cut[1:]))
-
-    def encode_all(self, found: Iterable[str]) -> Iterator[bytes]:
-        """Ids of each text; the stretches that a group of texts has new are encoded together."""
-        group: list[str] = []
-        size = 0
-        for text in found:
-            group.append(text)
-            size += len(text)
-            if size >= GROUP_CHARS:
-                yield from self.encode_group(group)
-                group, size = [], 0
-        yield from self.encode_group(group)
-
-    def encode_group(self, group: list[str]) -> Iterator[bytes]:
-        cuts = [self.stretches(text) for text in group]
-        self.learn(self.of_stretch.lacks(set().union(*(cut[1] for cut in cuts if cut))))
-        for text, cut in zip(group, cuts):
-            yield self.joined(text, cut)
+        merged = (packed[a:b] for a, b in zip(cut, cut[1:]))
+        return [next(merged) if is_plain else self.stretch(s) for s, is_plain in zip(new, plain)]
+
+    def known(self, each: list[str]) -> list[bytes | None]:
+        """Ids of different stretches, from the cache where it has them."""
+        found = list(map(self.of_stretch.get, each, repeat(b"")))
+        lacks = [i for i, ids in enumerate(found) if ids == b""]
+        if lacks:
+            for i in lacks:
+                found[i] = self.of_stretch.old.get(each[i], b"")
+            new = [i for i in lacks if found[i] == b""]
+            for i, ids in zip(new, self.learn([each[i] for i in new])):
+                found[i] = ids
+            self.of_stretch.keep((each[i], found[i]) for i in lacks)
+        return found
+
+    def encode_all(self, column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Ids of the texts of a column, a group of texts at a time: all ids, and where those of each text end."""
+        column = column.fill_null("")
+        sizes = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False))
+        start = 0
+        while start < len(column):
+            stop = max(start + 1, int(np.searchsorted(sizes, (sizes[start - 1] if start else 0) + GROUP_CHARS, "right")))
+            yield self.encode_group(column.slice(start, stop - start))
+            start = stop
+
+    def encode_group(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Each stretch that the texts have is looked up once; those that are new are encoded together."""
+        parts = pc.split_pattern(column, " ")
+        cuts, coded = parts.offsets.to_numpy().astype(np.int64), parts.flatten().dictionary_encode()
+        cuts -= cuts[0]
+        codes, each = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary.to_pylist()
+        known = self.known(each)
+        # The text before the first space stands for itself, and so does a whole text that cannot be cut at its spaces.
+        alone = np.array([ids is None for ids in known], bool)[codes]
+        alone[cuts[:-1]] = False
+        firsts = coded.take(pa.array(cuts[:-1])).to_pylist()
+        whole = np.logical_or.reduceat(alone, cuts[:-1]) | np.array([not f or f[-1].isspace() for f in firsts], bool)
+        for i in np.flatnonzero(pc.match_substring(column, "<").to_numpy(zero_copy_only=False)).tolist():
+            whole[i] = whole[i] or self.has_special(column[i].as_py())
+        own = [self.whole(column[i].as_py() if w else f) for i, (f, w) in enumerate(zip(firsts, whole.tolist()))]
+        table = [b"" if ids is None else ids for ids in known] + own
+        codes[cuts[:-1]] = len(known) + np.arange(len(own))
+        sizes = np.fromiter(map(len, table), np.int64, len(table)) // 4
+        begins = np.cumsum(sizes) - sizes
+        sizes = sizes[codes]
+        sizes[np.repeat(whole, np.diff(cuts)) & (codes < len(known))] = 0
+        ends = np.cumsum(sizes)
+        at = np.repeat(begins[codes] - (ends - sizes), sizes) + np.arange(int(ends[-1]))
+        return np.frombuffer(b"".join(table), "<u4")[at], ends[cuts[1:] - 1]
 
     def joined(self, text: str, cut: tuple[str, list[str]] | None) -> bytes:
         if cut:

@@ -24,7 +24,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import fresh_path
-from .common import longs, map_arrow, texts
+from .common import longs, map_arrow
 from .pieces import loaded
 
 MAGIC = b"EFTOKEN1"
@@ -153,15 +153,19 @@ def write_task(batches: Iterable[pa.RecordBatch], vocabulary, folder: str, end_i
     from pyspark import TaskContext
 
     pieces, task = loaded(vocabulary.value), TaskContext.get().partitionId()
-    end, writer, done = end_id.to_bytes(4, "little"), None, []
+    end, writer, done = np.array([end_id], "<u4"), None, []
     for batch in batches:
-        for doc_id, ids in zip(batch.column(0).to_pylist(), pieces.encode_all(texts(batch.column(1)))):
-            if writer is None:
-                writer = Writer(folder, task, len(done), width)
-            writer.add(doc_id, np.frombuffer(ids + end, "<u4"))
-            if writer.n_ids >= FILE_IDS:
-                done.append(writer.close())
-                writer = None
+        doc_ids, at = batch.column(0).to_pylist(), 0
+        for ids, ends in pieces.encode_all(batch.column(1)):
+            start = 0
+            for stop in ends.tolist():
+                if writer is None:
+                    writer = Writer(folder, task, len(done), width)
+                writer.add(doc_ids[at], np.concatenate([ids[start:stop], end]))
+                start, at = stop, at + 1
+                if writer.n_ids >= FILE_IDS:
+                    done.append(writer.close())
+                    writer = None
     if writer is not None:
         done.append(writer.close())
     yield pa.RecordBatch.from_arrays([
