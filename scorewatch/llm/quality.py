@@ -3,10 +3,14 @@
 A document is measured once. Documents that pass the base rules enter
 quantile sketches per language and source: counts of log-linear buckets, which
 merge by addition, so the sketch of a language, or of all, is the sum of its
-parts. A measure's limit is the upper far-out fence of its group, q3 + 3 (q3 -
-q1), plus a tolerance that keeps a group without spread from rejecting its own
-ordinary documents. Groups of few documents use the sketch of their language,
-or of all. The limits are then joined to the documents.
+parts. A measure's limits are the far-out fences of its group, q3 + 3 (q3 -
+q1) and q1 - 3 (q3 - q1), plus a tolerance that keeps a group without spread
+from rejecting its own ordinary documents. The fences of a source are blended
+with those of its language, and these with those of all documents, in
+proportion to how many documents stand behind each, and may not lie beyond
+twice, or below half of, what they are blended with: a few documents hardly
+move their limits, and a source that is mostly junk cannot lift them to its
+own level. The limits are then joined to the documents.
 """
 
 from __future__ import annotations
@@ -23,10 +27,12 @@ from .common import longs, map_arrow, texts
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\r\x0b\x0c"
 WINDOW = 5
-#: Documents a group needs for limits of its own.
-MIN_GROUP = 200
-#: Measures in whole units, and the tolerance above the fence: symbols and repeated lines in thousandths, word length in hundredths.
+#: A wider group's fences weigh as much as those of so many documents of the group itself.
+PRIOR = 200
+#: Measures in whole units, and the tolerance above the upper fence: symbols and repeated lines in thousandths, word length in hundredths.
 TOLERANCE = {"symbols": 100, "lines": 400, "length": 200}
+#: The measures that have a lower limit too.
+BOTH_SIDES = ["length"]
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
 
 
@@ -109,27 +115,40 @@ def sketches(counted: DataFrame) -> DataFrame:
 
 
 def fences(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """n and fence per group and measure. A group has at most a few thousand buckets, however many rows."""
+    """n and both fences per group and measure. A group has at most a few thousand buckets, however many rows."""
     merged = sketch.groupBy(*keys, "measure", "bucket").agg(F.sum("rows").alias("rows"))
     group = Window.partitionBy(*keys, "measure")
     so_far = F.sum("rows").over(group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0))
     ranked = merged.withColumn("so_far", so_far).withColumn("n", F.sum("rows").over(group))
     q1, q3 = F.expr("min(bucket) FILTER (WHERE 4 * so_far >= n)"), F.expr("min(bucket) FILTER (WHERE 4 * so_far >= 3 * n)")
-    return ranked.groupBy(*keys, "measure").agg(F.max("n").alias("n"), (q3 + 3 * (q3 - q1)).alias("fence"))
+    return ranked.groupBy(*keys, "measure").agg(
+        F.max("n").alias("n"), (q3 + 3 * (q3 - q1)).alias("upper"), F.greatest(F.lit(0), q1 - 3 * (q3 - q1)).alias("lower"),
+    )
+
+
+def blended(n: Column, own: Column, wider: Column, prior: int, above: bool) -> Column:
+    """``own`` of n documents and ``wider`` as of ``prior``, rounded down, not beyond twice or below half of ``wider``."""
+    mean = F.floor((n * own + prior * wider) / F.lit(float(prior) + n)).cast("long")
+    return F.least(mean, 2 * wider) if above else F.greatest(mean, F.floor(wider / 2).cast("long"))
 
 
-def limits(sketch: DataFrame, min_group: int) -> DataFrame:
-    """lang, source and the limit of each measure: one row per language and source."""
+def limits(sketch: DataFrame, prior: int) -> DataFrame:
+    """lang, source and the limits of each measure: one row per language and source."""
     sketch = materialise(sketch, "sketches")
-    own, of_lang = fences(sketch, ["lang", "source"]), fences(sketch, ["lang"])
-    of_all = fences(sketch, []).select("measure", F.col("fence").alias("all_fence"))
-    lang = of_lang.select(F.col("lang").alias("lang_2"), F.col("measure").alias("measure_2"), F.col("n").alias("lang_n"), F.col("fence").alias("lang_fence"))
-    joined = own.join(lang, F.col("lang").eqNullSafe(F.col("lang_2")) & (F.col("measure") == F.col("measure_2"))).join(of_all, "measure")
-    fence = F.when(F.col("n") >= min_group, F.col("fence")).when(F.col("lang_n") >= min_group, F.col("lang_fence")).otherwise(F.col("all_fence"))
-    tolerance = F.create_map(*[F.lit(x) for pair in TOLERANCE.items() for x in pair])
-    found = joined.groupBy("lang", "source").agg(*[
-        F.max(F.when(F.col("measure") == k, fence + tolerance[k])).alias(f"{k}_limit") for k in TOLERANCE
-    ])
+    of_lang, of_all = fences(sketch, ["lang"]), fences(sketch, [])
+    of_all = of_all.select("measure", F.col("upper").alias("all_upper"), F.col("lower").alias("all_lower"))
+    lang = of_lang.join(of_all, "measure").select(
+        F.col("lang").alias("lang_2"), F.col("measure").alias("measure_2"),
+        blended(F.col("n"), F.col("upper"), F.col("all_upper"), prior, True).alias("lang_upper"),
+        blended(F.col("n"), F.col("lower"), F.col("all_lower"), prior, False).alias("lang_lower"),
+    )
+    joined = fences(sketch, ["lang", "source"]).join(lang, F.col("lang").eqNullSafe(F.col("lang_2")) & (F.col("measure") == F.col("measure_2")))
+    upper = blended(F.col("n"), F.col("upper"), F.col("lang_upper"), prior, True)
+    lower = blended(F.col("n"), F.col("lower"), F.col("lang_lower"), prior, False)
+    found = joined.groupBy("lang", "source").agg(
+        *[F.max(F.when(F.col("measure") == k, upper + v)).alias(f"{k}_limit") for k, v in TOLERANCE.items()],
+        *[F.max(F.when(F.col("measure") == k, lower)).alias(f"{k}_least") for k in BOTH_SIDES],
+    )
     return materialise(found.withColumnsRenamed({"lang": "limit_lang", "source": "limit_source"}), "limits")
 
 
@@ -139,11 +158,13 @@ def judged(counted: DataFrame, limit_rows: DataFrame) -> DataFrame:
     within = F.lit(True)
     for k, value in measures().items():
         within = within & F.coalesce(value <= F.col(f"{k}_limit"), F.lit(False))
+        if k in BOTH_SIDES:
+            within = within & F.coalesce(value >= F.col(f"{k}_least"), F.lit(False))
     joined = counted.join(limit_rows, same, "left")
     return joined.withColumn("q_base_failed", base_failed()).withColumn("q_kept", ~F.col("q_base_failed") & within)
 
 
-def quality_rules(docs: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
+def quality_rules(docs: DataFrame, prior: int = PRIOR) -> DataFrame:
     """Per row: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept.
 
     A null text has no words, so base_failed is true and kept false, as for an
@@ -154,14 +175,14 @@ def quality_rules(docs: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     """
     columns = ["doc_id", "lang", "source", *(f"q_{c}" for c in COUNTS)]
     counted = materialise(with_counts(docs, ["doc_id", "text", "lang", "source"]).select(*columns), "counts")
-    out = judged(counted, limits(sketches(counted), min_group))
+    out = judged(counted, limits(sketches(counted), prior))
     return out.select("doc_id", *(F.col(f"q_{c}").alias(c) for c in COUNTS[:-1]), F.col("q_base_failed").alias("base_failed"), F.col("q_kept").alias("kept"))
 
 
-def keep_good(docs: DataFrame, columns: list[str], min_group: int = MIN_GROUP) -> DataFrame:
+def keep_good(docs: DataFrame, columns: list[str], prior: int = PRIOR) -> DataFrame:
     """The documents kept, with ``columns``. Texts are measured again rather than written with their counts."""
     counted = with_counts(docs, columns)
-    return judged(counted, limits(sketches(counted), min_group)).where("q_kept").select(*columns)
+    return judged(counted, limits(sketches(counted), prior)).where("q_kept").select(*columns)
 
 
 #: The same rules over the table documents, for DuckDB.
@@ -191,15 +212,19 @@ merged AS (SELECT lvl, lang, source, measure, b, sum(c) AS c FROM levels GROUP B
 ranked AS (SELECT *, sum(c) OVER (PARTITION BY lvl, lang, source, measure ORDER BY b) AS so_far,
                   sum(c) OVER (PARTITION BY lvl, lang, source, measure) AS n FROM merged),
 fence AS (SELECT lvl, lang, source, measure, max(n) AS n, min(b) FILTER (WHERE 4 * so_far >= 3 * n) * 4
-                 - 3 * min(b) FILTER (WHERE 4 * so_far >= n) AS f FROM ranked GROUP BY ALL),
+                 - 3 * min(b) FILTER (WHERE 4 * so_far >= n) AS u, greatest(0, 4 * min(b) FILTER (WHERE 4 * so_far >= n)
+                 - 3 * min(b) FILTER (WHERE 4 * so_far >= 3 * n)) AS d FROM ranked GROUP BY ALL),
+of_lang AS (SELECT b.lang, b.measure, least((b.n * b.u + {PRIOR} * c.u) // (b.n + {PRIOR}), 2 * c.u) AS u,
+                   greatest((b.n * b.d + {PRIOR} * c.d) // (b.n + {PRIOR}), c.d // 2) AS d
+            FROM fence b JOIN fence c ON c.lvl = 2 AND b.measure = c.measure WHERE b.lvl = 1),
 lim AS (SELECT a.lang, a.source, a.measure,
-               CASE WHEN a.n >= {MIN_GROUP} THEN a.f WHEN b.n >= {MIN_GROUP} THEN b.f ELSE c.f END
-               + CASE a.measure {" ".join(f"WHEN '{k}' THEN {v}" for k, v in TOLERANCE.items())} END AS m
-        FROM fence a JOIN fence b ON b.lvl = 1 AND a.lang IS NOT DISTINCT FROM b.lang AND a.measure = b.measure
-        JOIN fence c ON c.lvl = 2 AND a.measure = c.measure WHERE a.lvl = 0),
+               least((a.n * a.u + {PRIOR} * b.u) // (a.n + {PRIOR}), 2 * b.u)
+               + CASE a.measure {" ".join(f"WHEN '{k}' THEN {v}" for k, v in TOLERANCE.items())} END AS m,
+               greatest((a.n * a.d + {PRIOR} * b.d) // (a.n + {PRIOR}), b.d // 2) AS least
+        FROM fence a JOIN of_lang b ON a.lang IS NOT DISTINCT FROM b.lang AND a.measure = b.measure WHERE a.lvl = 0),
 wide AS (SELECT lang, source, max(m) FILTER (WHERE measure = 'symbols') AS ms, max(m) FILTER (WHERE measure = 'lines') AS ml,
-                max(m) FILTER (WHERE measure = 'length') AS mw FROM lim GROUP BY ALL)
+                max(m) FILTER (WHERE measure = 'length') AS mw, max(least) FILTER (WHERE measure = 'length') AS lw FROM lim GROUP BY ALL)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND coalesce(symbols <= ms AND lines <= ml AND length <= mw, false) AS kept
+       NOT base_failed AND coalesce(symbols <= ms AND lines <= ml AND length <= mw AND length >= lw, false) AS kept
 FROM based LEFT JOIN wide ON based.lang IS NOT DISTINCT FROM wide.lang AND based.source IS NOT DISTINCT FROM wide.source
 """.replace("WITH RECURSIVE", "WITH")
