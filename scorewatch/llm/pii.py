@@ -11,6 +11,8 @@ shuffled; a document's pseudonyms depend on its text and the key alone.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 ROUNDS = 6
@@ -42,8 +44,9 @@ CARDS = tuple(
 PATTERNS = (
     r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",  # e-mail
     r"(?<![A-Za-z0-9])A[KS]IA[A-Z0-9]{16}(?![A-Za-z0-9])",  # access key
-    r"(?<![A-Za-z0-9])[0-9a-fA-F]{32,128}(?![A-Za-z0-9])",  # hexadecimal key
-    rf"(?<={_SECRET} ?[=:] ?[\"']?)[A-Za-z0-9+/_-]{{8,128}}",  # what a secret is set to
+    r"(?<![A-Za-z0-9])[0-9a-fA-F]{32,}+(?![A-Za-z0-9])",  # hexadecimal key
+    r"(?<![A-Za-z0-9])eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+",  # signed token
+    rf"(?<={_SECRET}[\"']? ?[=:] ?[\"']?)[A-Za-z0-9+/_-]{{8,}}+",  # what a secret is set to
     r"(?<![0-9A-Za-z.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9A-Za-z]|\.[0-9])",  # IPv4 address
     r"(?<![0-9A-Za-z-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9A-Za-z]|-[0-9])",  # dates
     r"(?<![0-9A-Za-z.])[0-9]{2}\.[0-9]{2}\.[0-9]{4}(?![0-9A-Za-z]|\.[0-9])",
@@ -54,8 +57,14 @@ PATTERNS = (
     r"(?<![0-9A-Za-z])\(?[0-9]{3}\)?[ .-][2-9][0-9]{2}[.-][0-9]{4}(?![0-9])",
 )
 PATTERN = "|".join(PATTERNS)
+#: A social security number that can have been given out.
+SSN = "^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}$"
 #: No pattern matches a text without one of these.
-HINT = rf"[0-9@]|A[KS]IA|{_SECRET} ?[=:]"
+HINT = rf"[0-9@]|A[KS]IA|eyJ|{_SECRET}[\"']? ?[=:]"
+#: Characters of a value that are permuted together; longer values are taken in stretches of so many.
+TOGETHER, STRETCH = 128, 64
+#: Steps of a walk along a permutation's cycle to the next valid value; one in ten is not valid.
+WALK = 40
 
 
 def let(name: str, value: str, body: str) -> str:
@@ -98,6 +107,12 @@ def by_mask(value: str, mask: str, kind: str, key: str) -> str:
     return let("k", mask, let("ps", f"filter(sequence(1, length({value})), p -> {mark} <> '.')", f"IF(size(ps) = 0, {value}, {moved})"))
 
 
+def in_stretches(value: str, mask: Callable[[str], str], kind: str, key: str) -> str:
+    """``by_mask`` of a value of any length: beyond ``TOGETHER`` characters stretch by stretch, so that the work goes with the length."""
+    each = f"transform(regexp_extract_all({value}, '.{{1,{STRETCH}}}', 0), z -> {by_mask('z', mask('z'), kind, key)})"
+    return f"IF(length({value}) > {TOGETHER}, array_join({each}, ''), {by_mask(value, mask(value), kind, key)})"
+
+
 def plain_mask(value: str) -> str:
     """Every digit and ASCII letter within its own kind."""
     kinds = "".join(f"regexp_replace(" for _ in range(4))
@@ -152,27 +167,33 @@ def pseudonym(value: str, key: str) -> str:
     ))
     email = by_mask(value, f"concat(substring_index({plain_mask(value)}, '.', 0), regexp_replace(substring({plain_mask(value)}, 1, instr({value}, '@') - 1), '$', '.'), "
                            f"repeat('.', length({value}) - instr({value}, '@')))", "email", key)
-    hexadecimal = by_mask(value, f"repeat('h', length({value}))", "hex", key)
-    upper_hexadecimal = f"upper({let('y', f'lower({value})', by_mask('y', 'repeat(' + chr(39) + 'h' + chr(39) + ', length(y))', 'hex', key))})"
-    mixed_mask = f"regexp_replace(regexp_replace(regexp_replace({value}, '[a-f]', 'e'), '[A-F]', 'E'), '[0-9]', 'd')"
+    hex_mask = lambda v: f"repeat('h', length({v}))"
+    hexadecimal = in_stretches(value, hex_mask, "hex", key)
+    upper_hexadecimal = f"upper({let('y', f'lower({value})', in_stretches('y', hex_mask, 'hex', key))})"
+    mixed_mask = lambda v: f"regexp_replace(regexp_replace(regexp_replace({v}, '[a-f]', 'e'), '[A-F]', 'E'), '[0-9]', 'd')"
     access = by_mask(value, f"concat('....', substring({plain_mask(value)}, 5))", "access", key)
+    secret = in_stretches(value, plain_mask, "secret", key)
+    # The pseudonym of a number that is not valid is permuted again, until one is: still a permutation of the valid ones.
+    ssn = f"aggregate(sequence(1, {WALK}), {value}, (t, step) -> IF(step > 1 AND t RLIKE '{SSN}', t, {by_mask('t', plain_mask('t'), 'ssn', key)}))"
     return f"""CASE
         WHEN instr({value}, '@') > 0 THEN {email}
         WHEN {value} RLIKE '^A[KS]IA[A-Z0-9]{{16}}$' THEN {access}
         WHEN {value} RLIKE '^[A-Z]{{2}}[0-9]{{2}}[ A-Z0-9]+$' AND {mod97(rotated)} = 1 THEN {iban}
-        WHEN {value} RLIKE '^[0-9a-f]{{32,128}}$' THEN {hexadecimal}
-        WHEN {value} RLIKE '^[0-9A-F]{{32,128}}$' THEN {upper_hexadecimal}
-        WHEN {value} RLIKE '^[0-9a-fA-F]{{32,128}}$' THEN {by_mask(value, mixed_mask, 'hex', key)}
+        WHEN {value} RLIKE '^[0-9a-f]{{32,}}$' THEN {hexadecimal}
+        WHEN {value} RLIKE '^[0-9A-F]{{32,}}$' THEN {upper_hexadecimal}
+        WHEN {value} RLIKE '^[0-9a-fA-F]{{32,}}$' THEN {in_stretches(value, mixed_mask, 'hex', key)}
         WHEN {value} RLIKE '^(?:(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])[.]){{3}}(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])$' THEN {ip}
         WHEN {value} RLIKE '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$' AND try_to_timestamp({value}, 'yyyy-MM-dd') IS NOT NULL THEN {date_pseudonym(value, 'yyyy-MM-dd', key)}
         WHEN {value} RLIKE '^[0-9]{{2}}[.][0-9]{{2}}[.][0-9]{{4}}$' AND try_to_timestamp({value}, 'dd.MM.yyyy') IS NOT NULL THEN {date_pseudonym(value, 'dd.MM.yyyy', key)}
         WHEN {value} RLIKE '^[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}}$' AND try_to_timestamp({value}, 'MM/dd/yyyy') IS NOT NULL THEN {date_pseudonym(value, 'MM/dd/yyyy', key)}
         WHEN {value} RLIKE '^[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}$' THEN
-            IF({value} RLIKE '^(?!000|666|9)[0-9]{{3}}-(?!00)[0-9]{{2}}-(?!0000)[0-9]{{4}}$', {by_mask(value, plain_mask(value), 'ssn', key)}, {value})
-        WHEN {value} RLIKE '^[0-9][0-9 -]+$' AND length({digits}) >= 13 THEN IF(luhn_check({digits}), {card}, {value})
+            IF({value} RLIKE '{SSN}', {ssn}, {value})
+        WHEN {value} RLIKE '^[0-9][0-9 -]+$' AND length({digits}) >= 13 AND luhn_check({digits}) THEN {card}
+        WHEN {value} RLIKE '^[0-9]{{8,}}$' THEN {secret}
+        WHEN {value} LIKE 'eyJ%' AND instr({value}, '.') > 0 THEN {secret}
         WHEN {value} LIKE '+%' AND length({digits}) BETWEEN 8 AND 15 THEN {phone}
         WHEN {value} RLIKE '^[(]?[0-9]{{3}}[)]?[ .-][0-9]{{3}}[.-][0-9]{{4}}$' THEN {phone}
-        WHEN {value} RLIKE '^[A-Za-z0-9+/_-]{{8,128}}$' AND {value} RLIKE '[A-Za-z]' THEN {by_mask(value, plain_mask(value), 'secret', key)}
+        WHEN {value} RLIKE '^[A-Za-z0-9+/_-]{{8,}}$' AND {value} RLIKE '[A-Za-z]' THEN {secret}
         ELSE {value} END"""
 
 
@@ -218,8 +239,9 @@ def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
     code, or in North American form), payment card (validated by check digit
     and valid afterwards, also between other numbers), IBAN (likewise), social
     security numbers, IPv4 addresses, dates of 1800 to 2199 in three formats,
-    access keys, hexadecimal keys, and what a password, secret or token is set
-    to, in any case. Other text is untouched, as are look-alikes that fail validation. A
+    access keys, hexadecimal keys, signed tokens, and what a password, secret
+    or token is set to, in any case and of any length. Pseudonyms of validated
+    kinds are valid. Other text is untouched, as are look-alikes that fail validation. A
     null text stays null, an empty one empty. Repeated rows are treated alike.
     Only doc_id and text are read. The key is part of the query's plan: keep
     plans and event logs as safe as the key.
