@@ -9,6 +9,7 @@ import zlib
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from tokenizers import Tokenizer
@@ -69,7 +70,8 @@ def by_name(columns, rows):
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_equals_sql(spark, sf, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    for table in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf}/{table}.parquet'")
     cursor = con.execute(queries.ORACLES[name])
     df = queries.QUERIES[name](spark, sf)
     assert by_name(df.columns, df.collect()) == by_name([d[0] for d in cursor.description], cursor.fetchall())
@@ -253,7 +255,8 @@ def test_texts_encoded_together_equal_the_library(monkeypatch, cache, group):
         pieces = Pieces(f.read())
     found = [r[1] or "" for r in odd_rows()] + ["it's we'll 'tis a'b \u00a0x\ny don't\t \U0001fae9 new\U0001fae9er", "x\u00a0 \u00a0y \r\n z", "\x00 \xff \x7f"]
     wanted = [np.array(e.ids, "<u4").tobytes() for e in pieces.tokenizer.encode_batch(found, add_special_tokens=False)]
-    assert list(pieces.encode_all(found)) == wanted
+    together = [ids[a:b].tobytes() for ids, ends in pieces.encode_all(pa.array([*found, None])) for a, b in zip([0, *ends], ends)]
+    assert together == [*wanted, b""]
 
 
 def test_elias_fano_round_trip():
@@ -510,3 +513,67 @@ def test_pipeline_against_brute_force(spark, sf):
         want = lib.encode(masked[doc_id][1], add_special_tokens=False).ids
         assert (n, np.frombuffer(ids, "<u4").tolist(), decoded) == (len(want), want, lib.decode(want, skip_special_tokens=False))
     assert sorted(r[0] for r in stages[4]) == sorted(r[0] for r in stages[3])
+
+
+def test_pipeline_on_odd_rows(spark, odd, nothing, sf):
+    """Null, repeated, empty and very long rows, equal doc_ids and clashing columns through every stage."""
+    rng = random.Random(12)
+    words = "the of and a to in is it was for on are with as his they be at".split()
+    prose = [" ".join(rng.choice(words) + rng.choice(["", "ing", "er"]) for _ in range(90)) for _ in range(6)]
+    more = [(7, prose[0]), (7, prose[1]), (7, prose[1]), (None, prose[2]), (None, prose[2]), (None, prose[3]), (3, prose[4]), (900, prose[4] + " end")]
+    docs = odd.unionByName(spark.createDataFrame([(d, t, "en", "s1", 0, 1, "p", 1, 1, 1) for d, t in more], DOCS))
+    near = corpus_pipeline.near_duplicates(spark, docs, sf)
+    assert near.columns == corpus_pipeline.COLUMNS
+    found = [(r.doc_id, r.text) for r in near.collect()]
+    assert [sum(f == (d, t) for f in found) for d, t in [(7, prose[0]), (7, prose[1]), (None, prose[2]), (None, prose[3])]] == [1, 1, 1, 1]
+    assert (3, prose[4]) in found and (900, prose[4] + " end") not in found
+    for rows in (docs, nothing):
+        for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            rows = spark.createDataFrame(stage(spark, rows, sf).collect(), stage(spark, rows, sf).schema)
+            assert i == 4 or rows.columns == corpus_pipeline.COLUMNS
+    kept = {(r.doc_id, r.text) for r in corpus_pipeline.quality(spark, docs, sf).collect()}
+    assert kept >= {(7, prose[0]), (7, prose[1]), (None, prose[2])} and not any(t is None or not t.strip() for _, t in kept)
+
+
+@pytest.mark.parametrize("size", [80, 199, 200, 201, 900])
+def test_junk_is_rejected_whatever_the_size_of_its_source(spark, size):
+    rng = random.Random(size)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8)))
+    good = lambda: " ".join(word() for _ in range(60))
+    junk = [" ".join(word() + " #$%" for _ in range(60)) for _ in range(40)] + [" ".join(rng.choice("abcdefghij") for _ in range(60)) for _ in range(40)]
+    rows = [(i, good(), "en", f"s{i % 7}") for i in range(2000)]
+    rows += [(5000 + i, t, "en", "odd") for i, t in enumerate(junk)] + [(6000 + i, good(), "en", "odd") for i in range(size - 80)]
+    kept = {r.doc_id for r in quality.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).where("kept").collect()}
+    assert kept == {r[0] for r in rows if not 5000 <= r[0] < 6000}
+
+
+def test_secrets_of_any_length_and_form(spark):
+    rng = random.Random(6)
+    made = lambda alphabet, n: "".join(rng.choice(alphabet) for _ in range(n))
+    letters, hexed = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "0123456789abcdef"
+    cases = [
+        ("password = ", made(letters, 200), ""), ("token: ", made(letters, 5000), ""), ("pwd=", "1234567890", " x"), ("secret=", "1234567812345678", ""),
+        ('{"password": "', "Sup3rSecretValue", '"}'), ("key ", made(hexed, 300), " end"), ("key ", made(hexed, 300).upper(), ""),
+        ("key ", made("0123456789abcdefABCDEF", 129), ""), ("auth ", ".".join(made(letters, n) for n in (5, 40, 30)).replace("", "", 1), ""),
+    ]
+    cases[-1] = ("auth ", "eyJ" + made(letters, 30) + "." + made(letters, 200) + "." + made(letters, 43), "")
+    df = spark.createDataFrame([(i, a + v + b) for i, (a, v, b) in enumerate(cases)] * 2, "doc_id long, text string")
+    by_id = {}
+    for r in pii.pseudonymise(df, "k").collect():
+        by_id.setdefault(r.doc_id, set()).add((r.text, r.n_replaced))
+    for i, (before, value, after) in enumerate(cases):
+        ((text, n),) = by_id[i]
+        new = text[len(before):len(text) - len(after)]
+        assert n == 1 and text == before + new + after and new != value and len(new) == len(value)
+        assert re.sub("[a-z]", "a", re.sub("[A-Z]", "A", re.sub("[0-9]", "0", new))) == re.sub("[a-z]", "a", re.sub("[A-Z]", "A", re.sub("[0-9]", "0", value))) or re.fullmatch("[0-9a-fA-F]+", new)
+        changed = sum(x != y for x, y in zip(new, value))
+        assert changed > 0.6 * len(value) and all(new[k:k + 20] != value[k:k + 20] for k in range(0, len(value) - 20, 20))
+
+
+def test_pseudonyms_of_security_numbers_are_valid_and_different(spark):
+    rng = random.Random(2)
+    valid = re.compile(r"(?!000|666|9)\d{3}-(?!00)\d\d-(?!0000)\d{4}")
+    numbers = sorted({n for n in (f"{rng.randint(0, 999):03}-{rng.randint(0, 99):02}-{rng.randint(0, 9999):04}" for _ in range(3000)) if valid.fullmatch(n)})
+    found = {r.doc_id: r.text for r in pii.pseudonymise(spark.createDataFrame(list(enumerate(numbers)), "doc_id long, text string"), "k").collect()}
+    assert all(valid.fullmatch(t) for t in found.values()) and len(set(found.values())) == len(numbers)
+    assert sum(found[i] != n for i, n in enumerate(numbers)) > 0.99 * len(numbers)
