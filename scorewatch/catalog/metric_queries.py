@@ -8,6 +8,7 @@ from ..functions import fixed
 from ..functions.buckets import unit_edges
 from ..functions.decisions import decide
 from ..operators import metrics
+from ..operators.isotonic import apply_steps, isotonic_steps
 from . import views
 from .registry import query, r6, rounded
 from .views import BIN_CTE, LOG_CTE
@@ -86,14 +87,28 @@ def calibration_gap(spark, sf):
     return rounded(metrics.calibration_gap(views.scored_labels(spark, sf), "p", "y"))
 
 
+# The increasing fit as the greatest lower mean over all intervals round a score.
+FIT_CTE = """
+pts AS (SELECT p AS s, CAST(sum(y) AS DOUBLE) AS sy, CAST(count(*) AS DOUBLE) AS w FROM bin GROUP BY p),
+o AS (SELECT *, row_number() OVER (ORDER BY s) AS i, sum(sy) OVER (ORDER BY s) AS cs, sum(w) OVER (ORDER BY s) AS cw FROM pts),
+iv AS (SELECT a.i AS a, b.i AS b, (b.cs - a.cs + a.sy) / (b.cw - a.cw + a.w) AS m FROM o a JOIN o b ON b.i >= a.i),
+low AS (SELECT a, b AS i, min(m) OVER (PARTITION BY a ORDER BY b DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS v FROM iv),
+fit AS (SELECT s, g FROM (SELECT i, max(v) AS g FROM low GROUP BY i) JOIN o USING (i)),
+cal AS (SELECT p, y, g FROM bin JOIN fit ON s = p)
+"""
+
+
 @query(
     "calibration_report",
-    f"""WITH {BIN_CTE} SELECT 'isotonic_regression' AS method, count(*) AS calibration_size,
-round(avg((p - y) ** 2), 8) AS brier_score_before, round(avg((p2 - y) ** 2), 8) AS brier_score_after,
-(SELECT round(gap, 8) FROM {gap_sql('bin', 'p2', 'y')}) AS calibration_gap_after FROM bin""",
+    f"""WITH {BIN_CTE}, {FIT_CTE} SELECT 'isotonic_regression' AS method, count(*) AS calibration_size,
+round(avg((p - y) ** 2), 8) AS brier_score_before, round(avg((g - y) ** 2), 8) AS brier_score_after,
+(SELECT round(gap, 8) FROM {gap_sql('cal', 'g', 'y')}) AS calibration_gap_after FROM cal""",
 )
 def calibration_report(spark, sf):
-    return rounded(metrics.calibration_report(views.scored_labels(spark, sf), "p", "p2", "y"), 8)
+    """The report of an isotonic fit, on the rows it was fitted on."""
+    scored = views.scored_labels(spark, sf)
+    fitted = apply_steps(scored, "p", isotonic_steps(scored, "p", "y"), "calibrated")
+    return rounded(metrics.calibration_report(fitted, "p", "calibrated", "y"), 8)
 
 
 def _side(score: str, name: str) -> str:

@@ -11,6 +11,7 @@ from ..functions.decisions import decide
 from ..operators import model as models, splits
 from ..operators.contract import Contract, Field
 from ..operators.features import Scale
+from ..operators.isotonic import apply_steps, isotonic_steps
 from ..plans import noise, training
 from ..session import materialise
 from . import views
@@ -132,28 +133,24 @@ def fitted_score(spark, sf):
 
 # Greatest lower, least upper mean over all intervals round a score: the increasing fit, written out.
 ISOTONIC_SQL = """
-WITH l AS (SELECT (l_quantity + 100.0::DOUBLE * l_discount) / 61.0::DOUBLE AS s, CASE WHEN l_extendedprice > 30000 THEN 1 ELSE 0 END AS y FROM lineitem),
+WITH l AS (SELECT floor(l_extendedprice / 10.0::DOUBLE) AS s, CASE WHEN l_quantity > 25 THEN 1 ELSE 0 END AS y FROM lineitem),
 p AS (SELECT s, CAST(sum(y) AS DOUBLE) AS sy, CAST(count(*) AS DOUBLE) AS w FROM l GROUP BY s),
 o AS (SELECT *, row_number() OVER (ORDER BY s) AS i, sum(sy) OVER (ORDER BY s) AS cs, sum(w) OVER (ORDER BY s) AS cw FROM p),
 iv AS (SELECT a.i AS a, b.i AS b, (b.cs - a.cs + a.sy) / (b.cw - a.cw + a.w) AS m FROM o a JOIN o b ON b.i >= a.i),
 lower AS (SELECT a, b AS i, min(m) OVER (PARTITION BY a ORDER BY b DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS v FROM iv),
 fit AS (SELECT i, max(v) AS g FROM lower GROUP BY i)
-SELECT round(s, 9) AS score, CAST(w AS BIGINT) AS n_rows, round(g, 6) AS calibrated FROM fit JOIN o USING (i)
+SELECT s AS score, CAST(w AS BIGINT) AS n_rows, round(g, 6) AS calibrated FROM fit JOIN o USING (i)
 """
 
 
 @query("isotonic_scores", ISOTONIC_SQL)
 def isotonic_scores(spark, sf):
-    """Calibrated value of every score of the order lines, fitted on all of them."""
+    """Calibrated value of every price band of the order lines, fitted on all of them; nothing goes through the driver."""
     lines = views.table(spark, sf, "lineitem").select(
-        ((F.col("l_quantity") + 100.0 * F.col("l_discount")) / 61.0).alias("s"),
-        (F.col("l_extendedprice") > 30000).cast("int").alias("y"),
-    )
-    fitted = models.fit_calibrator(lines, "s", "y")
-    per_score = lines.groupBy("s").agg(F.count(F.lit(1)).alias("n_rows"))
-    return fitted.transform(per_score).select(
-        F.round("s", 9).alias("score"), "n_rows", F.round("calibrated", 6).alias("calibrated")
+        F.floor(F.col("l_extendedprice") / 10.0).cast("double").alias("score"), (F.col("l_quantity") > 25).cast("int").alias("y"),
     )
+    per_score = lines.groupBy("score").agg(F.count(F.lit(1)).alias("n_rows"))
+    return rounded(apply_steps(per_score, "score", isotonic_steps(lines, "score", "y"), "calibrated"))
 
 
 @query("noise_robustness")

@@ -19,10 +19,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.storagelevel import StorageLevel
 
 from ..functions import fixed
+from .isotonic import isotonic_steps
 from .features import Scale, category_counts, fit_scales, impute, medians, one_hot_columns
 
 BASE_SCORE = "prob_base"
 SCORE = "prob_bad"
+#: Steps that a calibration stage may hold.
+MOST_STEPS = 1 << 17
 
 
 @dataclass(frozen=True)
@@ -193,14 +196,21 @@ def fit_model(
     return PipelineModel(stages=[SQLTransformer(statement=score_statement(encoding, beta, bias, SCORE))])
 
 
-def fit_calibrator(scored: DataFrame, score: str, label: str) -> IsotonicRegressionModel:
-    """Increasing step function from score to observed rate, on scores collapsed to one row per value."""
-    points = scored.where(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(score).agg(
-        F.avg(F.col(label).cast("double")).alias("rate"), F.count(F.lit(1)).cast("double").alias("weight")
-    )
+def fit_calibrator(scored: DataFrame, score: str, label: str, most_steps: int = MOST_STEPS) -> IsotonicRegressionModel:
+    """Increasing step function from score to observed rate, as a stage that scores tables and streams.
+
+    The fit is made on executors; the stage holds its steps, two numbers each
+    for both ends. More than ``most_steps`` are an error: ``isotonic_steps``
+    and ``apply_steps`` take any number, for tables.
+    """
+    steps = isotonic_steps(scored, score, label)
+    n = steps.count()
+    if n > most_steps:
+        raise ValueError(f"the fit has {n} steps; a stage holds at most {most_steps}")
+    ends = steps.select(F.explode(F.array("lo", "hi")).alias(score), F.col("value").alias("rate"), "weight")
     return IsotonicRegression(
         featuresCol=score, labelCol="rate", weightCol="weight", predictionCol="calibrated", isotonic=True
-    ).fit(points)
+    ).fit(ends)
 
 
 def calibrated(model: PipelineModel, calibrator: IsotonicRegressionModel) -> PipelineModel:

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from scorewatch.operators import features, model as M
+from scorewatch.operators import features, isotonic, model as M
 from scorewatch.operators.contract import Contract, Field
 from scorewatch.plans import noise, training
 from scorewatch.sources.models import load_active_model, load_model, save_model
@@ -116,6 +116,54 @@ def test_isotonic_equals_pooling(spark):
     assert outside[0]["calibrated"] == pytest.approx(want[min(want)]) and outside[1]["calibrated"] == pytest.approx(want[max(want)])
 
 
+def pools(x, y):
+    sums = {}
+    for a, b in zip(x, y):
+        s, w = sums.get(a, (0, 0))
+        sums[a] = (s + b, w + 1)
+    lows = sorted(sums)
+    return isotonic.pool(lows, lows, [sums[a][0] for a in lows], [sums[a][1] for a in lows])
+
+
+SHAPES = {
+    "rising": lambda rng, x: rng.random(len(x)) < x,
+    "falling": lambda rng, x: rng.random(len(x)) < 1 - x,
+    "noise": lambda rng, x: rng.random(len(x)) < 0.5,
+    "wave": lambda rng, x: rng.random(len(x)) < 0.5 + 0.4 * np.sin(20 * x) + 0.1 * x,
+    "exact": lambda rng, x: x > 0.5,
+    "one hot score": lambda rng, x: (rng.random(len(x)) < x) & (x > 0.2),
+}
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+def test_steps_equal_pooling_whatever_the_cells(spark, shape):
+    rng = np.random.default_rng(5)
+    x = np.round(rng.random(4000), 4)
+    if shape == "one hot score":
+        x[rng.random(4000) < 0.4] = 0.7
+    y = SHAPES[shape](rng, x).astype(int)
+    odd_rows = [(None, 1, 1), (0.5, None, 2), (float("nan"), 1, 3)]
+    df = spark.createDataFrame([(float(a), int(b), 0) for a, b in zip(x, y)] + odd_rows, "p double, y int, lo int").repartition(5)
+    lo, hi, s, w = pools(x.tolist(), y.tolist())
+    steps = isotonic.isotonic_steps(df, "p", "y", rows_per_cell=97)
+    got = sorted((r["lo"], r["hi"], round(r["value"], 9), r["weight"]) for r in steps.collect())
+    assert got == [(a, b, round(t / n, 9), n) for a, b, t, n in zip(lo, hi, s, w)]
+    asked = sorted({*x.tolist(), -1.0, 2.0, *rng.random(300).tolist()})
+    table = spark.createDataFrame([(a, 1) for a in asked] * 2 + [(None, 1)], "p double, x int")
+    found = isotonic.apply_steps(table, "p", steps, "value", rows_per_cell=61).collect()
+    want = dict(zip(asked, np.interp(asked, [v for pair in zip(lo, hi) for v in pair], [t / n for t, n in zip(s, w) for _ in range(2)])))
+    assert len(found) == 2 * len(asked) + 1 and all(r["value"] is None if r["p"] is None else abs(r["value"] - want[r["p"]]) < 1e-9 for r in found)
+
+
+def test_steps_of_few_rows(spark):
+    df = spark.createDataFrame([], "p double, y int")
+    assert isotonic.isotonic_steps(df, "p", "y").count() == 0
+    one = spark.createDataFrame([(0.3, 1)], "p double, y int")
+    assert [tuple(r) for r in isotonic.isotonic_steps(one, "p", "y").collect()] == [(0.3, 0.3, 1.0, 1.0)]
+    with pytest.raises(ValueError, match="2 steps"):
+        M.fit_calibrator(spark.createDataFrame([(0.3, 0), (0.4, 1)], "p double, y int"), "p", "y", most_steps=1)
+
+
 @pytest.fixture(scope="module")
 def run(rows):
     return training.train(rows, CONTRACT, "event_time")
