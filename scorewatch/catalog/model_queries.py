@@ -12,10 +12,11 @@ from ..operators import model as models, splits
 from ..operators.contract import Contract, Field
 from ..operators.features import Scale
 from ..operators.isotonic import apply_steps, isotonic_steps
+from ..operators.table_model import fit_table_model
 from ..plans import noise, training
 from ..session import materialise
 from . import views
-from .registry import query, rounded
+from .registry import query, r6, rounded
 from .views import APP_CTES, DECISION_SQL
 
 SCORED = Contract(
@@ -131,6 +132,31 @@ def fitted_score(spark, sf):
     return scored.groupBy("band").agg(F.count(F.lit(1)).alias("n_rows"), F.round(F.max(models.SCORE), 6).alias("prediction"))
 
 
+# One category of many values: the curvature is a diagonal with the intercept's row and column, so a Newton step is one pass.
+CATEGORY_SQL = f"""
+WITH RECURSIVE li AS (SELECT CAST(l_partkey AS VARCHAR) AS part, l_returnflag = 'R' AS y FROM lineitem),
+n AS (SELECT CAST(count(*) AS DOUBLE) AS t, CAST(count(*) FILTER (WHERE y) AS DOUBLE) AS p FROM li),
+cat AS (SELECT part, count(*) AS n_rows, count(*) FILTER (WHERE y) * t / (2 * p) AS pos, count(*) FILTER (WHERE NOT y) * t / (2 * (t - p)) AS neg FROM li, n GROUP BY part, t, p),
+step(k, part, a, b) AS (
+  SELECT 0, part, 0.0::DOUBLE, 0.0::DOUBLE FROM cat
+  UNION ALL
+  SELECT k + 1, part, a - (f + e * db) / d, b + db
+  FROM (SELECT *, -(fb - sum(e * f / d) OVER ()) / (db0 - sum(e * e / d) OVER ()) AS db
+        FROM (SELECT k, part, a, b, a + c * ((pos + neg) * s - pos) AS f, 1 + c * (pos + neg) * s * (1 - s) AS d, c * (pos + neg) * s * (1 - s) AS e,
+                     b + sum(c * ((pos + neg) * s - pos)) OVER () AS fb, 1 + sum(c * (pos + neg) * s * (1 - s)) OVER () AS db0
+              FROM (SELECT step.*, pos, neg, {fixed.INVERSE_REGULARISATION}::DOUBLE AS c, 1 / (1 + exp(-(a + b))) AS s FROM step JOIN cat USING (part) WHERE k < 20))))
+SELECT part, n_rows, round(1 / (1 + exp(-(a + b))), 4) AS prediction FROM step JOIN cat USING (part) WHERE k = 20
+"""
+
+
+@query("category_scores", CATEGORY_SQL)
+def category_scores(spark, sf):
+    """A balanced model with a weight for each part, fitted and scored without a column or literal per part."""
+    lines = views.table(spark, sf, "lineitem").select(F.col("l_partkey").cast("string").alias("part"), (F.col("l_returnflag") == "R").cast("int").alias("label"))
+    scored = fit_table_model(materialise(lines, "parts"), ["part"], [], "label").score(lines)
+    return scored.groupBy("part").agg(F.count(F.lit(1)).alias("n_rows"), r6(F.max(models.SCORE), 4).alias("prediction"))
+
+
 # Greatest lower, least upper mean over all intervals round a score: the increasing fit, written out.
 ISOTONIC_SQL = """
 WITH l AS (SELECT floor(l_extendedprice / 10.0::DOUBLE) AS s, CASE WHEN l_quantity > 25 THEN 1 ELSE 0 END AS y FROM lineitem),

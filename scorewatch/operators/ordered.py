@@ -21,6 +21,8 @@ import numpy as np
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import local_table, materialise
+
 ROWS_PER_CELL = 1_000_000
 MAX_CELLS = 4096
 SKETCH_SIZE = 1024
@@ -123,6 +125,27 @@ def cells_before(by: Sequence[str]):
     return Window.partitionBy(*by).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
 
 
+def numbered(df: DataFrame, order: Sequence[str], out: str) -> tuple[DataFrame, int]:
+    """Add the place of each row from 0 in the order given, which must be total; and the number of rows.
+
+    Rows are sorted in ranges and written; a range's rows are numbered on their
+    own, from where the ranges before it end. The driver sees one number per range.
+    """
+    parts = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ranges = materialise(df.repartitionByRange(parts, *order).withColumn("__part", F.spark_partition_id()), "ranges")
+    sizes = sorted(tuple(r) for r in ranges.groupBy("__part").count().collect())
+    starts, total = [], 0
+    for part, n in sizes:
+        starts.append((part, total))
+        total += n
+    if not starts:
+        return ranges.drop("__part").withColumn(out, F.lit(None).cast("bigint")), 0
+    before = local_table(df.sparkSession, starts, "__part int, __start bigint")
+    place = F.row_number().over(Window.partitionBy("__part").orderBy(*order)) - 1
+    joined = ranges.withColumn("__place", place).join(F.broadcast(before), "__part")
+    return joined.withColumn(out, (F.col("__place") + F.col("__start")).cast("bigint")).drop("__part", "__place", "__start"), total
+
+
 def side_by_side(*rows: DataFrame) -> DataFrame:
     """One row from several one-row tables with different columns; no join."""
     stacked = rows[0]

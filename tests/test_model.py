@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from scorewatch.operators import features, isotonic, model as M
+from scorewatch.operators import features, isotonic, model as M, table_model
 from scorewatch.operators.contract import Contract, Field
 from scorewatch.plans import noise, training
 from scorewatch.sources.models import load_active_model, load_model, save_model
@@ -81,6 +81,59 @@ def test_scores_equal_the_optimum(rows, intercept):
     assert max(abs(got[d[0]] - w) for d, w in zip(data, want)) < 1e-6
 
 
+def test_table_model_equals_the_optimum(spark, rows, tmp_path, monkeypatch):
+    """Sparse rows, stripes and groups of the gradient change nothing; saved and read again it scores the same."""
+    data = raw()
+    x, y = design(data)
+    labelled = rows.withColumn("label", (F.col("risk") == 2).cast("int")).withColumn("weight", F.lit("own")).withColumn("number", F.lit(1))
+    want = optimum(x, y, 0.01, True)
+    for stripe, most in ((1 << 16, 1 << 18), (2, 1)):
+        monkeypatch.setattr(table_model, "STRIPE", stripe)
+        monkeypatch.setattr(table_model, "BROADCAST_ROWS", most)
+        fitted = table_model.fit_table_model(labelled, CONTRACT.categorical, CONTRACT.numeric, "label")
+        scored = fitted.score(labelled)
+        assert scored.columns == [*labelled.columns, M.SCORE]
+        got = {r["id"]: r[M.SCORE] for r in scored.select("id", M.SCORE).collect()}
+        assert len(got) == len(data) and max(abs(got[d[0]] - w) for d, w in zip(data, want)) < 1e-7
+        fitted.save(str(tmp_path / f"m{stripe}"))
+        again = {r["id"]: r[M.SCORE] for r in table_model.TableModel.load(spark, str(tmp_path / f"m{stripe}")).score(labelled).collect()}
+        assert again == got
+    new = spark.createDataFrame([("zzz", 40, 1000), ("a", None, None), (None, 40, 1000)], "kind string, age bigint, amount bigint")
+    assert all(0 < r[M.SCORE] < 1 for r in fitted.score(new).collect())
+
+
+def test_plan_of_a_table_model_does_not_grow_with_categories(spark):
+    def plan(n):
+        df = spark.range(4 * n).select(F.concat(F.lit("c"), (F.col("id") % n).cast("string")).alias("kind"), (F.col("id") % 3 == 0).cast("int").alias("label"))
+        fitted = table_model.fit_table_model(df, ["kind"], [], "label", max_iterations=500)
+        assert fitted.weights.count() == n
+        return len(fitted.score(df)._jdf.queryExecution().optimizedPlan().toString())
+
+    few, many = plan(10), plan(20_000)
+    assert many < 1.2 * few
+
+
+def test_table_model_scores_a_stream(spark, tmp_path):
+    from scorewatch.streaming import jobs
+
+    df = spark.createDataFrame([(i, "xyz"[i % 3], float(i % 7), int(i % 5 == 0 or i % 3 == 2)) for i in range(300)], "id long, kind string, n double, label int")
+    df.write.parquet(str(tmp_path / "in"))
+    fitted = table_model.fit_table_model(df, ["kind"], ["n"], "label")
+    out = jobs.drain(spark, lambda s: fitted.score(jobs.read_stream(s, str(tmp_path / "in"), "*.parquet", df.schema)).select("id", M.SCORE), "append", "table-model")
+    batch = fitted.score(df).select("id", M.SCORE)
+    assert out.exceptAll(batch).count() == 0 and out.count() == 300
+
+
+def test_rows_are_numbered_in_order(spark):
+    from scorewatch.operators.ordered import numbered
+
+    values = np.random.default_rng(1).permutation(500)
+    out, n = numbered(spark.createDataFrame([(int(v), str(v)) for v in values], "a long, b string").repartition(7), ["a"], "place")
+    assert n == 500 and all(r["place"] == r["a"] for r in out.collect())
+    none, n = numbered(spark.createDataFrame([], "a long"), ["a"], "place")
+    assert n == 0 and none.count() == 0 and none.columns == ["a", "place"]
+
+
 def test_unknown_category_scores_like_none_and_same_row_twice(spark, rows):
     labelled = rows.withColumn("label", (F.col("risk") == 2).cast("int"))
     fitted = M.fit_model(labelled, CONTRACT.categorical, CONTRACT.numeric, "label")
