@@ -8,7 +8,7 @@ from ..operators import contract as contracts
 from ..operators import drift, perturb
 from ..session import materialise
 from . import views
-from .contract_queries import APPLICATION
+from .contract_queries import APPLICATION, TOKENS
 from .psi_sql import psi_ctes
 from .registry import query, rounded
 from .views import APP_CTES, APP_SIDES, LINES_CTE, NUMERIC
@@ -124,16 +124,16 @@ def shift_numeric_psi(spark, sf):
     return rounded(before.join(after, "feature"))
 
 
-@query(
-    "bad_category",
-    f"""WITH {APP_CTES}, {LINES_CTE}, tok AS (SELECT app_id, regexp_split_to_array(value, ' +') AS t FROM lines),
-bad AS (SELECT app_id, list_transform(t, lambda x, i: CASE WHEN i = 2 AND app_id < 5000 THEN 'A999' ELSE x END) AS t FROM tok)
-SELECT app_id AS row_id, 1 AS ordinal, 'priority' AS field, 'membership' AS rule, t[2] AS value FROM bad
-WHERE len(t) = 6 AND t[2] NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '5-LOW')""",
+DAMAGED = TOKENS.replace(
+    "tok AS (SELECT app_id, regexp_split_to_array(value, ' +') AS t FROM lines)",
+    """split AS (SELECT app_id, regexp_split_to_array(value, ' +') AS t FROM lines),
+tok AS (SELECT app_id, list_transform(t, lambda x, i: CASE WHEN i = 2 AND app_id < 5000 THEN 'A999' ELSE x END) AS t FROM split)""",
 )
+
+
+@query("bad_category", f"WITH {APP_CTES}, {DAMAGED} SELECT * FROM viol")
 def bad_category(spark, sf):
-    """Unknown categories in the first rows by key, and the membership violations they cause."""
+    """Unknown categories in the first rows by key, and all violations of the damaged rows."""
     lines = views.app_lines(spark, sf)
     bad = lines.select("app_id", perturb.bad_category_token(F.col("value"), F.col("app_id"), 5000).alias("value"))
-    found = contracts.contract_violations(bad, APPLICATION, "app_id")
-    return found.where("field = 'priority'")
+    return contracts.contract_violations(bad, APPLICATION, "app_id")

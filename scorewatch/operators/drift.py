@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import fixed
 from ..functions.buckets import right_closed_bucket
-from ..session import local_table
+from ..session import local_table, materialise
 from .ordered import quantile_edges, running_in_cell, side_by_side, sketch_columns, with_cell
 
 MISSING, OUTSIDE = -1, 0
@@ -56,26 +56,52 @@ def frequency_table(
     Numeric features have ``category`` null; categorical ones bucket 1.
     Missing values are bucket -1, values outside the edges bucket 0.
     """
+    cells = [F.struct(*c) for c in _buckets(features, edges, out_of_range)]
+    keys = [F.col(b) if isinstance(b, str) else b for b in by]
+    names = [b if isinstance(b, str) else f"by{i}" for i, b in enumerate(by)]
+    long = df.select(*[k.alias(n) for k, n in zip(keys, names)], F.inline(F.array(*cells)))
+    return long.groupBy(*names, "feature", "bucket", "category").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _buckets(features: Features, edges: dict[str, list[float]], out_of_range: str) -> list[list[Column]]:
+    """feature, bucket and category of each feature of a row, numeric ones first."""
     nothing = F.lit(None).cast("string")
-    cells = [
-        F.struct(
-            F.lit(name).alias("feature"),
-            right_closed_bucket(name, edges[name], out_of_range).alias("bucket"),
-            nothing.alias("category"),
-        )
+    return [
+        [F.lit(name).alias("feature"), right_closed_bucket(name, edges[name], out_of_range).alias("bucket"), nothing.alias("category")]
         for name in features.numeric
     ] + [
-        F.struct(
-            F.lit(name).alias("feature"),
-            F.when(F.col(name).isNull(), MISSING).otherwise(1).alias("bucket"),
-            F.col(name).cast("string").alias("category"),
-        )
+        [F.lit(name).alias("feature"), F.when(F.col(name).isNull(), MISSING).otherwise(1).alias("bucket"), F.col(name).cast("string").alias("category")]
         for name in features.categorical
     ]
-    keys = [F.col(b) if isinstance(b, str) else b for b in by]
-    names = [b if isinstance(b, str) else f"by{i}" for i, b in enumerate(by)]
-    long = df.select(*[k.alias(n) for k, n in zip(keys, names)], F.inline(F.array(*cells)))
-    return long.groupBy(*names, "feature", "bucket", "category").agg(F.count(F.lit(1)).alias("n"))
+
+
+def drift_cube(
+    reference: DataFrame, current: DataFrame, features: Features, time_column: str, edges: dict[str, list[float]], cuts: dict[str, Sequence[float]],
+) -> DataFrame:
+    """All counts that a drift run needs, from one scan and one shuffle: rows r of the reference and c of the current side.
+
+    Two groupings: (feature, cell) with the value cells of numeric features,
+    and (day, feature, bucket, category) with the day of the current side.
+    """
+    def side(df: DataFrame, r: int, c: int, day: Column) -> DataFrame:
+        wanted = [x for x in features.names if x != time_column]
+        return df.select(*wanted, time_column, day.alias("day"), F.lit(r).alias("r"), F.lit(c).alias("c"))
+
+    both = side(reference, 1, 0, F.lit(None).cast("date")).unionByName(side(current, 0, 1, day_of(time_column)))
+    numbers = {}
+    for i, x in enumerate(features.numeric):
+        value = F.col(x).try_cast("double")
+        both = both.withColumn(f"__v{i}", F.when(~F.isnan(value), value))
+        both = with_cell(both, f"__v{i}", cuts.get(x, ()), out=f"__cell{i}")
+        numbers[x] = F.when(F.col(f"__v{i}").isNotNull(), F.col(f"__cell{i}")).cast("int")
+    none = F.lit(None).cast("int")
+    named = zip((*features.numeric, *features.categorical), _buckets(features, edges, "drop"))
+    long = both.select("day", F.inline(F.array(*(F.struct(*b, numbers.get(x, none).alias("cell")) for x, b in named))), "r", "c")
+    sets = [["feature", "cell"], ["day", "feature", "bucket", "category"]]
+    columns = ["day", "feature", "bucket", "category", "cell"]
+    return long.groupingSets([[F.col(x) for x in s] for s in sets], *columns).agg(
+        F.sum("r").alias("r"), F.sum("c").alias("c"), (F.grouping("cell") == 0).alias("by_cell"),
+    )
 
 
 def _gain(current: Column, reference: Column) -> Column:
@@ -174,6 +200,11 @@ def psi_trend(
     edges = edges if edges is not None else numeric_edges(reference, features.numeric, bins)
     ref = frequency_table(reference, features, edges)
     cur = frequency_table(_by_day(current, time_column), features, edges, ["event_day"])
+    return trend_from_frequencies(ref, cur, features, min_rows)
+
+
+def trend_from_frequencies(ref: DataFrame, cur: DataFrame, features: Features, min_rows: int = 0) -> DataFrame:
+    """The same from frequency tables, the current one by event_day."""
     daily = psi_from_frequencies(ref, cur, ["event_day"])
     # Every row of a day appears once under each feature, missing values included.
     rows = (
@@ -195,7 +226,8 @@ def trend_head(trend: DataFrame, rows: int = fixed.TREND_HEAD) -> DataFrame:
 
 
 def ks_statistic(
-    reference: DataFrame, current: DataFrame, columns: Sequence[str], cuts: dict[str, Sequence[float]] | None = None
+    reference: DataFrame, current: DataFrame, columns: Sequence[str], cuts: dict[str, Sequence[float]] | None = None,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov statistic per column; 0 when a side is empty.
 
@@ -212,7 +244,9 @@ def ks_statistic(
         sketched = sketch_columns(both, columns)
         cuts = {x: sketched[x].cuts for x in columns}
     rows = _in_cells(both, columns, cuts)
-    ends, open_cells = _bound_cells(rows, columns)
+    if sizes is None:
+        sizes = rows.groupBy("feature", "cell").agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
+    ends, open_cells = _bound_cells(sizes, columns)
     spark = reference.sparkSession
     known = local_table(spark, list(ends.items()), "feature string, ks double")
     if not open_cells:
@@ -253,10 +287,10 @@ def _in_cells(both: DataFrame, columns: Sequence[str], cuts: dict[str, Sequence[
     return both.select(F.inline(F.array(*cells)), "r", "c").where(F.col("value").isNotNull())
 
 
-def _bound_cells(rows: DataFrame, columns: Sequence[str]) -> tuple[dict[str, float], list[tuple]]:
+def _bound_cells(counts: DataFrame, columns: Sequence[str]) -> tuple[dict[str, float], list[tuple]]:
     """Largest difference at the cells' ends, and the cells whose inside may exceed it."""
     sizes: dict[str, list] = {x: [] for x in columns}
-    for row in rows.groupBy("feature", "cell").agg(F.sum("r").alias("r"), F.sum("c").alias("c")).collect():
+    for row in counts.select("feature", "cell", "r", "c").collect():
         sizes[row["feature"]].append((row["cell"], row["r"], row["c"]))
     ends, open_cells = {}, []
     for x in columns:
@@ -293,7 +327,11 @@ def drift_report(
             features.numeric, (*features.categorical, time_column), (time_column, *features.names)
         )
     stability = psi(reference, current, features, bins=bins, edges=edges)
-    distance = ks_statistic(reference, current, features.numeric) if features.numeric else None
+    return report_of(stability, ks_statistic(reference, current, features.numeric) if features.numeric else None, features)
+
+
+def report_of(stability: DataFrame, distance: DataFrame | None, features: Features) -> DataFrame:
+    """PSI and KS of each feature side by side, with the alert."""
     if distance is None:
         joined = stability.withColumn("ks", F.lit(None).cast("double"))
     else:
@@ -304,6 +342,29 @@ def drift_report(
     return joined.select("feature", "psi", "ks", alert.alias("alert"))
 
 
+def report_and_trend(
+    reference: DataFrame, current: DataFrame, features: Features, time_column: str, include_time: bool = True, bins: int = fixed.PSI_BINS,
+) -> tuple[DataFrame, DataFrame]:
+    """``drift_report`` and ``psi_trend`` from one written cube of counts; only cells that decide a KS distance are read again."""
+    timed = features
+    if include_time and time_column not in features.names:
+        timed = Features(features.numeric, (*features.categorical, time_column), (time_column, *features.names))
+    edges = numeric_edges(reference, features.numeric, bins)
+    numeric = list(features.numeric)
+    sketched = sketch_columns(_both_sides(reference, current, numeric), numeric) if numeric else {}
+    cuts = {x: sketched[x].cuts for x in numeric}
+    cube = materialise(drift_cube(reference, current, timed, time_column, edges, cuts), "cube")
+    buckets = cube.where("NOT by_cell").groupBy("day", "feature", "bucket", "category").agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
+    ref = buckets.where("r > 0").groupBy("feature", "bucket", "category").agg(F.sum("r").alias("n"))
+    cur = buckets.where("c > 0").select(F.col("day").alias("event_day"), "feature", "bucket", "category", F.col("c").alias("n"))
+    whole = cur.groupBy("feature", "bucket", "category").agg(F.sum("n").alias("n"))
+    distance = ks_statistic(reference, current, numeric, cuts, cube.where("by_cell AND cell IS NOT NULL")) if numeric else None
+    report = report_of(psi_from_frequencies(ref, whole), distance, timed)
+    own = F.col("feature").isin(list(features.names))
+    trend = trend_from_frequencies(ref.where(own), cur.where(own & F.col("event_day").isNotNull()), features)
+    return materialise(report, "drift-report"), materialise(trend, "drift-trend")
+
+
 def headline(report: DataFrame, prediction_psi: DataFrame | None = None, threshold: float = fixed.PSI_ALERT) -> DataFrame:
     """One row: headline PSI, any feature alert, and whether the run counts as a breach."""
     base = report.agg(

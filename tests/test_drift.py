@@ -182,3 +182,24 @@ def test_full_run(spark, sides):
     assert actions["2024-01-05"] == ("rolled_back", "approved/b")
     kinds = [r["kind"] for r in run.events.orderBy("seq").collect()]
     assert kinds[0] == "METRIC" and kinds[-2:] == ["BREACH", "ALERT"] and kinds.count("TEMPORAL_PSI") == 5
+
+
+@pytest.mark.parametrize("per_cell", [1_000_000, 40])
+def test_report_and_trend_from_one_cube(spark, monkeypatch, per_cell):
+    monkeypatch.setattr("scorewatch.operators.ordered.ROWS_PER_CELL", per_cell)
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(900):
+        x = None if i % 31 == 0 else float("nan") if i % 37 == 0 else float(rng.normal(0.2 if i > 500 else 0, 1))
+        rows.append((x, int(rng.integers(0, 6)), [None, "a", "b", "b"][int(rng.integers(0, 4))], "no date" if i % 53 == 0 else f"2024-01-{1 + i // 50:02}"))
+    df = spark.createDataFrame(rows, "x double, n int, kind string, at string")
+    ref, cur = df.where("at < '2024-01-09'"), df.where("NOT at < '2024-01-09'")
+    features = drift.Features(("x", "n"), ("kind",))
+    report, trend = drift.report_and_trend(ref, cur, features, "at")
+    wanted = drift.drift_report(ref, cur, features, "at"), drift.psi_trend(ref, cur, features, "at")
+    for got, want in zip((report, trend), wanted):
+        assert got.columns == want.columns
+        rounded = [sorted(repr([round(v, 9) if isinstance(v, float) else v for v in r]) for r in t.collect()) for t in (got, want)]
+        assert rounded[0] == rounded[1] and len(rounded[0]) >= 4
+    report, trend = drift.report_and_trend(ref, cur.where("false"), features, "at")
+    assert trend.count() == 0 and report.count() == drift.drift_report(ref, cur.where("false"), features, "at").count()
