@@ -9,9 +9,10 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
-from scorewatch.session import get_spark
+from scorewatch.session import clear_scratch, get_spark
 
 HEADLINE = (
     "psi_by_day", "psi_trend", "drift_report", "ks_two_sample", "roc_auc", "roc_auc_by_month", "calibration_gap",
@@ -27,9 +28,11 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     chosen = os.environ.get("BENCH_QUERIES")
     names = chosen.split(",") if chosen else HEADLINE
+    shared = tempfile.mkdtemp(prefix="bench-")
     spark = get_spark(
         "bench", f"local[{cpus}]",
         spark__sql__shuffle__partitions=cpus, spark__driver__memory="12g", spark__ui__showConsoleProgress="false",
+        spark__checkpoint__dir=f"file://{shared}",
     )
     spark.sparkContext.setLogLevel("ERROR")
     from scorewatch.catalog import QUERIES
@@ -47,6 +50,7 @@ def main() -> None:
         "metric": "headline_queries_total", "value": round(sum(seconds.values()), 3), "unit": "sec",
         "queries": seconds, "sf": float(scale) if scale.replace(".", "", 1).isdigit() else scale,
     }))
+    clear_scratch(spark)
     spark.stop()
 
 

@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, functions as F
 from ..operators import log_analytics
 from ..session import fresh_path
 from ..sources import logs
-from ..sources.text import read_scores
+from ..sources.text import read_lines, read_scores
 from . import views
 from .registry import query
-from .views import LOG_CTE
+from .views import APP_CTES, LINES_CTE, LOG_CTE
 
 LINE_LIMITS = (0, 100, 500)
 
@@ -56,7 +56,25 @@ def log_line_limit(spark, sf):
 
 @query("score_file", "SELECT round(value / (value + 50.0::DOUBLE), 9) AS score FROM events")
 def score_file(spark, sf):
-    """Scores written one to a line and read again."""
+    """Scores in one folder, written one to a line or as arrays over several lines, and read again."""
     path = fresh_path(spark, "scores")
-    views.events(spark, sf).select((F.col("value") / (F.col("value") + 50.0)).cast("string")).write.text(path)
+    rows = views.events(spark, sf).select("event_id", (F.col("value") / (F.col("value") + 50.0)).alias("score"))
+    rows.where("event_id % 2 = 0").select(F.col("score").cast("string")).write.text(f"{path}/lines")
+    arrays = rows.where("event_id % 2 = 1").groupBy(F.floor(F.col("event_id") / 1000).alias("part")).agg(F.to_json(F.collect_list("score")).alias("value"))
+    arrays.select("part", F.replace("value", F.lit(","), F.lit(",\n  "))).write.partitionBy("part").text(f"{path}/arrays")
     return read_scores(spark, path).select(F.round("score", 9).alias("score"))
+
+
+@query(
+    "token_file_scan",
+    f"""WITH {APP_CTES}, {LINES_CTE}
+SELECT status, row_number() OVER (PARTITION BY status ORDER BY app_id) AS line_no, value FROM lines JOIN app USING (app_id)""",
+)
+def token_file_scan(spark, sf):
+    """Rows of tokens written to one file for each status, and read as numbered lines."""
+    path = fresh_path(spark, "token-lines")
+    status = views.applications(spark, sf, lines=False, customer=False).select("app_id", "status")
+    lines = views.app_lines(spark, sf).join(status, "app_id")
+    lines.repartition("status").sortWithinPartitions("status", "app_id").select("status", "value").write.partitionBy("status").text(path)
+    found = read_lines(spark, path)
+    return found.select(F.regexp_extract("file", "status=([^/]*)", 1).alias("status"), "line_no", "value")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -32,9 +34,9 @@ def get_spark(app: str = "scorewatch", master: str | None = None, **conf: str) -
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see: ``spark.checkpoint.dir``, or the context's checkpoint folder.
 
-    Where neither is set and the session runs in local mode (tests) a temporary
-    folder is chosen and remembered in the session; a cluster without the
-    setting is an error.
+    Where neither is set and the session runs in local mode, a temporary
+    folder is chosen, remembered in the session and deleted when Python ends;
+    a cluster without the setting is an error.
     """
     base = (
         spark.conf.get("spark.checkpoint.dir", None)
@@ -46,6 +48,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     base = tempfile.mkdtemp(prefix="scorewatch-")
+    atexit.register(shutil.rmtree, base, True)
     spark.conf.set("scorewatch.shared.dir", base)
     return base
 

@@ -156,3 +156,26 @@ def test_score_files(spark, tmp_path):
         assert sorted(r[0] for r in read_scores(spark, str(tmp_path / name)).collect()) == [0.1, 0.5, 1.0]
     with pytest.raises(Exception):
         read_scores(spark, str(tmp_path / "bad.txt")).collect()
+
+
+def test_score_files_of_both_forms(spark, tmp_path):
+    (tmp_path / "deep").mkdir()
+    (tmp_path / "a.json").write_text("\n [0.5,\n 1e-3\n,-2.25\n]\n")
+    (tmp_path / "deep" / "b.txt").write_text("0.25\n\n  7 \n")
+    (tmp_path / "c.json").write_text("[ ]")
+    (tmp_path / "empty").write_text("")
+    (tmp_path / "_hidden").write_text("no")
+    many = [i / 8 for i in range(20_000)]
+    (tmp_path / "long.json").write_text("[" + ",".join(map(str, many)) + "]")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        found = read_scores(spark, str(tmp_path))
+        assert sorted(r[0] for r in found.collect()) == sorted([0.5, 1e-3, -2.25, 0.25, 7.0, *many])
+        assert found.rdd.getNumPartitions() > 20
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    for i, bad in enumerate(["[1, 2", "[1 2]", "[1,,2]", "[1, x]", "[1], [2]", "1\n[2]"]):
+        (tmp_path / f"bad{i}").mkdir()
+        (tmp_path / f"bad{i}" / "f").write_text(bad)
+        with pytest.raises(Exception):
+            read_scores(spark, str(tmp_path / f"bad{i}")).collect()
