@@ -78,6 +78,7 @@ def content_hash(spark, sf):
 @query(
     "log_analytics",
     f"""WITH {LOG_CTE} SELECT count(*) AS total_requests, count(DISTINCT input_hash) AS unique_inputs, 'v1' AS model_versions,
+(SELECT string_agg(decision || '=' || n, ',' ORDER BY decision) FROM (SELECT decision, count(*) AS n FROM log GROUP BY decision)) AS decisions,
 round(avg(prediction), 6) AS prediction_mean, round(stddev_samp(prediction), 6) AS prediction_std,
 round(min(prediction), 6) AS prediction_min, round(max(prediction), 6) AS prediction_max,
 round(quantile_cont(prediction, 0.5), 6) AS prediction_p50, round(quantile_cont(prediction, 0.95), 6) AS prediction_p95,
@@ -86,7 +87,9 @@ round(quantile_cont(latency_ms, 0.5), 6) AS latency_p50_ms, round(quantile_cont(
 round(quantile_cont(latency_ms, 0.99), 6) AS latency_p99_ms FROM log""",
 )
 def log_analytics_query(spark, sf):
-    return rounded(log_analytics.analyse_log(views.prediction_log(spark, sf)))
+    found = log_analytics.analyse_log(views.prediction_log(spark, sf))
+    listed = F.array_join(F.transform("decisions", lambda d: F.concat_ws("=", d["decision"], d["n"].cast("string"))), ",")
+    return rounded(found.withColumn("model_versions", F.array_join("model_versions", ",")).withColumn("decisions", listed))
 
 
 @query("decision_distribution", f"WITH {LOG_CTE} SELECT decision, count(*) AS requests FROM log GROUP BY decision")

@@ -46,13 +46,15 @@ def decision_distribution(logs: DataFrame, decision: str = "decision") -> DataFr
 
 
 def analyse_log(logs: DataFrame) -> DataFrame:
-    """One row of totals, distinct inputs, versions, score and latency statistics.
+    """One row of totals, distinct inputs, versions, decisions, score and latency statistics.
 
-    Quantiles are exact and found by narrowing, so no task holds all values.
+    ``model_versions`` is a sorted list, ``decisions`` a list of (decision, n),
+    both from one row per version and decision. Quantiles are exact and found
+    by narrowing, so no task holds all values.
     """
     points = {"prediction": (0.5, 0.95, 0.99), "latency_ms": (0.5, 0.95, 0.99)}
     quantiles = exact_quantiles(logs, points)
-    # Hashes are collapsed before they are counted; versions are few by nature.
+    # Hashes are collapsed before they are counted, versions and decisions before they are listed.
     base = logs.agg(
         F.count(F.lit(1)).alias("total_requests"),
         F.avg("prediction").alias("prediction_mean"),
@@ -60,15 +62,18 @@ def analyse_log(logs: DataFrame) -> DataFrame:
         F.min("prediction").alias("prediction_min"),
         F.max("prediction").alias("prediction_max"),
         F.avg("latency_ms").alias("latency_mean_ms"),
-        F.array_join(F.array_sort(F.collect_set("model_version")), ",").alias("model_versions"),
     )
+    each = logs.groupBy("model_version", "decision").agg(F.count(F.lit(1)).alias("n"))
+    versions = each.groupBy("model_version").agg(F.lit(1)).agg(F.array_sort(F.collect_list("model_version")).alias("model_versions"))
+    decisions = each.where(F.col("decision").isNotNull()).groupBy("decision").agg(F.sum("n").alias("n"))
+    decisions = decisions.agg(F.array_sort(F.collect_list(F.struct("decision", "n"))).alias("decisions"))
     inputs = logs.select("input_hash").distinct().agg(F.count("input_hash").alias("unique_inputs"))
     names = {"prediction": "prediction_p{:02d}", "latency_ms": "latency_p{:02d}_ms"}
     literals = [
         F.lit(value).cast("double").alias(names[c].format(round(p * 100)))
         for c, ps in points.items() for p, value in zip(ps, quantiles[c])
     ]
-    return side_by_side(base, inputs).select("*", *literals)
+    return side_by_side(base, inputs, versions, decisions).select("*", *literals)
 
 
 def outcome_counters(requests: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -29,31 +29,37 @@ def roc_auc(
     Rows collapse to one per score value, values are ranked within balanced
     cells, and (positives, negatives, area) of the cells add up in order.
     """
+    return ranked_sums(df, score, label, by, {}, cuts, out)
+
+
+def ranked_sums(
+    df: DataFrame, score: str, label: str, by: Sequence[str], sums: dict[str, Column], cuts: Sequence[float] | None = None, auc: str = "roc_auc",
+) -> DataFrame:
+    """AUC of each group beside ``sums``, all from one collapse of the rows to one per score value.
+
+    ``sums`` are expressions over ``score``, ``n`` (rows), ``positive`` and
+    ``negative`` (rows of each label) of a score value, added up over all of
+    them, null scores included.
+    """
     by = list(by)
-    known = df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
-    counts = known.groupBy(*by, score).agg(
-        F.sum(F.col(label).cast("bigint")).alias("pos"), F.sum(1 - F.col(label).cast("bigint")).alias("neg")
+    value = F.col(label).cast("bigint")
+    counts = df.groupBy(*by, F.col(score).alias("score")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(value == 1).alias("positive"), F.count_if(value != 1).alias("negative"),
     )
+    known = F.col("score").isNotNull()
+    kept = {"pos": F.when(known, F.col("positive")).otherwise(0), "neg": F.when(known, F.col("negative")).otherwise(0), **sums}
+    counts = counts.select(*by, "score", *(F.coalesce(v, F.lit(0)).cast("bigint").alias(k) for k, v in kept.items()))
     # Measured on the plain rows, which takes no shuffle; the collapsed table can only be smaller.
     if cuts is None:
         cuts = sketch_columns(df, [score])[score].cuts
-    celled = with_cell(counts, score, cuts)
-    below = F.coalesce(F.sum("neg").over(running_in_cell(by, [score], False)), F.lit(0))
-    parts = celled.select(*by, "cell", "pos", "neg", (F.col("pos") * (below + F.col("neg") / 2.0)).alias("area"))
-    cells = parts.groupBy(*by, "cell").agg(*[F.sum(c).alias(c) for c in ("pos", "neg", "area")])
+    celled = with_cell(counts, "score", cuts)
+    below = F.coalesce(F.sum("neg").over(running_in_cell(by, ["score"], False)), F.lit(0))
+    parts = celled.select(*by, "cell", *kept, (F.col("pos") * (below + F.col("neg") / 2.0)).alias("area"))
+    cells = parts.groupBy(*by, "cell").agg(*[F.sum(c).alias(c) for c in (*kept, "area")])
     earlier = F.coalesce(F.sum("neg").over(cells_before(by)), F.lit(0))
     total = cells.withColumn("area", F.col("area") + F.col("pos") * earlier.cast("double"))
     pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
-    return total.groupBy(*by).agg(F.when(pairs > 0, F.sum("area") / pairs).alias(out))
-
-
-def join_groups(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Left rows with the right's columns of the same group; null keys are a group like any other."""
-    named = right.withColumnsRenamed({c: f"__{c}" for c in by})
-    same = F.lit(True)
-    for c in by:
-        same = same & left[c].eqNullSafe(named[f"__{c}"])
-    return left.join(named, same, "left").drop(*[f"__{c}" for c in by])
+    return total.groupBy(*by).agg(F.when(pairs > 0, F.sum("area") / pairs).alias(auc), *(F.sum(k).alias(k) for k in sums))
 
 
 def evaluate_scores(
@@ -64,15 +70,13 @@ def evaluate_scores(
     threshold: float = fixed.DECISION_THRESHOLD,
 ) -> DataFrame:
     """AUC, approval rate and the threshold it was taken at."""
-    by = list(by)
-    auc = roc_auc(df, score, label, by)
-    rates = df.groupBy(*by).agg(
-        F.avg(approved(F.col(score), threshold).cast("double")).alias("approval_rate"),
+    known = F.col("score").isNotNull()
+    sums = {"scored": F.when(known, F.col("n")), "approved": F.when(approved(F.col("score"), threshold), F.col("n"))}
+    found = ranked_sums(df, score, label, by, sums)
+    return found.select(
+        *by, "roc_auc", F.when(F.col("scored") > 0, F.col("approved") / F.col("scored")).alias("approval_rate"),
         F.lit(float(threshold)).alias("decision_threshold"),
     )
-    if not by:
-        return side_by_side(auc, rates)
-    return join_groups(rates, auc, by)
 
 
 def summarise_batch(
@@ -139,21 +143,17 @@ def classification_metrics(df: DataFrame, scores: Sequence[str], label: str, by:
     long = df.select(*by, F.col(label).alias("label"), F.inline(F.array(*pairs)))
     keys = [*by, "model"]
     guess = F.col("score") > fixed.CLASSIFY_ABOVE
-    truth = F.col("label") == 1
-    counts = long.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(guess == truth).alias("right"),
-        F.count_if(guess & truth).alias("hits"),
-        F.count_if(guess).alias("guessed"),
-        F.count_if(truth).alias("actual"),
-    )
-    rates = counts.select(
+    sums = {
+        "rows": F.col("n"), "right": F.when(guess, F.col("positive")).when(~guess, F.col("negative")), "hits": F.when(guess, F.col("positive")),
+        "guessed": F.when(guess, F.col("n")), "actual": F.col("positive"),
+    }
+    return ranked_sums(long, "score", "label", keys, sums, auc="auc").select(
         *keys,
-        (F.col("right") / F.col("n")).alias("accuracy"),
+        (F.col("right") / F.col("rows")).alias("accuracy"),
         F.when(F.col("guessed") > 0, F.col("hits") / F.col("guessed")).otherwise(0.0).alias("precision"),
         F.when(F.col("actual") > 0, F.col("hits") / F.col("actual")).otherwise(0.0).alias("recall"),
+        "auc",
     )
-    return join_groups(rates, roc_auc(long, "score", "label", keys, out="auc"), keys)
 
 
 def compare_scores(df: DataFrame, clean: str, noisy: str, label: str) -> DataFrame:

@@ -38,7 +38,8 @@ def test_outcome_order(spark):
 def test_analysis_equals_pandas(log):
     df, pdf = log
     r = log_analytics.analyse_log(df).first()
-    assert r["total_requests"] == 200 and r["unique_inputs"] == 60 and r["model_versions"] == "v1,v2"
+    assert r["total_requests"] == 200 and r["unique_inputs"] == 60 and r["model_versions"] == ["v1", "v2"]
+    assert sum(n for _, n in r["decisions"]) == 200 and [d for d, _ in r["decisions"]] == sorted(d for d, _ in r["decisions"])
     for column, prefix in (("prediction", "prediction_{}"), ("latency_ms", "latency_{}_ms")):
         for q in (0.5, 0.95, 0.99):
             assert r[prefix.format(f"p{round(q * 100)}")] == pytest.approx(pdf[column].quantile(q), abs=1e-12)

@@ -95,3 +95,23 @@ def test_groups_of_null_keys_stay(spark):
     got = {r.g: r.roc_auc for r in metrics.evaluate_scores(df, "score", "label", ["g"]).collect()}
     assert got == {None: 1.0, "a": 0.0}
     assert metrics.classification_metrics(df, ["score"], "label", ["g"]).count() == 2
+
+
+def test_metrics_come_from_one_exchange_of_the_rows(spark):
+    df = spark.createDataFrame([(i % 7 / 10, i % 3 / 10, i % 2) for i in range(200)], "a double, b double, y int")
+    for found in (metrics.evaluate_scores(df, "a", "y"), metrics.classification_metrics(df, ["a", "b"], "y")):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Scan ExistingRDD") == 1 and "Join" not in plan
+
+
+def test_metrics_with_missing_scores_and_labels(spark):
+    rows = [(0.9, 1, "g"), (0.2, 0, "g"), (None, 1, "g"), (0.7, None, "g"), (0.1, 1, None), (0.6, 0, None)]
+    df = spark.createDataFrame(rows, "a double, y int, grp string")
+    got = {(r["grp"], r["model"]): r for r in metrics.classification_metrics(df, ["a"], "y", ["grp"]).collect()}
+    one, none = got["g", "a"], got[None, "a"]
+    assert (one["accuracy"], one["precision"], one["recall"], one["auc"]) == (2 / 4, 1 / 2, 1 / 2, 1.0)
+    assert (none["accuracy"], none["precision"], none["recall"], none["auc"]) == (0.0, 0.0, 0.0, 0.0)
+    whole = metrics.evaluate_scores(df, "a", "y").first()
+    assert whole["approval_rate"] == 2 / 5 and whole["roc_auc"] == 0.5
+    empty = metrics.evaluate_scores(df.where("false"), "a", "y").first()
+    assert empty["approval_rate"] is None and empty["roc_auc"] is None
