@@ -85,38 +85,50 @@ DECLARED = models.Encoding(
 WEIGHTS, INTERCEPT = (0.5, -0.25, 0.125, -0.75, 0.6, -0.9, 0.35, -0.15), 0.2
 
 
-@query(
-    "declared_score",
-    f"""WITH {APP_CTES}, s AS (SELECT app_id, 1.0::DOUBLE / (1.0::DOUBLE + exp(-(0.2::DOUBLE
+DECLARED_SQL = f"""WITH {APP_CTES}, s AS (SELECT app_id, 1.0::DOUBLE / (1.0::DOUBLE + exp(-(0.2::DOUBLE
   + CASE priority WHEN '1-URGENT' THEN 0.5::DOUBLE WHEN '2-HIGH' THEN -0.25::DOUBLE WHEN '3-MEDIUM' THEN 0.125::DOUBLE WHEN '5-LOW' THEN -0.75::DOUBLE ELSE 0.0::DOUBLE END
   + CASE status WHEN 'F' THEN 0.6::DOUBLE WHEN 'O' THEN -0.9::DOUBLE ELSE 0.0::DOUBLE END
   + 0.35::DOUBLE * ((coalesce(CAST(qty AS DOUBLE), 100.0::DOUBLE) - 100.0::DOUBLE) / 60.0::DOUBLE)
   - 0.15::DOUBLE * ((CAST(total AS DOUBLE) - 150000.0::DOUBLE) / 80000.0::DOUBLE)))) AS p FROM app)
-SELECT app_id, round(p, 6) AS prediction, {DECISION_SQL.format(p='p')} AS decision FROM s""",
-)
+SELECT app_id, round(p, 6) AS prediction, {DECISION_SQL.format(p='p')} AS decision FROM s"""
+
+
+def declared_model():
+    statement = models.score_statement(DECLARED, WEIGHTS, INTERCEPT, models.SCORE)
+    return PipelineModel(stages=[SQLTransformer(statement=statement)])
+
+
+@query("declared_score", DECLARED_SQL)
 def declared_score(spark, sf):
     """Scores and decisions of all applications by declared weights, unknown categories and missing numbers included."""
-    statement = models.score_statement(DECLARED, WEIGHTS, INTERCEPT, models.SCORE)
-    scored = models.score(PipelineModel(stages=[SQLTransformer(statement=statement)]), views.applications(spark, sf))
+    scored = models.score(declared_model(), views.applications(spark, sf))
     return scored.select("app_id", F.round(models.SCORE, 6).alias("prediction"), decide(F.col(models.SCORE)).alias("decision"))
 
 
-# One category of two values: the intercept is the sum of their weights a and b, which leaves two equations for Newton steps.
-FIT_SQL = f"""
-WITH RECURSIVE {APP_CTES},
+def fit_ctes(table: str) -> str:
+    """The fit on one category of two values, h and not h, with label y.
+
+    The intercept is the sum of their weights a and b, which leaves two equations for Newton steps.
+    """
+    c = fixed.INVERSE_REGULARISATION
+    return f"""
 n AS (SELECT CAST(count(*) FILTER (WHERE h AND y) AS DOUBLE) AS h1, CAST(count(*) FILTER (WHERE h AND NOT y) AS DOUBLE) AS h0,
-             CAST(count(*) FILTER (WHERE NOT h AND y) AS DOUBLE) AS l1, CAST(count(*) FILTER (WHERE NOT h AND NOT y) AS DOUBLE) AS l0
-      FROM (SELECT total > 150000 AS h, target = 2 AS y FROM app)),
+             CAST(count(*) FILTER (WHERE NOT h AND y) AS DOUBLE) AS l1, CAST(count(*) FILTER (WHERE NOT h AND NOT y) AS DOUBLE) AS l0 FROM {table}),
 w AS (SELECT h1 + h0 AS nh, l1 + l0 AS nl, h1 * t / (2 * p) AS h1, h0 * t / (2 * q) AS h0, l1 * t / (2 * p) AS l1, l0 * t / (2 * q) AS l0
       FROM (SELECT *, h1 + h0 + l1 + l0 AS t, h1 + l1 AS p, h0 + l0 AS q FROM n)),
 step(k, a, b) AS (
   SELECT 0, 0.0::DOUBLE, 0.0::DOUBLE
   UNION ALL
   SELECT k + 1, a - (f * jbb - g * jab) / (jaa * jbb - jab * jba), b - (g * jaa - f * jba) / (jaa * jbb - jab * jba)
-  FROM (SELECT k, a, b, a + {fixed.INVERSE_REGULARISATION} * ((h1 + h0) * ph - h1) AS f, b + {fixed.INVERSE_REGULARISATION} * ((l1 + l0) * pl - l1) AS g,
-               1 + 2 * {fixed.INVERSE_REGULARISATION} * (h1 + h0) * ph * (1 - ph) AS jaa, {fixed.INVERSE_REGULARISATION} * (h1 + h0) * ph * (1 - ph) AS jab,
-               {fixed.INVERSE_REGULARISATION} * (l1 + l0) * pl * (1 - pl) AS jba, 1 + 2 * {fixed.INVERSE_REGULARISATION} * (l1 + l0) * pl * (1 - pl) AS jbb
+  FROM (SELECT k, a, b, a + {c} * ((h1 + h0) * ph - h1) AS f, b + {c} * ((l1 + l0) * pl - l1) AS g,
+               1 + 2 * {c} * (h1 + h0) * ph * (1 - ph) AS jaa, {c} * (h1 + h0) * ph * (1 - ph) AS jab,
+               {c} * (l1 + l0) * pl * (1 - pl) AS jba, 1 + 2 * {c} * (l1 + l0) * pl * (1 - pl) AS jbb
         FROM (SELECT *, 1 / (1 + exp(-(2 * a + b))) AS ph, 1 / (1 + exp(-(a + 2 * b))) AS pl FROM step, w WHERE k < 30)))
+"""
+
+
+FIT_SQL = f"""
+WITH RECURSIVE {APP_CTES}, bands AS (SELECT total > 150000 AS h, target = 2 AS y FROM app), {fit_ctes("bands")}
 SELECT 'high' AS band, CAST(nh AS BIGINT) AS n_rows, round(1 / (1 + exp(-(2 * a + b))), 6) AS prediction FROM step, w WHERE k = 30
 UNION ALL SELECT 'low', CAST(nl AS BIGINT), round(1 / (1 + exp(-(a + 2 * b))), 6) FROM step, w WHERE k = 30
 """

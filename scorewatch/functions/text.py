@@ -76,6 +76,11 @@ def input_hash(canonical: Column) -> Column:
     return F.sha2(canonical, 256)
 
 
+def request_id() -> Column:
+    """A random id for each row (UUID version 4); write it before it is used twice."""
+    return F.uuid()
+
+
 def utc_stamp(ts: Column) -> Column:
     """ISO time with a trailing ``Z``."""
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")

@@ -25,7 +25,7 @@ class TrainingRun:
     cutoffs: splits.Cutoffs
     summary: DataFrame
     split_report: DataFrame
-    split_statistics: DataFrame
+    split_statistics: DataFrame | None
     training_stats: DataFrame
     metadata: DataFrame
 
@@ -57,7 +57,7 @@ def train(
         cutoffs=cutoffs,
         summary=contracts.dataset_summary(table, contract),
         split_report=splits.split_report(table, time_column),
-        split_statistics=splits.split_statistics(table, contract.numeric),
+        split_statistics=splits.split_statistics(table, contract.numeric) if contract.numeric else None,
         training_stats=feature_stats.feature_stats(part, contract.features, contract.numeric),
         metadata=metadata,
     )
