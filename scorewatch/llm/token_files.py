@@ -32,6 +32,8 @@ MAGIC = b"EFTOKEN1"
 FILE_IDS = 1 << 26
 #: Ones between two select samples.
 SAMPLE = 256
+#: Values whose low bits are packed at a time, a multiple of 8; documents whose boundaries are decoded at a time.
+PACKED, DECODED = 1 << 16, 4096
 #: Ids read from a file at a time.
 READ_IDS = 1 << 22
 
@@ -49,11 +51,14 @@ class EliasFano:
         top = int(values[-1]) if n else 0
         low_bits = max(0, (top // n).bit_length() - 1) if n else 0
         shifts = np.arange(low_bits, dtype=np.uint64)
-        low = np.packbits((values[:, None] >> shifts & np.uint64(1)).astype(np.uint8).ravel(), bitorder="little")
+        packed = [
+            np.packbits((values[i:i + PACKED, None] >> shifts & np.uint64(1)).astype(np.uint8).ravel(), bitorder="little")
+            for i in range(0, n, PACKED)
+        ]
         ones = (values >> np.uint64(low_bits)).astype(np.int64) + np.arange(n)
-        bits = np.zeros(int(ones[-1]) + 1 if n else 0, np.uint8)
-        bits[ones] = 1
-        return cls(n, low_bits, low, np.packbits(bits, bitorder="little"), ones[::SAMPLE].astype("<u4"))
+        high = np.zeros(int(ones[-1]) // 8 + 1 if n else 0, np.uint8)
+        np.bitwise_or.at(high, ones >> 3, np.left_shift(np.uint8(1), (ones & 7).astype(np.uint8)))
+        return cls(n, low_bits, np.concatenate(packed) if packed else np.zeros(0, np.uint8), high, ones[::SAMPLE].astype("<u4"))
 
     def parts(self) -> list[bytes]:
         return [self.low.tobytes(), self.high.tobytes(), self.samples.astype("<u4").tobytes()]
@@ -71,18 +76,17 @@ class EliasFano:
         weights = np.uint64(1) << np.arange(self.low_bits, dtype=np.uint64)
         return bits.reshape(count, self.low_bits).astype(np.uint64) @ weights
 
-    def select(self, i: int) -> int:
-        """The ``i``-th value, from the nearest sample before it."""
-        block = i // SAMPLE
+    def select(self, i: int, count: int = 1) -> np.ndarray:
+        """``count`` values from the ``i``-th on, decoded from the nearest sample before them to the one behind."""
+        if count <= 0:
+            return np.zeros(0, np.uint64)
+        block, behind = i // SAMPLE, -(-(i + count) // SAMPLE)
         start = int(self.samples[block])
-        stop = int(self.samples[block + 1]) + 1 if block + 1 < len(self.samples) else len(self.high) * 8
+        stop = int(self.samples[behind]) if behind < len(self.samples) else len(self.high) * 8
         bits = np.unpackbits(self.high[start // 8:-(-stop // 8)], bitorder="little")
-        one = start // 8 * 8 + int(np.flatnonzero(bits[start % 8:])[i % SAMPLE]) + start % 8
-        return (one - i << self.low_bits) + int(self.low_of(i, 1)[0])
-
-    def all(self) -> np.ndarray:
-        high = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[:self.n] - np.arange(self.n)
-        return (high.astype(np.uint64) << np.uint64(self.low_bits)) + self.low_of(0, self.n)
+        skip = i - block * SAMPLE
+        ones = np.flatnonzero(bits[start % 8:])[skip:skip + count] + start
+        return ((ones - np.arange(i, i + count)).astype(np.uint64) << np.uint64(self.low_bits)) + self.low_of(i, count)
 
 
 class Writer:
@@ -118,7 +122,7 @@ class Writer:
 
 
 class Reader:
-    """One file: boundaries and doc_ids at once, ids in blocks."""
+    """One file: the packed boundaries and doc_ids in memory, decoded where they are asked for; ids in blocks."""
 
     def __init__(self, folder: str, name: str):
         store, root = fs.FileSystem.from_uri(folder)
@@ -137,16 +141,18 @@ class Reader:
         self.bounds = EliasFano.read(n + 1, self.footer["low_bits"][0], *parts[:3])
         self.names = EliasFano.read(n - nulls, self.footer["low_bits"][1], *parts[3:])
 
-    def doc_ids(self) -> list[int | None]:
-        known = self.names.all().astype(np.int64) + self.footer["least"]
-        return [None] * self.footer["n_nulls"] + known.tolist()
+    def doc_ids(self, first: int, count: int) -> list[int | None]:
+        nulls = self.footer["n_nulls"]
+        none = max(0, min(nulls, first + count) - first)
+        known = self.names.select(first + none - nulls, count - none)
+        return [None] * none + (known.astype(np.int64) + self.footer["least"]).tolist()
 
     def ids(self, start: int, stop: int) -> np.ndarray:
         width = self.footer["width"]
         return np.frombuffer(self.stream.read_at((stop - start) * width, start * width), f"<u{width}")
 
     def document(self, i: int) -> np.ndarray:
-        return self.ids(self.bounds.select(i), self.bounds.select(i + 1))
+        return self.ids(*self.bounds.select(i, 2).tolist())
 
 
 def write_task(batches: Iterable[pa.RecordBatch], vocabulary, folder: str, end_id: int, width: int) -> Iterator[pa.RecordBatch]:
@@ -202,17 +208,19 @@ def read_task(batches: Iterable[pa.RecordBatch], folder: str) -> Iterator[pa.Rec
     for batch in batches:
         for name, base in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             reader = Reader(folder, name)
-            bounds, doc_ids = reader.bounds.all().astype(np.int64), reader.doc_ids()
-            first, n = 0, len(doc_ids)
-            while first < n:  # as many whole documents as fit a block, at least one
-                last = max(first + 1, int(np.searchsorted(bounds, bounds[first] + READ_IDS, "right")) - 1)
-                ids = reader.ids(int(bounds[first]), int(bounds[last])).astype("<u4")
-                cut = (bounds[first:last + 1] - bounds[first]).tolist()
-                yield pa.RecordBatch.from_arrays([
-                    longs(doc_ids[first:last]), longs(base + bounds[first:last]), longs(np.diff(bounds[first:last + 1])),
-                    longs([zlib.crc32(ids[a:b]) for a, b in zip(cut[:-1], cut[1:])]),
-                ], names=["doc_id", "start", "n_tokens", "ids_crc32"])
-                first = last
+            for at in range(0, reader.footer["n_docs"], DECODED):
+                n = min(DECODED, reader.footer["n_docs"] - at)
+                bounds, doc_ids = reader.bounds.select(at, n + 1).astype(np.int64), reader.doc_ids(at, n)
+                first = 0
+                while first < n:  # as many whole documents as fit a block, at least one
+                    last = max(first + 1, int(np.searchsorted(bounds, bounds[first] + READ_IDS, "right")) - 1)
+                    ids = reader.ids(int(bounds[first]), int(bounds[last])).astype("<u4")
+                    cut = (bounds[first:last + 1] - bounds[first]).tolist()
+                    yield pa.RecordBatch.from_arrays([
+                        longs(doc_ids[first:last]), longs(base + bounds[first:last]), longs(np.diff(bounds[first:last + 1])),
+                        longs([zlib.crc32(ids[a:b]) for a, b in zip(cut[:-1], cut[1:])]),
+                    ], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+                    first = last
 
 
 def read_token_files(spark, folder: str, files: list[tuple[str, int, int]]) -> DataFrame:

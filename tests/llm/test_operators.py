@@ -247,6 +247,13 @@ def test_token_files_equal_the_library(odd, monkeypatch):
     assert ids == sorted(ids, key=lambda x: (x is not None, x or 0))
 
 
+def test_packing_in_blocks_changes_nothing(monkeypatch):
+    values = np.sort(np.random.default_rng(1).integers(0, 10**7, 5000))
+    whole = token_files.EliasFano.of(values).parts()
+    monkeypatch.setattr(token_files, "PACKED", 64)
+    assert token_files.EliasFano.of(values).parts() == whole
+
+
 @pytest.mark.parametrize(("cache", "group"), [(4, 1), (30, 500), (300_000, 1 << 20)])
 def test_texts_encoded_together_equal_the_library(monkeypatch, cache, group):
     monkeypatch.setattr("scorewatch.llm.bpe.CACHE_WORDS", cache)
@@ -265,8 +272,10 @@ def test_elias_fano_round_trip():
         values = np.sort(rng.integers(0, top + 1, n))
         made = token_files.EliasFano.of(values)
         read = token_files.EliasFano.read(made.n, made.low_bits, *made.parts())
-        assert read.all().tolist() == values.tolist()
-        assert [read.select(i) for i in range(0, n, 7)] == values[::7].tolist()
+        assert read.select(0, n).tolist() == values.tolist() and read.select(n - 1, 0).tolist() == []
+        assert [int(read.select(i)[0]) for i in range(0, n, 7)] == values[::7].tolist()
+        for i, count in ((0, 256), (255, 2), (256, 256), (300, 700), (n - 1, 1)):
+            assert read.select(i, min(count, n - i)).tolist() == values[i:i + count].tolist() or i >= n
         assert sum(map(len, made.parts())) * 8 <= n * (3 + made.low_bits) + 64 + 32 * (n // 256 + 1)
 
 
@@ -276,7 +285,7 @@ def test_files_give_single_documents(tmp_path):
     for doc_id, ids in docs:
         writer.add(doc_id, np.array(ids, "<u4"))
     reader = token_files.Reader(f"file://{tmp_path}", writer.close()["file"])
-    assert reader.doc_ids() == [d for d, _ in docs]
+    assert reader.doc_ids(0, 4) == [d for d, _ in docs] and reader.doc_ids(1, 2) == [3, 3] and reader.doc_ids(0, 1) == [None]
     assert [reader.document(i).tolist() for i in range(4)] == [ids for _, ids in docs]
 
 
