@@ -83,29 +83,53 @@ def thresholds(sized: DataFrame) -> DataFrame:
         open_ = edge.select("s", F.col("bucket").alias("prefix"), (F.col("need") - F.col("before")).alias("need"))
         if (edge.select(F.max("rows")).first()[0] or 0) <= 1:
             break
-    # What is left open is one document, or documents of one hash: they are taken if that comes nearer.
-    near = F.col("need") - F.col("before") > F.col("before") + F.col("words") - F.col("need")
-    ends = edge.select("s", F.shiftleft(F.col("bucket") + near.cast("long"), left).alias("end"))
+    # What is left open is one document, or equal ones: as many are taken as come nearest.
+    takes = F.ceil((F.col("need") - F.col("before")) * F.col("rows") / F.col("words") - 0.5)
+    takes = F.greatest(F.lit(0), F.least(takes, F.col("rows"))).cast("long")
+    ends = edge.withColumn("takes", takes).select(
+        "s", F.shiftleft(F.col("bucket") + (F.col("takes") == F.col("rows")).cast("long"), left).alias("end"),
+        F.when((F.col("takes") > 0) & (F.col("takes") < F.col("rows")), F.shiftleft("bucket", left)).alias("shared_place"), "takes",
+    )
     found = aims.join(ends, F.col("source").eqNullSafe(F.col("s")), "left")
     # No bucket crosses where the budget covers all that is there.
-    limit = F.when(F.col("need") <= 0, 0).otherwise(F.coalesce("end", F.lit(1 << HASH_BITS)))
-    return materialise(found.select(F.col("source").alias("of_source"), "source_size", "target", "whole", limit.cast("long").alias("limit")), "thresholds")
+    needs = F.col("need") > 0
+    limit = F.when(~needs, 0).otherwise(F.coalesce("end", F.lit(1 << HASH_BITS)))
+    return materialise(found.select(
+        F.col("source").alias("of_source"), "source_size", "target", "whole", limit.cast("long").alias("limit"),
+        F.when(needs, F.col("shared_place")).alias("shared_place"), F.when(needs, F.col("takes")).alias("takes"),
+    ), "thresholds")
 
 
 def with_limits(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """Rows of (source, place) with their source's thresholds and ``copies``."""
+    """Rows of (source, place) with their source's thresholds and ``copies``.
+
+    Equal rows on a threshold are numbered, each task's share on its own from
+    where the shares before it end, and the first ``takes`` are taken once
+    more. Which of them those are cannot be told, for they are equal.
+    """
     joined = rows.join(found, F.col("source").eqNullSafe(F.col("of_source")))
-    return joined.withColumn("copies", F.col("whole") + (F.col("place") < F.col("limit")).cast("long"))
+    joined = joined.withColumn("copies", F.col("whole") + (F.col("place") < F.col("limit")).cast("long"))
+    if found.where("shared_place IS NOT NULL").isEmpty():
+        return joined
+    shared = F.coalesce(F.col("place") == F.col("shared_place"), F.lit(False))
+    equal = materialise(joined.where(shared).withColumn("share", F.spark_partition_id()), "equal")
+    shares = equal.groupBy("of_source", "share").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("of_source").orderBy("share").rowsBetween(Window.unboundedPreceding, -1))
+    shares = shares.select(F.col("of_source").alias("share_source"), F.col("share").alias("share_no"), F.coalesce(before, F.lit(0)).alias("ahead"))
+    own = F.row_number().over(Window.partitionBy("of_source", "share").orderBy("place"))
+    same = F.col("of_source").eqNullSafe(F.col("share_source")) & (F.col("share") == F.col("share_no"))
+    numbered = equal.withColumn("own", own).join(shares, same)
+    numbered = numbered.withColumn("copies", F.col("copies") + (F.col("ahead") + F.col("own") <= F.col("takes")).cast("long"))
+    return joined.where(~shared).unionByName(numbered.select(*joined.columns))
 
 
 def mix(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, size, source_size, target, taken.
 
     A null text has size 0 and takes nothing. Null sources are one source,
-    last in order. The hash is over doc_id and text, so rows of equal doc_id
-    and text stand or fall together; all others are split. A source whose
-    documents are few or long comes as near its target as its boundary
-    document allows. Reruns agree, whatever the partitions. Columns other than
+    last in order. The hash is over doc_id and text; of equal rows as many are
+    taken as the target asks for. A source whose documents are few or long
+    comes as near its target as its boundary document allows. Reruns agree, whatever the partitions. Columns other than
     doc_id, text and source are ignored; an empty table gives an empty table.
     """
     sized = materialise(docs.select("doc_id", "source", size().alias("size"), place().alias("place")), "sized")
@@ -136,13 +160,14 @@ aims AS (SELECT f.source, f.s AS source_size, CASE WHEN f.k < x.k THEN CAST(2 *
                 ELSE CAST(f.w AS DOUBLE) * CAST(x.total - x.held AS DOUBLE) / CAST(2 * x.ws AS DOUBLE) END AS target
          FROM filled f, (SELECT filled.* FROM filled JOIN first_free USING (k)) x),
 needs AS (SELECT *, CASE WHEN source_size = 0 THEN 0 ELSE least(2, CAST(floor(target / source_size) AS BIGINT)) END AS whole FROM aims),
-runs AS (SELECT source, place, sum(size) AS words FROM sized GROUP BY ALL),
+runs AS (SELECT source, place, sum(size) AS words, count(*) AS n FROM sized GROUP BY ALL),
 placed AS (SELECT *, sum(words) OVER (PARTITION BY source ORDER BY place) - words AS before FROM runs),
-picked AS (SELECT n.source, p.place, whole + CASE WHEN target - whole * source_size > 0
-                  AND (before + words <= target - whole * source_size
-                       OR target - whole * source_size - before > before + words - (target - whole * source_size)) THEN 1 ELSE 0 END AS copies
-           FROM placed p JOIN needs n ON p.source IS NOT DISTINCT FROM n.source)
-SELECT d.doc_id, d.size, n.source_size, n.target, CAST(d.size * p.copies AS BIGINT) AS taken
-FROM sized d JOIN needs n ON d.source IS NOT DISTINCT FROM n.source
+picked AS (SELECT n.source, p.place, whole, CASE WHEN target - whole * source_size <= 0 THEN 0 WHEN before + words <= target - whole * source_size THEN p.n
+                  WHEN target - whole * source_size <= before THEN 0
+                  ELSE greatest(0, least(p.n, ceil((target - whole * source_size - before) * p.n / words - 0.5::DOUBLE))) END AS takes
+           FROM placed p JOIN needs n ON p.source IS NOT DISTINCT FROM n.source),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY source, place) AS k FROM sized)
+SELECT d.doc_id, d.size, n.source_size, n.target, CAST(d.size * (p.whole + CASE WHEN d.k <= p.takes THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM numbered d JOIN needs n ON d.source IS NOT DISTINCT FROM n.source
 JOIN picked p ON d.source IS NOT DISTINCT FROM p.source AND d.place = p.place
 """

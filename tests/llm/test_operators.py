@@ -484,6 +484,21 @@ def test_mix_of_many_sources(spark):
         assert abs(sum(r.taken for r in found) - found[0].target) <= 300 and found[0].target <= 2 * found[0].source_size
 
 
+@pytest.mark.parametrize("parts", [1, 7])
+def test_equal_rows_are_taken_as_often_as_the_target_asks(spark, parts):
+    rows = [(None, "one two three", "a") for _ in range(1000)] + [(i, "w " * 5, ["b", None][i % 2]) for i in range(700)] + [(9, "x y", "c")] * 333
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(parts)
+    found = mixing.mix(docs).collect()
+    assert len(found) == len(rows)
+    for source in {(r.source_size, r.target) for r in found}:
+        own = [r for r in found if (r.source_size, r.target) == source]
+        assert abs(sum(r.taken for r in own) - source[1]) <= own[0]["size"] and all(r.taken in (0, r["size"], 2 * r["size"]) for r in own)
+    columns, wanted = oracle(mixing.ORACLE, [(*r[:2], "en", r[2], 0) for r in rows])
+    assert by_name(mixing.mix(docs).columns, found) == by_name(columns, wanted)
+    mixed = mixing.mixed_documents(docs, ["doc_id", "text", "source"]).collect()
+    assert sum(len(r.text.split()) for r in mixed) == sum(r.taken for r in found)
+
+
 # the pipeline
 
 
