@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import materialise
-from .common import longs, map_arrow, runs, texts
+from .common import join_groups, longs, map_arrow, runs, texts
 from .components import components
 
 BUDGET = 4
@@ -197,11 +197,12 @@ def simhash_components(docs: DataFrame, undivided: int = UNDIVIDED) -> DataFrame
     """
     printed = materialise(map_arrow(docs.select("doc_id", "text"), fingerprint_rows, "doc_id long, print long"), "prints")
     # Equal fingerprints are one node, whatever the number of documents behind it.
-    distinct = materialise(printed.groupBy("print").agg(F.min("doc_id").alias("first_id")), "distinct-prints")
+    distinct = materialise(printed.groupBy("print").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n_docs")), "distinct-prints")
     roots = components(near_prints(distinct, undivided)).select(F.col("node").alias("print"), "root")
     named = materialise(distinct.join(roots, "print", "left").withColumn("root", F.coalesce("root", "print")), "rooted-prints")
-    names = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of_print = named.join(names, "root").select("print", "component_id")
-    return printed.join(of_print, "print").select(
+    names = named.groupBy("root").agg(F.min("first_id").alias("component_id"), F.count(F.lit(1)).alias("n_prints"))
+    # Large components, and fingerprints of many documents, are joined by broadcast.
+    of_print = join_groups(named, names, ["root"], "n_prints").select("print", "component_id", "n_docs")
+    return join_groups(printed, of_print, ["print"], "n_docs").select(
         "doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id",
     )
