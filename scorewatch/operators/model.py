@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
@@ -80,11 +81,17 @@ def class_weights(df: DataFrame, label: str) -> dict[int, float]:
     return {1: total / (2.0 * positive), 0: total / (2.0 * negative)}
 
 
+#: Groups of tasks whose sums are added up before they reach the driver.
+GROUPS = 32
+
+
 def _newton_sums(width: int, beta: np.ndarray):
     """Partial gradient and curvature of one partition, as one row."""
     names = [f"x{i}" for i in range(width)]
 
     def sums(batches):
+        from pyspark import TaskContext
+
         gradient = np.zeros(width + 1)
         curvature = np.zeros((width + 1, width + 1))
         for pdf in batches:
@@ -93,29 +100,33 @@ def _newton_sums(width: int, beta: np.ndarray):
             p = 1.0 / (1.0 + np.exp(-x @ beta))
             gradient += x.T @ (w * (p - pdf["y"].to_numpy()))
             curvature += (x * (w * p * (1.0 - p))[:, None]).T @ x
-        import pandas as pd
-
-        yield pd.DataFrame({"part": [np.concatenate([gradient, curvature.ravel()])]})
+        part = np.concatenate([gradient, curvature.ravel()]).tobytes()
+        yield pd.DataFrame({"grp": [TaskContext.get().partitionId() % GROUPS], "part": [part]})
 
     return sums
 
 
+def _added(frame: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame({"grp": frame["grp"].iloc[:1], "part": [np.sum([np.frombuffer(p) for p in frame["part"]], axis=0).tobytes()]})
+
+
 def fit_penalised_intercept(
     encoded: DataFrame, width: int, strength: float, max_iterations: int = 50, tolerance: float = 1e-10
 ) -> tuple[np.ndarray, float]:
     """Minimise ``|beta|^2 / 2 + strength x weighted loss``, the intercept being part of ``beta``.
 
-    Newton steps; each sends one row of partial sums per partition through a
-    shuffle that adds them up, so the driver sees (width + 1)^2 numbers.
+    Newton steps; each sends one row of partial sums per partition, which are
+    added up in groups, so the driver sees at most ``GROUPS`` rows of
+    (width + 1)^2 numbers.
     """
     beta = np.zeros(width + 1)
     size = width + 1
+    schema = "grp int, part binary"
     for _ in range(max_iterations):
-        parts = encoded.mapInPandas(_newton_sums(width, beta), "part array<double>")
-        rows = parts.select(F.posexplode("part")).groupBy("pos").agg(F.sum("col").alias("s")).collect()
+        parts = encoded.mapInPandas(_newton_sums(width, beta), schema).groupBy("grp").applyInPandas(_added, schema)
         sums = np.zeros(size + size * size)
-        for row in rows:
-            sums[row["pos"]] = row["s"]
+        for row in parts.collect():
+            sums += np.frombuffer(row["part"])
         gradient = beta + strength * sums[:size]
         curvature = np.eye(size) + strength * sums[size:].reshape(size, size)
         step = np.linalg.solve(curvature, gradient)
