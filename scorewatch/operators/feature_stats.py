@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ..functions import fixed
 
@@ -61,15 +61,18 @@ def compare_stats(
     relative_tolerance: float = fixed.MEAN_SHIFT_RELATIVE,
     missing_tolerance: float = fixed.MISSING_SHARE_CHANGE,
     failures_only: bool = True,
+    min_rows: int = 0,
 ) -> DataFrame:
     """Failures of serving statistics against training statistics, one row per feature.
 
     Only training features are looked at. A feature without numbers on either
-    side is compared by its share of missing values.
+    side is compared by its share of missing values. Serving statistics of
+    fewer than ``min_rows`` rows give nothing.
     """
     keep = ["mean", "std", "missing_pct"]
     t = training.select("feature", *[F.col(c).alias(f"train_{c}") for c in keep])
-    i = inference.select("feature", *[F.col(c).alias(f"inference_{c}") for c in keep], F.lit(True).alias("seen"))
+    rows = F.col("rows") if min_rows else F.lit(0)
+    i = inference.select("feature", *[F.col(c).alias(f"inference_{c}") for c in keep], F.lit(True).alias("seen"), rows.alias("rows"))
     distance = F.abs(F.col("inference_mean") - F.col("train_mean"))
     # A deviation may be null next to a mean (a single training row): then only the relative test speaks.
     no_numbers = F.col("train_mean").isNull() | F.col("inference_mean").isNull()
@@ -82,6 +85,8 @@ def compare_stats(
         .when(no_numbers & (missing_change > missing_tolerance), "missing_pct_change")
         .when(~no_numbers & ((F.col("stds") > mean_tolerance) | (F.col("rel") > relative_tolerance)), "mean_shift")
     )
+    if min_rows:  # one row per feature
+        joined = joined.withColumn("rows", F.max("rows").over(Window.partitionBy())).where(F.col("rows") >= min_rows)
     out = joined.withColumn("reason", reason).select(
         "feature", "reason", "train_mean", "inference_mean", "stds", "rel", "train_missing_pct", "inference_missing_pct"
     )
@@ -92,10 +97,7 @@ def feature_check(
     training: DataFrame, samples: DataFrame, columns: Sequence[str], min_samples: int = 1, **tolerances: float
 ) -> DataFrame:
     """``compare_stats`` of a sample table; no failures below ``min_samples`` rows."""
-    failures = compare_stats(training, feature_stats(samples, columns), **tolerances)
-    if samples.limit(min_samples).count() < min_samples:
-        return failures.limit(0)
-    return failures
+    return compare_stats(training, feature_stats(samples, columns), min_rows=min_samples, **tolerances)
 
 
 def failure_messages(failures: DataFrame) -> DataFrame:
