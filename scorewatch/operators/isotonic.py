@@ -95,17 +95,22 @@ def apply_steps(scores: DataFrame, score: str, steps: DataFrame, out: str, rows_
     marks = steps.select(F.col("lo").alias("x"), F.lit(0).alias("kind"), step.alias("step"))
     distinct = scores.select(F.col(score).cast("double").alias("x")).where("x IS NOT NULL AND NOT isnan(x)").distinct()
     both = materialise(marks.unionByName(distinct.select("x", F.lit(1).alias("kind")), allowMissingColumns=True), "marks")
-    cells = ordered.balanced_cells(both, "x", rows_per_cell=rows_per_cell)
-    ends = cells.groupBy("cell").agg(
-        F.min_by("step", F.when(F.col("kind") == 0, F.col("x"))).alias("first"), F.max_by("step", F.when(F.col("kind") == 0, F.col("x"))).alias("last"),
-    )
-    along = Window.partitionBy().orderBy("cell")  # one row per cell
-    ends = ends.select(
-        "cell", F.last("last", ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, -1)).alias("earlier"),
-        F.first("first", ignorenulls=True).over(along.rowsBetween(1, Window.unboundedFollowing)).alias("later"),
-    )
+    cuts = ordered.sketch_columns(both, ["x"], rows_per_cell)["x"].cuts
+    cells = ordered.with_cell(both, "x", cuts)
+    if cuts:
+        of_step = F.when(F.col("kind") == 0, F.col("x"))
+        ends = cells.groupBy("cell").agg(F.min_by("step", of_step).alias("first"), F.max_by("step", of_step).alias("last"))
+        along = Window.partitionBy().orderBy("cell")  # one row per cell
+        ends = ends.select(
+            "cell", F.last("last", ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, -1)).alias("earlier"),
+            F.first("first", ignorenulls=True).over(along.rowsBetween(1, Window.unboundedFollowing)).alias("later"),
+        )
+        cells = cells.join(F.broadcast(ends), "cell")
+    else:
+        none = F.lit(None).cast(both.schema["step"].dataType)
+        cells = cells.withColumns({"earlier": none, "later": none})
     within = Window.partitionBy("cell").orderBy("x", "kind")
-    placed = cells.join(F.broadcast(ends), "cell").select(
+    placed = cells.select(
         "x", "kind",
         F.coalesce(F.last("step", ignorenulls=True).over(within.rowsBetween(Window.unboundedPreceding, 0)), "earlier").alias("a"),
         F.coalesce(F.first("step", ignorenulls=True).over(within.rowsBetween(1, Window.unboundedFollowing)), "later").alias("b"),

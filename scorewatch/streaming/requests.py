@@ -105,16 +105,18 @@ def running_sums(samples: DataFrame, chain: Chain, before: dict[str, int]) -> Da
     """
     names = _names(chain)
     totals = {f"s{i}": F.coalesce(F.sum(n), F.lit(0)) for i, n in enumerate(names)} | {f"c{i}": F.count(n) for i, n in enumerate(names)}
-    celled = ordered.balanced_cells(samples, "__us")
-    cells = celled.groupBy("cell").agg(*(v.alias(t) for t, v in totals.items()))
-    earlier = cells.select("cell", *(
-        (F.coalesce(F.sum(t).over(ordered.cells_before([])), F.lit(0)) + F.lit(before.get(t, 0))).alias(f"b{t}") for t in totals
-    ))
+    cuts = ordered.sketch_columns(samples, ["__us"])["__us"].cuts
+    celled = ordered.with_cell(samples, "__us", cuts)
     along = ordered.running_in_cell([], ["__us", "__key"], True)
     within = {f"s{i}": F.coalesce(F.sum(n).over(along), F.lit(0)) for i, n in enumerate(names)}
     within |= {f"c{i}": F.count(n).over(along) for i, n in enumerate(names)}
-    summed = celled.select("*", *(v.alias(t) for t, v in within.items())).join(F.broadcast(earlier), "cell")
-    return summed.withColumns({t: F.col(t) + F.col(f"b{t}") for t in totals}).drop("cell", *(f"b{t}" for t in totals))
+    summed = celled.select("*", *((v + F.lit(before.get(t, 0))).alias(t) for t, v in within.items()))
+    if not cuts:
+        return summed.drop("cell")
+    cells = celled.groupBy("cell").agg(*(v.alias(t) for t, v in totals.items()))
+    earlier = cells.select("cell", *(F.coalesce(F.sum(t).over(ordered.cells_before([])), F.lit(0)).alias(f"b{t}") for t in totals))
+    joined = summed.join(F.broadcast(earlier), "cell")
+    return joined.withColumns({t: F.col(t) + F.col(f"b{t}") for t in totals}).drop("cell", *(f"b{t}" for t in totals))
 
 
 def mismatch(chain: Chain) -> Column:

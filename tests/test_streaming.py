@@ -345,6 +345,13 @@ def settled(df):
     return {r["request_id"]: (r["outcome"], r["prediction"]) for r in df.collect()}
 
 
+def test_running_sums_do_not_depend_on_cells(spark, monkeypatch):
+    monkeypatch.setattr("scorewatch.operators.ordered.ROWS_PER_CELL", 15)
+    rows = payloads()
+    table = spark.createDataFrame(request_rows(rows), CHAIN_ROWS).repartition(5)
+    assert settled(chained.settle_table(table, chain())) == verdicts(rows, chain())
+
+
 def test_request_chain_over_a_table(spark):
     rows = payloads()
     table = spark.createDataFrame(request_rows(rows), CHAIN_ROWS).repartition(5)
