@@ -15,15 +15,17 @@ from ..session import materialise
 from .ordered import exact_quantiles
 
 
-def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows per (feature, value) for several columns, in one pass."""
-    pairs = [F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in columns]
-    return df.select(F.inline(F.array(*pairs))).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
+def value_counts(df: DataFrame, columns: Sequence[str], rows: str | None = None) -> DataFrame:
+    """Rows per (feature, value) for several columns, in one pass; ``rows`` says for how many equal rows each stands."""
+    number = [F.col(rows).alias("rows")] if rows else []
+    pairs = [F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value"), *number) for c in columns]
+    total = F.sum("rows") if rows else F.count(F.lit(1))
+    return df.select(F.inline(F.array(*pairs))).groupBy("feature", "value").agg(total.alias("n"))
 
 
-def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def modes(df: DataFrame, columns: Sequence[str], rows: str | None = None) -> DataFrame:
     """Most frequent value of each column, the smallest on a tie; null without values."""
-    counts = value_counts(df, columns)
+    counts = value_counts(df, columns, rows)
     top = counts.groupBy("feature").agg(F.max(F.when(F.col("value").isNotNull(), F.col("n"))).alias("n"))
     at_top = counts.where(F.col("value").isNotNull()).join(top, ["feature", "n"])
     smallest = at_top.groupBy("feature").agg(F.min("value").alias("fill"))

@@ -72,9 +72,10 @@ def fit_encoding(
     )
 
 
-def class_weights(df: DataFrame, label: str) -> dict[int, float]:
-    """``rows / (2 x rows of the class)``."""
-    positive, negative = df.agg(F.count_if(F.col(label) == 1), F.count_if(F.col(label) == 0)).first()
+def class_weights(df: DataFrame, label: str, rows: str | None = None) -> dict[int, float]:
+    """``rows / (2 x rows of the class)``; the column ``rows`` says for how many equal rows each stands."""
+    number = F.col(rows) if rows else F.lit(1)
+    positive, negative = df.agg(*(F.coalesce(F.sum(F.when(F.col(label) == y, number)), F.lit(0)) for y in (1, 0))).first()
     if not positive or not negative:
         raise ValueError(f"training needs both classes, found {positive} positive and {negative} negative rows")
     total = positive + negative

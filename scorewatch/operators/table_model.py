@@ -1,11 +1,13 @@
 """Balanced logistic regression over any number of categories, with its weights as a table.
 
 Categories are numbered in a written dictionary and rows become sparse: one
-number per categorical column, the scaled numbers beside them. A step of the
-fit adds up gradients in each task, cut into stripes that are summed over
-groups of tasks before they meet, so nothing is as wide as the square of the
-number of columns. Scoring joins the weights, so the plan does not grow with
-the categories either; it works on streams as on tables.
+number per categorical column, the scaled numbers beside them. Without numbers
+equal rows are counted first and the fit goes over one row for each, laid out
+by category. A step of the fit adds up gradients in each task, cut into
+stripes of which a task sends those it touched; they are summed over groups of
+tasks before they meet, so nothing is as wide as the square of the number of
+columns. Scoring joins the weights, so the plan does not grow with the
+categories either; it works on streams as on tables.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ STRIPE, GROUPS = 1 << 16, 32
 BROADCAST_ROWS = 1 << 18
 #: Steps that the solver remembers.
 MEMORY = 10
+#: The column that says for how many equal rows a row stands.
+ROWS = "__rows"
 
 
 @dataclass(frozen=True)
@@ -89,54 +93,92 @@ def dictionary(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, int]:
     return ordered.numbered(distinct, ["feature", "value"], "number")
 
 
-def sparse_rows(df: DataFrame, categorical: Sequence[str], numbers: DataFrame, size: int, dense: dict[str, Column], keep: dict[str, Column]) -> DataFrame:
-    """at: the category numbers of each row (-1: none); x: the dense columns; and the columns ``keep``."""
-    rows = df.select(*(F.col(c).cast("string").alias(f"c{i}") for i, c in enumerate(categorical)), F.array(*dense.values()).cast("array<double>").alias("x"), *(v.alias(k) for k, v in keep.items()))
+def counted_rows(df: DataFrame, categorical: Sequence[str], numeric: Sequence[str], label: str) -> DataFrame:
+    """The columns of the fit and ``ROWS``, for how many equal rows each stands; with numbers every row stands for itself."""
+    kinds = dict(df.dtypes)
+    if numeric or {"float", "double"} & {kinds[c] for c in categorical}:
+        return df.select(*categorical, *numeric, label, F.lit(1).cast("bigint").alias(ROWS))
+    return materialise(df.groupBy(*categorical, label).agg(F.count(F.lit(1)).alias(ROWS)), "counted")
+
+
+def sparse_rows(
+    df: DataFrame, categorical: Sequence[str], numbers: DataFrame, size: int, dense: dict[str, Column], keep: dict[str, Column], clustered: bool = False,
+) -> DataFrame:
+    """at0, ...: the category numbers of each row (-1: none); x0, ...: the dense columns; and the columns ``keep``.
+
+    ``clustered`` lays the rows out by their numbers, which must tell them apart.
+    """
+    rows = df.select(*(F.col(c).cast("string").alias(f"c{i}") for i, c in enumerate(categorical)), *(v.cast("double").alias(f"x{i}") for i, v in enumerate(dense.values())), *(v.alias(k) for k, v in keep.items()))
     for i, c in enumerate(categorical):
         own = numbers.where(F.col("feature") == c).select(F.col("value").alias(f"c{i}"), F.col("number").alias(f"n{i}"))
         rows = rows.join(F.broadcast(own) if size <= BROADCAST_ROWS else own, f"c{i}", "left")
-    at = F.array(*(F.coalesce(F.col(f"n{i}"), F.lit(-1)).cast("int") for i in range(len(categorical)))).cast("array<int>")
-    return materialise(rows.select(at.alias("at"), "x", *keep), "sparse")
+    at = [f"at{i}" for i in range(len(categorical))]
+    rows = rows.select(*(F.coalesce(F.col(f"n{i}"), F.lit(-1)).cast("int").alias(a) for i, a in enumerate(at)), *(f"x{i}" for i in range(len(dense))), *keep)
+    return materialise(rows.repartitionByRange(*at, *keep) if clustered and at else rows, "sparse")
 
 
-def gradient(rows: DataFrame, beta: np.ndarray, n_categories: int) -> tuple[float, np.ndarray]:
-    """Weighted loss and its gradient; ``beta`` holds the categories', the dense columns' and the intercept's weights."""
-    shared = rows.sparkSession.sparkContext.broadcast(beta)
-    width, n_dense = len(beta), len(beta) - n_categories - 1
+def striped_sums(
+    rows: DataFrame, n_categories: int, n_dense: int, terms: Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]],
+) -> tuple[float, np.ndarray]:
+    """Sum of the first of the ``terms`` of all rows, and for each weight the sum of the second.
+
+    ``terms`` gives, from category numbers, dense columns, label and row weight, a number and a share for each row, and by what
+    the share counts for the dense columns. The categories' sums come first, then the dense columns' and the intercept's.
+    """
+    width = n_categories + n_dense + 1
+    columns, dense = [c for c in rows.columns if c.startswith("at")], [f"x{i}" for i in range(n_dense)]
 
     def sums(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        b, total, out = shared.value, 0.0, np.zeros(width)
+        total, out = 0.0, np.zeros(width)
         for frame in frames:
             if not len(frame):
                 continue
-            at = np.stack(frame["at"].to_numpy())
-            x = np.stack(frame["x"].to_numpy()) if n_dense else np.zeros((len(frame), 0))
+            at, x = frame[columns].to_numpy(dtype="int64"), frame[dense].to_numpy(dtype="float64")
+            value, share, factor = terms(at, x, frame["y"].to_numpy(), frame["w"].to_numpy())
+            total += float(value.sum())
             known = at >= 0
-            z = np.where(known, b[at], 0.0).sum(1) + x @ b[n_categories:-1] + b[-1]
-            y, w = frame["y"].to_numpy(), frame["w"].to_numpy()
-            total += float((w * (np.logaddexp(0.0, z) - y * z)).sum())
-            part = w * (1.0 / (1.0 + np.exp(-z)) - y)
-            out[:n_categories] += np.bincount(at[known], np.repeat(part, at.shape[1])[known.ravel()], n_categories)
-            out[n_categories:-1] += x.T @ part
-            out[-1] += part.sum()
+            # Adds to the weights that occur, not to all of them for each batch.
+            np.add.at(out, at[known], np.repeat(share, at.shape[1])[known.ravel()])
+            out[n_categories:-1] += factor.T @ share
+            out[-1] += share.sum()
         group = TaskContext.get().partitionId() % GROUPS
         for stripe in range(0, width, STRIPE):
-            yield pd.DataFrame({"grp": [group], "stripe": [stripe], "loss": [total if stripe == 0 else 0.0], "part": [out[stripe:stripe + STRIPE].tobytes()]})
+            part = out[stripe:stripe + STRIPE]
+            if stripe == 0 or part.any():
+                yield pd.DataFrame({"grp": [group], "stripe": [stripe], "total": [total if stripe == 0 else 0.0], "part": [part.tobytes()]})
 
     def added(frame: pd.DataFrame) -> pd.DataFrame:
         part = np.sum([np.frombuffer(p) for p in frame["part"]], axis=0)
-        return pd.DataFrame({"grp": [0], "stripe": [frame["stripe"].iloc[0]], "loss": [frame["loss"].sum()], "part": [part.tobytes()]})
+        return pd.DataFrame({"grp": [0], "stripe": [frame["stripe"].iloc[0]], "total": [frame["total"].sum()], "part": [part.tobytes()]})
 
-    schema = "grp int, stripe int, loss double, part binary"
+    schema = "grp int, stripe int, total double, part binary"
     parts = rows.mapInPandas(sums, schema).groupBy("grp", "stripe").applyInPandas(added, schema)
-    loss, out = 0.0, np.zeros(width)
+    total, out = 0.0, np.zeros(width)
     for r in parts.collect():  # at most GROUPS rows for each stripe of the weights
-        loss += r["loss"]
+        total += r["total"]
         out[r["stripe"]:r["stripe"] + STRIPE] += np.frombuffer(r["part"])
+    return total, out
+
+
+def gradient(rows: DataFrame, beta: np.ndarray, n_categories: int) -> tuple[float, np.ndarray]:
+    """Weighted loss and its gradient; ``beta`` holds the categories', the dense columns' and the intercept's weights."""
+    shared = rows.sparkSession.sparkContext.broadcast(beta)
+
+    def terms(at, x, y, w):
+        b = shared.value
+        z = np.where(at >= 0, b[at], 0.0).sum(1) + x @ b[n_categories:-1] + b[-1]
+        return w * (np.logaddexp(0.0, z) - y * z), w * (1.0 / (1.0 + np.exp(-z)) - y), x
+
+    found = striped_sums(rows, n_categories, len(beta) - n_categories - 1, terms)
     shared.unpersist()
-    return loss, out
+    return found
+
+
+def curvature(rows: DataFrame, n_categories: int, n_dense: int) -> np.ndarray:
+    """The loss's second derivative by each weight where all weights are 0."""
+    return striped_sums(rows, n_categories, n_dense, lambda at, x, y, w: (w, w / 4, x * x))[1]
 
 
 def minimise(f: Callable[[np.ndarray], tuple[float, np.ndarray]], start: np.ndarray, max_iterations: int, tolerance: float) -> np.ndarray:
@@ -183,28 +225,43 @@ def fit_table_model(
     The driver holds one weight for each category while the fit runs; the
     model keeps them as a written table.
     """
-    fills: dict[str, object] = {r["feature"]: r["fill"] for r in modes(df, categorical).collect() if r["fill"] is not None} if categorical else {}
+    df = counted_rows(df, categorical, numeric, label)
+    fills: dict[str, object] = {r["feature"]: r["fill"] for r in modes(df, categorical, ROWS).collect() if r["fill"] is not None} if categorical else {}
     if numeric:
         fills.update({c: v for c, v in medians(df, numeric).items() if v is not None})
     filled = impute(df, fills)
     scales = fit_scales(filled, numeric) if numeric else {}
-    balance = class_weights(df, label)
+    balance = class_weights(df, label, ROWS)
     numbers, n = dictionary(filled, categorical) if categorical else (None, 0)
     y = F.col(label).cast("double")
     rows = sparse_rows(
         filled.where(F.col(label).isNotNull()), categorical, numbers, n, {c: s.apply(F.col(c)) for c, s in scales.items()},
-        {"y": y, "w": F.when(y == 1, balance[1]).otherwise(balance[0])},
+        {"y": y, "w": F.when(y == 1, balance[1]).otherwise(balance[0]) * F.col(ROWS)}, clustered=not numeric,
     )
 
     def objective(beta: np.ndarray) -> tuple[float, np.ndarray]:
         loss, slope = gradient(rows, beta, n)
         return float(beta @ beta) / 2 + inverse_regularisation * loss, beta + inverse_regularisation * slope
 
-    beta = minimise(objective, np.zeros(n + len(scales) + 1), max_iterations, tolerance)
+    # The intercept's curvature goes with the rows, a category's with its own rows. In units of its own for each weight the
+    # steps do not grow in number with the table.
+    unit = 1.0 / np.sqrt(1.0 + inverse_regularisation * curvature(rows, n, len(scales)))
+
+    def scaled(at: np.ndarray) -> tuple[float, np.ndarray]:
+        value, slope = objective(at * unit)
+        return value, slope * unit
+
+    beta = unit * minimise(scaled, np.zeros(n + len(scales) + 1), max_iterations, tolerance)
     spark = df.sparkSession
     if n:
-        found = spark.createDataFrame(pd.DataFrame({"number": np.arange(n), "weight": beta[:n]}), "number long, weight double")
-        weights = materialise(numbers.join(found, "number").select("feature", "value", "weight"), "weights")
+        fitted = spark.sparkContext.broadcast(beta)
+
+        def weighed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for frame in frames:
+                yield frame[["feature", "value"]].assign(weight=fitted.value[frame["number"].to_numpy(dtype="int64")])
+
+        weights = materialise(numbers.mapInPandas(weighed, "feature string, value string, weight double"), "weights")
+        fitted.unpersist()
     else:
         weights = spark.createDataFrame([], "feature string, value string, weight double")
     return TableModel(weights, tuple(categorical), fills, scales, dict(zip(scales, beta[n:-1].tolist())), float(beta[-1]))

@@ -113,6 +113,27 @@ def test_plan_of_a_table_model_does_not_grow_with_categories(spark):
     assert many < 1.2 * few
 
 
+def test_table_model_counts_equal_rows(spark, monkeypatch):
+    """Equal rows, null categories and labels included, are one row of the fit each."""
+    rng, real, seen = np.random.default_rng(4), table_model.gradient, []
+    data = [(f"k{int(k)}" if k else None, int(rng.random() < (k % 7 + 1) / 9)) for k in rng.integers(0, 40, 40_000)]
+    df = spark.createDataFrame([*data, *[("k1", None)] * 9000, ("only", None)], "kind string, label int").repartition(5)
+
+    def counted(rows, beta, n):
+        seen.append(rows.count())
+        return real(rows, beta, n)
+
+    monkeypatch.setattr(table_model, "gradient", counted)
+    monkeypatch.setattr(table_model, "STRIPE", 16)
+    fitted = table_model.fit_table_model(df, ["kind"], [], "label")
+    assert set(seen) == {80} and len(seen) <= 16 and fitted.fills == {"kind": "k1"}
+    kinds = [k or "k1" for k, _ in data]
+    x = np.column_stack([[float(k == c) for k in kinds] for c in sorted({*kinds})])
+    want = dict(zip(kinds, optimum(x, np.array([y for _, y in data], float), 0.01, True)))
+    got = {r["kind"]: r[M.SCORE] for r in fitted.score(df.select("kind").distinct()).collect()}
+    assert len(got) == 41 and got[None] == got["k1"] and max(abs(got[k] - p) for k, p in want.items()) < 1e-7
+
+
 def test_table_model_scores_a_stream(spark, tmp_path):
     from scorewatch.streaming import jobs
 
