@@ -19,6 +19,10 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from ..functions import fixed
 
 
+#: Buckets of clients whose requests of a micro-batch are decided together; a checkpoint keeps the number for life.
+BUCKETS = 4096
+
+
 def admit(times: np.ndarray, accepted: deque, window: int, limit: int) -> np.ndarray:
     """Decide sorted times one by one; ``accepted`` is carried over and updated.
 
@@ -43,6 +47,15 @@ def admit(times: np.ndarray, accepted: deque, window: int, limit: int) -> np.nda
     return verdicts
 
 
+def in_order(at: np.ndarray, who: np.ndarray, us: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Those rows ``at`` by client number, time and key, null keys last."""
+    exact = us[at].astype("int64")
+    if keys.dtype.kind == "i":
+        return at[np.lexsort((keys[at], exact, who[at]))]
+    rows = pd.DataFrame({"who": who[at], "us": exact, "key": keys[at]})
+    return at[rows.sort_values(["who", "us", "key"], na_position="last", kind="stable").index.to_numpy()]
+
+
 def _micros(column: str):
     return F.unix_micros(F.col(column).cast("timestamp"))
 
@@ -122,7 +135,7 @@ def stream_rate_limit(
     exempt: Column | None = None,
     carry: Sequence[str] = (),
 ) -> DataFrame:
-    """The same decision with the accepted times of each client in the state store.
+    """The same decision with the accepted times of the clients in the state store.
 
     Gives client, key, us, accepted, late and the columns ``carry`` for every
     request. One that comes in a later batch than a later request of its
@@ -135,39 +148,59 @@ def stream_rate_limit(
     they are processed: a client is forgotten when the latest request of all
     clients is more than a window and ``tolerance_seconds`` (by default
     another window) behind its own last one. Only a request that is later than
-    that finds its client forgotten. A client's rows of one micro-batch are
-    held and sorted in memory at once.
+    that finds its client forgotten.
+
+    Clients are dealt to ``BUCKETS`` buckets that are decided in one call and
+    kept in one state row each, for a call costs as much as thousands of rows;
+    a bucket is called when the first of its clients may be forgotten. A
+    bucket's rows of one micro-batch are held and sorted in memory at once.
     """
     window = int(window_seconds * 1_000_000)
     kinds = dict(stream.dtypes)
-    names = ["client", "key", "us", "exempt", *carry]
     out = ["client", "key", "us", "accepted", "late", *carry]
 
     def decide(group, batches, state: GroupState):
-        if state.hasTimedOut:
+        known, now = {r[0]: tuple(r[1:]) for r in state.get[0]} if state.exists else {}, state.getCurrentWatermarkMs()
+        fresh = {}
+        if not state.hasTimedOut:
+            # The Arrow batches of a group come in no order: all of the micro-batch are sorted together.
+            found = list(batches)
+            pdf = found[0] if len(found) == 1 else pd.concat(found, ignore_index=True)
+            free, us = pdf["exempt"].to_numpy(dtype=bool), pdf["us"].to_numpy()
+            who, clients = pd.factorize(pdf["client"], use_na_sentinel=False)
+            clients = [None if pd.isna(c) else c for c in clients.tolist()]
+            at = in_order(np.flatnonzero(~(free | pd.isna(us))), who, us, pdf["key"].to_numpy())
+            times = us[at].astype("int64")
+            late, verdicts = np.zeros(len(pdf), dtype=bool), np.zeros(len(pdf), dtype=bool)
+            bounds = [0, *(np.flatnonzero(np.diff(who[at])) + 1).tolist(), len(at)]
+            for a, b in zip(bounds, bounds[1:]):
+                if a == b:
+                    continue
+                client, exact, rows = clients[who[at[a]]], times[a:b], at[a:b]
+                held, last, _ = known.pop(client, ((), None, None))
+                accepted = deque(held)
+                if last is not None:
+                    late[rows] = exact < last
+                    exact = np.maximum(exact, last)
+                verdicts[rows] = admit(exact, accepted, window, limit)
+                last = int(exact[-1])
+                fresh[client] = (list(accepted), last, max((last + window) // 1000 + 1, now + 1))
+            # Requests without a time and exempt ones keep their client from being forgotten in this batch.
+            seen = {*clients}
+            known = {
+                c: (held, last, max((last + window) // 1000 + 1, now + 1) if c in seen else until)
+                for c, (held, last, until) in known.items() if until >= now or c in seen
+            }
+            pdf["accepted"], pdf["late"] = pd.arrays.BooleanArray(verdicts, free), late
+            yield pdf[out]
+        else:
+            known = {c: r for c, r in known.items() if r[2] >= now}
+        known.update(fresh)
+        if known:
+            state.update(([(c, *r) for c, r in known.items()],))
+            state.setTimeoutTimestamp(max(min(r[2] for r in known.values()), now))
+        elif state.exists:
             state.remove()
-            return
-        known, last = state.get if state.exists else ((), None)
-        accepted = deque(known)
-        # The Arrow batches of a group come in no order: all of the micro-batch are sorted together.
-        pdf = pd.concat([pdf[names] for pdf in batches], ignore_index=True)
-        pdf = pdf.sort_values(["exempt", "us", "key"], na_position="last", kind="stable")
-        free = pdf["exempt"].to_numpy(dtype=bool)
-        timed = int((pdf["us"].notna() & ~free).sum())
-        exact = pdf["us"].iloc[:timed].to_numpy(dtype="int64")
-        late, verdicts = np.zeros(len(pdf), dtype=bool), np.zeros(len(pdf), dtype=bool)
-        if last is not None:
-            late[:timed] = exact < last
-            exact = np.maximum(exact, last)
-        verdicts[:timed] = admit(exact, accepted, window, limit)
-        if timed:
-            last = int(exact[-1])
-        yield pdf.assign(accepted=pd.array(verdicts, dtype="boolean"), late=late).assign(
-            accepted=lambda d: d["accepted"].mask(free)
-        )[out]
-        if last is not None:
-            state.update((list(accepted), last))
-            state.setTimeoutTimestamp(max((last + window) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
 
     # The watermark follows the times of the requests. A request itself goes on without that time, beside a copy that ends
     # here with it: so none is dropped for being behind the watermark.
@@ -181,10 +214,12 @@ def stream_rate_limit(
     tolerance = window_seconds if tolerance_seconds is None else tolerance_seconds
     rows = rows.withWatermark("clock", f"{int(tolerance * 1000)} milliseconds").where(F.col("clock").isNull())
     carried = "".join(f", `{c}` {kinds[c]}" for c in carry)
-    return rows.groupBy("client").applyInPandasWithState(
+    # Numbers that may be null are read as doubles, so clients that are null stay apart from the others.
+    bucket = F.when(F.col("client").isNull(), -1).otherwise(F.pmod(F.xxhash64("client"), F.lit(BUCKETS)).cast("int"))
+    return rows.withColumn("bucket", bucket).groupBy("bucket").applyInPandasWithState(
         decide,
         outputStructType=f"client {kinds[client]}, key {kinds[key]}, us bigint, accepted boolean, late boolean{carried}",
-        stateStructType="accepted array<bigint>, last bigint",
+        stateStructType=f"clients array<struct<client: {kinds[client]}, accepted: array<bigint>, last: bigint, until: bigint>>",
         outputMode="append",
         timeoutConf=GroupStateTimeout.EventTimeTimeout,
     )

@@ -266,6 +266,21 @@ def test_clients_are_forgotten_by_the_times_of_others(spark, tmp_path):
     assert {r["accepted"] for r in spark.read.parquet(path).where("key % 2 = 0").collect()} == {True}
 
 
+def test_clients_of_a_bucket_are_decided_in_one_call(spark, tmp_path, monkeypatch):
+    """State rows and calls go with the buckets, whatever the number of clients; each client is decided and forgotten on its own."""
+    monkeypatch.setattr("scorewatch.streaming.rate_limit.BUCKETS", 2, raising=False)
+    rng = np.random.default_rng(6)
+    rows = [(i, None if c == 0 else f"client {c}", i // 3, 0.0) for i, c in enumerate(rng.integers(0, 50, 900))]
+    folder = minutes(rows, 300, tmp_path / "in")
+    session = jobs.stream_session(spark)
+    path, checkpoint = fresh_path(session, "buckets"), fresh_path(session, "buckets-checkpoint")
+    query = limited(folder, 3600, 2)(session).writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress) <= 3
+    wanted = brute([(k, c, datetime.datetime(2024, 1, 1) + datetime.timedelta(minutes=m)) for k, c, m, _ in rows], 3600, 2)
+    assert {r["key"]: r["accepted"] for r in spark.read.parquet(path).collect()} == wanted and len({*wanted.values()}) == 2
+
+
 REQUESTS = Contract("requests", (Field("kind", "categorical", ("x", "y")), Field("amount", "integer"), Field("client", "integer")))
 
 
